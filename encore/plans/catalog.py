@@ -10,22 +10,29 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from encore.operators import indexing, sampling
-from encore.sources import tables
+from encore.operators import als, drift, events, history, indexing, ranking, runs, sampling, topk
+from encore.plans import evaluate
+from encore.plans.prepare import SPLIT_KEYS, prepare_tables
+from encore.session import scratch_path
+from encore.sources import files, sinks, tables
+from encore.streaming import ingest
 
 Query = Callable[[SparkSession, str], DataFrame]
 
-SPLIT_KEYS = ("user_id", "item_id")
-SPLIT_WEIGHTS = (0.6, 0.2, 0.2)
+DRIFT_CUTOFF = "2024-01-15"
+EVAL_K = 10
+TOPK_K = 10
+EMBEDDING_USERS_BELOW = 50
+SAMPLE_FRACTION = 0.1
+WINDOW_DAYS = 30
 
 
-def r6(c: str | F.Column, name: str | None = None) -> F.Column:
-    col = F.col(c) if isinstance(c, str) else c
-    out = F.round(col.cast("double"), 6)
-    return out.alias(name) if name else out
+def r6(name: str) -> Column:
+    """Column rounded to six places, keeping its name."""
+    return F.round(F.col(name).cast("double"), 6).alias(name)
 
 
 # ---------------------------------------------------------------- shared views
@@ -33,11 +40,28 @@ def _interactions(spark: SparkSession, sf: str) -> DataFrame:
     return tables.interactions(spark, sf)
 
 
-def _splits(spark: SparkSession, sf: str) -> list[DataFrame]:
-    return sampling.hash_split(_interactions(spark, sf), SPLIT_KEYS, SPLIT_WEIGHTS)
+def _plays(spark: SparkSession, sf: str) -> DataFrame:
+    return tables.play_events(spark, sf)
 
 
-# ---------------------------------------------------------------- queries
+def _drift_sides(spark: SparkSession, sf: str) -> tuple[DataFrame, DataFrame]:
+    p = _plays(spark, sf)
+    cut = F.lit(DRIFT_CUTOFF).cast("timestamp_ntz")
+    return p.where(F.col("ts") < cut), p.where(F.col("ts") >= cut)
+
+
+def _classified(spark: SparkSession, sf: str) -> DataFrame:
+    return events.classify(tables.raw_event_values(spark, sf), tables.PLAY_EVENT_TYPE)
+
+
+def _embedding_topk(spark: SparkSession, sf: str) -> DataFrame:
+    emb = tables.table(spark, sf, "embeddings")
+    users = emb.where(F.col("vec_id") < EMBEDDING_USERS_BELOW)
+    items = emb.where(F.col("vec_id") >= EMBEDDING_USERS_BELOW)
+    return topk.blocked_topk(users, items, TOPK_K, id_col="vec_id", vec_col="embedding")
+
+
+# ---------------------------------------------------------------- scans, prep
 def q_scan_interactions(spark, sf):
     return _interactions(spark, sf)
 
@@ -55,16 +79,261 @@ def q_index_interactions(spark, sf):
     return indexing.index_interactions(inter, indexing.index_users(inter), indexing.index_items(inter))
 
 
-def q_split_train(spark, sf):
-    return _splits(spark, sf)[0]
+def _split(i: int) -> Query:
+    def q(spark, sf):
+        return sampling.hash_split(_interactions(spark, sf), SPLIT_KEYS)[i]
+
+    return q
+
+
+def q_hash_sample(spark, sf):
+    return sampling.hash_sample(_interactions(spark, sf), SAMPLE_FRACTION, SPLIT_KEYS)
+
+
+def q_recent_window(spark, sf):
+    return sampling.recent_window(_interactions(spark, sf), WINDOW_DAYS)
+
+
+def q_reference_window(spark, sf):
+    # indexed interactions carry no time column: the stable-sample branch
+    return sampling.reference_window(prepare_tables(spark, sf).indexed, WINDOW_DAYS, SAMPLE_FRACTION)
+
+
+def q_index_item_mapping(spark, sf):
+    inter = _interactions(spark, sf)
+    return indexing.attach_item_index(tables.item_tracks(spark, sf), indexing.index_items(inter))
+
+
+def q_index_metadata(spark, sf):
+    inter = _interactions(spark, sf)
+    return indexing.attach_item_index(tables.item_metadata(spark, sf), indexing.index_items(inter))
+
+
+# ---------------------------------------------------------------- events
+def q_filter_plays(spark, sf):
+    return events.filter_plays(tables.events(spark, sf), tables.PLAY_EVENT_TYPE).select(
+        "user_id", tables.event_item().alias("item_id"), F.col("value").alias("plays"), "ts"
+    )
+
+
+def q_parse_events(spark, sf):
+    return events.kept_events(_classified(spark, sf), keep=("event_id",))
+
+
+def q_quarantine_events(spark, sf):
+    return events.quarantined(_classified(spark, sf), keep=("event_id",))
+
+
+def q_cast_interactions(spark, sf):
+    good = events.kept_events(_classified(spark, sf), keep=("event_id",))
+    return events.cast_interactions(good, keep=("event_id",))
+
+
+def q_to_kafka_records(spark, sf):
+    return sinks.to_kafka_records(_plays(spark, sf))
+
+
+def q_daily_partition_counts(spark, sf):
+    return sinks.daily_partition_counts(_plays(spark, sf))
+
+
+def q_latest_batch(spark, sf):
+    return files.latest_partition(sinks.with_event_date(_plays(spark, sf)), "dt").drop("dt")
+
+
+def q_latest_model_version(spark, sf):
+    ev = tables.events(spark, sf)
+    return runs.latest_versions(ev, ["user_id", "event_type"], "value", ["ts", "event_id"])
+
+
+def q_daily_plays(spark, sf):
+    p = _plays(spark, sf)
+    w = F.window(F.col("ts").cast("timestamp"), "1 day")
+    return (
+        p.groupBy(w.alias("w"))
+        .agg(F.count(F.lit(1)).cast("bigint").alias("n_events"), F.round(F.sum("plays"), 6).alias("plays"))
+        .select(F.date_format("w.start", "yyyy-MM-dd").alias("day"), "n_events", "plays")
+    )
+
+
+# ---------------------------------------------------------------- histories
+def q_distinct_users(spark, sf):
+    return history.distinct_values(_interactions(spark, sf), "user_id")
+
+
+def q_distinct_items(spark, sf):
+    return history.distinct_values(_interactions(spark, sf), "item_id")
+
+
+def q_user_item_plays(spark, sf):
+    agg = history.user_item_plays(_interactions(spark, sf))
+    return agg.select("user_id", "item_id", r6("plays"), F.col("n_events").cast("bigint"))
+
+
+def q_ground_truth_lists(spark, sf):
+    return history.ground_truth_lists(prepare_tables(spark, sf).validation)
+
+
+def q_user_history(spark, sf):
+    return history.user_history(prepare_tables(spark, sf).train)
+
+
+def q_user_history_all(spark, sf):
+    p = prepare_tables(spark, sf)
+    return history.user_history_all(p.users, history.user_history(p.train))
+
+
+def q_unseen_items(spark, sf):
+    p = prepare_tables(spark, sf)
+    users = p.validation.select("user_idx").distinct()
+    cands = evaluate.popularity_predictions(p.train, users, EVAL_K)
+    return history.unseen_items(cands, p.train)
+
+
+def q_union_history(spark, sf):
+    train = sampling.hash_split(_interactions(spark, sf), SPLIT_KEYS)[0]
+    return history.union_history(train, _plays(spark, sf))
+
+
+# ---------------------------------------------------------------- ranking
+def _per_user_out(df: DataFrame) -> DataFrame:
+    return df.select(
+        "user_idx",
+        F.col("n_pred").cast("bigint").alias("n_pred"),
+        F.col("n_truth").cast("bigint").alias("n_truth"),
+        F.col("hits_at_k").cast("bigint").alias("hits_at_k"),
+        *[r6(m) for m in ranking.METRICS],
+    )
+
+
+def q_ranking_metrics_per_user(spark, sf):
+    p = prepare_tables(spark, sf)
+    return _per_user_out(evaluate.popularity_per_user(p.train, p.validation, EVAL_K))
+
+
+def q_ranking_metrics(spark, sf):
+    p = prepare_tables(spark, sf)
+    m = ranking.mean_metrics(evaluate.popularity_per_user(p.train, p.validation, EVAL_K))
+    return m.select(F.col("users_scored").cast("bigint"), *[r6(x) for x in ranking.METRICS])
+
+
+def q_best_run(spark, sf):
+    p = prepare_tables(spark, sf)
+    best = runs.best_run(evaluate.popularity_runs(p.train, p.validation), "map")
+    return best.select("run_id", "k", F.col("users_scored").cast("bigint"), r6("map"), r6("precision_at_k"))
+
+
+def q_topk_for_users(spark, sf):
+    t = _embedding_topk(spark, sf)
+    return t.select("user_id", "item_id", r6("score"), F.col("rank").cast("int"))
+
+
+def q_recommendation_ranks(spark, sf):
+    recs = topk.as_recommendation_lists(_embedding_topk(spark, sf))
+    return topk.recommendation_ranks(recs).select("user_id", "rank", "item_id", r6("score"))
+
+
+def q_recommendation_ids(spark, sf):
+    return topk.recommendation_ids(topk.as_recommendation_lists(_embedding_topk(spark, sf)))
+
+
+# ---------------------------------------------------------------- ALS (rows)
+def q_als_user_factors(spark, sf):
+    p = prepare_tables(spark, sf)
+    model = als.train_als(p.train, 32, 0.01, 40.0)
+    return als.user_factors(model)
+
+
+def q_als_topk(spark, sf):
+    p = prepare_tables(spark, sf)
+    model = als.train_als(p.train, 32, 0.01, 40.0)
+    return als.recommend_users(model, None, TOPK_K)
+
+
+def q_grid_runs(spark, sf):
+    p = prepare_tables(spark, sf)
+    table, _ = als.grid_search(p.train, p.validation)
+    return table
+
+
+def q_als_refresh(spark, sf):
+    p = prepare_tables(spark, sf)
+    table, _ = als.grid_search(p.train, p.validation, regs=(0.01,), alphas=(40.0,))
+    best = runs.best_run(table).first().asDict()
+    new = p.validation  # held-out interactions arrive as the new batch
+    model = als.refresh(p.train, new, best, mode="union")
+    return als.user_factors(model)
+
+
+# ---------------------------------------------------------------- drift
+def q_drift_ks_plays(spark, sf):
+    ref, cur = _drift_sides(spark, sf)
+    s = drift.ecdf_stats(ref, cur, "plays")
+    return s.select("n_ref", "n_cur", r6("ks"), r6("ks_p_value"))
+
+
+def q_drift_wasserstein_plays(spark, sf):
+    ref, cur = _drift_sides(spark, sf)
+    s = drift.ecdf_stats(ref, cur, "plays")
+    return s.select(r6("wasserstein"), r6("std_ref"), r6("wasserstein_norm"))
+
+
+def _js(col: str) -> Query:
+    def q(spark, sf):
+        ref, cur = _drift_sides(spark, sf)
+        return drift.js_distance(ref, cur, col).select(F.col("n_categories").cast("bigint"), r6("js"))
+
+    return q
+
+
+def q_drift_chisquare_item(spark, sf):
+    ref, cur = _drift_sides(spark, sf)
+    s = drift.chi_square(ref, cur, "item_id")
+    return s.select(F.col("n_categories").cast("bigint"), r6("chi2"), "dof", r6("p_value"))
+
+
+def q_drift_report(spark, sf):
+    ref, cur = _drift_sides(spark, sf)
+    rep = drift.drift_report(ref, cur, ["plays"], ["user_id", "item_id"])
+    return rep.select("column", "method", r6("score"), "threshold", "drifted")
+
+
+def q_drift_report_small(spark, sf):
+    ref, cur = _drift_sides(spark, sf)
+    rep = drift.drift_report(ref, cur, ["plays"], ["user_id", "item_id"], size="small")
+    return rep.select("column", "method", r6("score"), "threshold", "drifted")
+
+
+def q_drift_dataset(spark, sf):
+    ref, cur = _drift_sides(spark, sf)
+    d = drift.dataset_drift(drift.drift_report(ref, cur, ["plays"], ["user_id", "item_id"]))
+    return d.select(F.col("n_columns").cast("bigint"), "n_drifted", r6("share"), "threshold", "drifted")
+
+
+# ---------------------------------------------------------------- streaming
+def _run_stream(spark: SparkSession, sf: str) -> tuple[str, str]:
+    root = scratch_path(spark, "stream")
+    raw = tables.event_messages(tables.event_stream(spark, sf))
+    q = ingest.ingest_plays(
+        raw, f"{root}/plays", f"{root}/quarantine", f"{root}/_checkpoint", tables.PLAY_EVENT_TYPE, keep=("event_id",)
+    )
+    ingest.run_to_end(q)
+    return f"{root}/plays", f"{root}/quarantine"
 
 
-def q_split_validation(spark, sf):
-    return _splits(spark, sf)[1]
+def q_stream_plays(spark, sf):
+    good, _ = _run_stream(spark, sf)
+    return spark.read.parquet(good).select("event_id", "user_id", "item_id", "plays", "ts", "event_type")
 
 
-def q_split_test(spark, sf):
-    return _splits(spark, sf)[2]
+def q_stream_daily(spark, sf):
+    good, _ = _run_stream(spark, sf)
+    return (
+        spark.read.parquet(good)
+        .groupBy("dt")
+        .agg(F.count(F.lit(1)).cast("bigint").alias("n_rows"))
+        .select(F.date_format("dt", "yyyy-MM-dd").alias("dt"), "n_rows")
+    )
 
 
 QUERIES: dict[str, Query] = {
@@ -72,7 +341,49 @@ QUERIES: dict[str, Query] = {
     "index_users": q_index_users,
     "index_items": q_index_items,
     "index_interactions": q_index_interactions,
-    "split_train": q_split_train,
-    "split_validation": q_split_validation,
-    "split_test": q_split_test,
+    "split_train": _split(0),
+    "split_validation": _split(1),
+    "split_test": _split(2),
+    "hash_sample": q_hash_sample,
+    "recent_window": q_recent_window,
+    "reference_window": q_reference_window,
+    "index_item_mapping": q_index_item_mapping,
+    "index_metadata": q_index_metadata,
+    "filter_plays": q_filter_plays,
+    "parse_events": q_parse_events,
+    "quarantine_events": q_quarantine_events,
+    "cast_interactions": q_cast_interactions,
+    "to_kafka_records": q_to_kafka_records,
+    "daily_partition_counts": q_daily_partition_counts,
+    "latest_batch": q_latest_batch,
+    "latest_model_version": q_latest_model_version,
+    "daily_plays": q_daily_plays,
+    "distinct_users": q_distinct_users,
+    "distinct_items": q_distinct_items,
+    "user_item_plays": q_user_item_plays,
+    "ground_truth_lists": q_ground_truth_lists,
+    "user_history": q_user_history,
+    "user_history_all": q_user_history_all,
+    "unseen_items": q_unseen_items,
+    "union_history": q_union_history,
+    "ranking_metrics_per_user": q_ranking_metrics_per_user,
+    "ranking_metrics": q_ranking_metrics,
+    "best_run": q_best_run,
+    "topk_for_users": q_topk_for_users,
+    "recommendation_ranks": q_recommendation_ranks,
+    "recommendation_ids": q_recommendation_ids,
+    "drift_ks_plays": q_drift_ks_plays,
+    "drift_wasserstein_plays": q_drift_wasserstein_plays,
+    "drift_js_user": _js("user_id"),
+    "drift_js_item": _js("item_id"),
+    "drift_chisquare_item": q_drift_chisquare_item,
+    "drift_report": q_drift_report,
+    "drift_report_small": q_drift_report_small,
+    "drift_dataset": q_drift_dataset,
+    "stream_plays": q_stream_plays,
+    "stream_daily": q_stream_daily,
+    "als_user_factors": q_als_user_factors,
+    "als_topk": q_als_topk,
+    "grid_runs": q_grid_runs,
+    "als_refresh": q_als_refresh,
 }

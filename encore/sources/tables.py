@@ -75,15 +75,14 @@ def play_events(spark: SparkSession, sf_dir: str, play_type: str = PLAY_EVENT_TY
     )
 
 
-def raw_event_values(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """``events`` as the JSON messages a producer would publish.
+def event_messages(ev: DataFrame) -> DataFrame:
+    """Event rows as the JSON messages a producer publishes: ``event_id, key, value``.
 
-    Columns ``event_id, key, value`` (text). The ``event_type`` is carried as
+    Works on batch and streaming frames. The ``event_type`` is carried as
     is. To exercise the quarantine path on the whole table, every row is
     kept and a fixed share is damaged by rule: ``event_id % 10 = 0`` gets a
     truncated JSON text, ``event_id % 10 = 1`` an unparseable timestamp.
     """
-    ev = events(spark, sf_dir)
     stamp = F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss.SSSSSS")
     stamp = F.when(F.col("event_id") % 10 == 1, F.lit("not-a-time")).otherwise(stamp)
     body = F.to_json(
@@ -98,7 +97,20 @@ def raw_event_values(spark: SparkSession, sf_dir: str) -> DataFrame:
     value = F.when(F.col("event_id") % 10 == 0, F.expr("substring(_body, 1, length(_body) - 1)")).otherwise(
         F.col("_body")
     )
-    return (
-        ev.select("event_id", F.col("user_id").cast("string").alias("key"), body.alias("_body"))
-        .select("event_id", "key", value.alias("value"))
+    return ev.select("event_id", F.col("user_id").cast("string").alias("key"), body.alias("_body")).select(
+        "event_id", "key", value.alias("value")
     )
+
+
+def raw_event_values(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``event_messages`` of the ``events`` table."""
+    return event_messages(events(spark, sf_dir))
+
+
+def event_stream(spark: SparkSession, sf_dir: str, max_files_per_trigger: int | None = None) -> DataFrame:
+    """``events`` read as a file stream (new Parquet files become new rows)."""
+    schema = events(spark, sf_dir).schema
+    r = spark.readStream.schema(schema).option("pathGlobFilter", "events.parquet")
+    if max_files_per_trigger:
+        r = r.option("maxFilesPerTrigger", max_files_per_trigger)
+    return r.parquet(sf_dir)
