@@ -44,8 +44,8 @@ def attach_item_index(df: DataFrame, items: DataFrame, key: str = "item_id") ->
     return df.join(items, key, "left")
 
 
-def cast_indexed(df: DataFrame) -> DataFrame:
+def cast_indexed(df: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
     """Index columns as int and plays as double (what ALS expects)."""
     return df.select(
-        F.col("user_idx").cast("int"), F.col("item_idx").cast("int"), F.col("plays").cast("double")
+        F.col("user_idx").cast("int"), F.col("item_idx").cast("int"), F.col("plays").cast("double"), *keep
     )

@@ -2,11 +2,11 @@
 
 ``row_number() over (order by k)`` and ``sum(x) over (order by k)`` with no
 ``partition by`` move every row into one task (``Exchange SinglePartition``).
-Here the keys are range-partitioned instead, each partition is sorted, and
-the result is checkpointed so partition ids stay fixed between the two
-passes below. One pass computes per-partition totals (one row per
-partition, so the offsets table is bounded by the partition count and safe
-to broadcast); the other adds the offsets to partition-local positions.
+Here the keys are range-partitioned instead, each partition is sorted and
+written as a table (so partition ids stay fixed between the two passes
+below). One pass computes per-partition totals (one row per partition, so
+the offsets table is bounded by the partition count and safe to
+broadcast); the other adds the offsets to partition-local positions.
 """
 
 from __future__ import annotations
@@ -16,47 +16,53 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from encore.session import ensure_checkpoint_dir
+from encore.session import ensure_checkpoint_dir, scratch_path
 
 
 def default_partitions(df: DataFrame) -> int:
     return int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
 
 
-def ranged(df: DataFrame, key: str, n_parts: int | None = None) -> DataFrame:
-    """Range-partition on ``key``, sort each partition, checkpoint reliably.
+def ranged(df: DataFrame, key: str, n_parts: int | None = None, name: str = "ranged") -> DataFrame:
+    """Range-partition on ``key``, sort each partition, write it as a table.
 
-    Range boundaries come from sampling; without the checkpoint a recompute
-    could draw other boundaries and move rows between partitions.
+    Adds ``_pid`` (range partition, in key order) and ``_pos`` (0-based
+    position inside it, from ``monotonically_increasing_id``: partition id
+    in the upper bits, row position in the lower 33). Range boundaries
+    come from sampling, so a recompute could move rows between partitions;
+    the table, written in the shared checkpoint folder, fixes them once and
+    cuts the lineage (one sampling job + one write job).
     """
-    ensure_checkpoint_dir(df.sparkSession)
+    spark = df.sparkSession
+    ensure_checkpoint_dir(spark)
     n = n_parts or default_partitions(df)
-    return df.repartitionByRange(n, F.col(key)).sortWithinPartitions(key).checkpoint(eager=True)
+    pid = F.spark_partition_id()
+    out = (
+        df.repartitionByRange(n, F.col(key))
+        .sortWithinPartitions(key)
+        .withColumn("_pid", pid)
+        .withColumn("_pos", F.monotonically_increasing_id() - F.shiftleft(pid.cast("long"), 33))
+    )
+    path = scratch_path(spark, name)
+    out.write.mode("overwrite").parquet(path)
+    return spark.read.parquet(path)
 
 
 def contiguous_index(df: DataFrame, key: str, out: str, n_parts: int | None = None) -> DataFrame:
     """``key, out`` where ``out`` = 0-based rank of ``key`` among its distinct values.
 
     Same values as ``row_number() over (order by key) - 1`` over the
-    distinct non-null keys; null keys get no index. Inside a sorted
-    checkpointed partition the position is read from
-    ``monotonically_increasing_id`` (partition id in the upper bits, row
-    position in the lower 33), so no shuffle follows the checkpoint.
+    distinct non-null keys; null keys get no index. The distinct keys are
+    written range-partitioned and sorted (``ranged``); the index is the
+    partition's offset (count of keys in earlier partitions) plus the
+    position inside it, so no shuffle follows the write.
     """
-    keys = df.select(key).where(F.col(key).isNotNull()).distinct()
-    parts = ranged(keys, key, n_parts)
-    pid = F.spark_partition_id()
-    pos = parts.select(
-        key,
-        pid.alias("_pid"),
-        (F.monotonically_increasing_id() - F.shiftleft(pid.cast("long"), 33)).alias("_pos"),
-    )
+    pos = ranged(df.select(key).where(F.col(key).isNotNull()).distinct(), key, n_parts, f"index-{out}")
     counts = pos.groupBy("_pid").agg(F.count(F.lit(1)).alias("_n"))
     before = Window.orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
     offsets = counts.select("_pid", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_off"))
-    return pos.join(F.broadcast(offsets), "_pid").select(
-        key, (F.col("_off") + F.col("_pos")).cast("int").alias(out)
-    )
+    # one row per range partition: bounded by n, safe to broadcast
+    return pos.join(F.broadcast(offsets), "_pid").select(key, (F.col("_off") + F.col("_pos")).cast("int").alias(out))
 
 
 def running_totals(
@@ -71,7 +77,7 @@ def running_totals(
     the ``sum_cols``, ``cum_<c>`` for each and ``next_key`` (the next larger
     key, null for the last). Used for empirical CDFs over value counts.
     """
-    parts = ranged(df.select(key, *sum_cols), key, n_parts).withColumn("_pid", F.spark_partition_id())
+    parts = ranged(df.select(key, *sum_cols), key, n_parts, "cdf")
     w = Window.partitionBy("_pid").orderBy(key)
     upto = w.rowsBetween(Window.unboundedPreceding, Window.currentRow)
     local = parts.select(

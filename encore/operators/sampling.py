@@ -45,6 +45,23 @@ def hash_split(
     return [df.where((b >= lo) & (b < hi)) for lo, hi in split_bounds(weights, buckets)]
 
 
+def split_label(
+    df: DataFrame,
+    keys: Sequence[str],
+    weights: Sequence[float],
+    names: Sequence[str],
+    out: str = "split",
+    buckets: int = SPLIT_BUCKETS,
+) -> DataFrame:
+    """The same split as ``hash_split``, as a label column (one pass)."""
+    b = hash_bucket(keys, buckets)
+    label = None
+    for (lo, hi), name in zip(split_bounds(weights, buckets), names):
+        cond = (b >= lo) & (b < hi)
+        label = F.when(cond, F.lit(name)) if label is None else label.when(cond, F.lit(name))
+    return df.withColumn(out, label)
+
+
 def random_split(df: DataFrame, weights: Sequence[float] = (0.6, 0.2, 0.2), seed: int = 42) -> list[DataFrame]:
     """``randomSplit``; the row set depends on partitioning and order."""
     return df.randomSplit(list(weights), seed=seed)

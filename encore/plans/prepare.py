@@ -9,12 +9,14 @@ from __future__ import annotations
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from encore.operators import indexing, sampling
 from encore.sources import sinks, tables
 
 SPLIT_KEYS = ("user_id", "item_id")
 SPLIT_WEIGHTS = (0.6, 0.2, 0.2)
+SPLIT_NAMES = ("train", "validation", "test")
 
 
 @dataclass
@@ -47,19 +49,37 @@ def prepare_tables(spark: SparkSession, sf_dir: str, n_parts: int | None = None)
 
 
 def prepare(spark: SparkSession, sf_dir: str, out_dir: str) -> Prepared:
-    """Write interactions_full, training, validation, test, users, items,
-    item_tracks and metadata (with nullable ``item_idx``) under ``out_dir``."""
-    p = prepare_tables(spark, sf_dir)
+    """Write the prepared datasets under ``out_dir`` and return them read back.
+
+    ``interactions_full`` is written once, partitioned by ``split``
+    (``train``/``validation``/``test``), instead of four passes over the
+    input: ``training`` etc. are its partitions and a reader of one split
+    scans only that folder. Also written: ``users``, ``items``,
+    ``item_tracks`` and ``metadata`` (nullable ``item_idx``).
+    """
+    inter = tables.interactions(spark, sf_dir)
+    users = indexing.index_users(inter)
+    items = indexing.index_items(inter)
+    split = sampling.split_label(inter, SPLIT_KEYS, SPLIT_WEIGHTS, SPLIT_NAMES)
+    indexed = indexing.index_interactions(split, users, items, keep=("plays", "split"))
+    out = out_dir.rstrip("/")
+    sinks.write_overwrite(indexing.cast_indexed(indexed, keep=("split",)), f"{out}/interactions_full", ["split"])
+    sinks.write_overwrite(users, f"{out}/users")
+    sinks.write_overwrite(items, f"{out}/items")
+    sinks.write_overwrite(indexing.attach_item_index(tables.item_tracks(spark, sf_dir), items), f"{out}/item_tracks")
+    sinks.write_overwrite(indexing.attach_item_index(tables.item_metadata(spark, sf_dir), items), f"{out}/metadata")
+    return load_prepared(spark, out)
+
+
+def load_prepared(spark: SparkSession, out_dir: str) -> Prepared:
+    """Prepared datasets as written by ``prepare``."""
     out = out_dir.rstrip("/")
-    for name, df in (
-        ("interactions_full", p.indexed),
-        ("training", p.train),
-        ("validation", p.validation),
-        ("test", p.test),
-        ("users", p.users),
-        ("items", p.items),
-        ("item_tracks", indexing.attach_item_index(tables.item_tracks(spark, sf_dir), p.items)),
-        ("metadata", indexing.attach_item_index(tables.item_metadata(spark, sf_dir), p.items)),
-    ):
-        sinks.write_overwrite(df, f"{out}/{name}")
-    return p
+    full = spark.read.parquet(f"{out}/interactions_full")
+    part = [full.where(F.col("split") == name).drop("split") for name in SPLIT_NAMES]
+    return Prepared(
+        spark.read.parquet(f"{out}/interactions_full").drop("split"),
+        spark.read.parquet(f"{out}/users"),
+        spark.read.parquet(f"{out}/items"),
+        full.drop("split"),
+        *part,
+    )
