@@ -38,20 +38,16 @@ def main() -> None:
         from encore.plans.prepare import prepare
         from encore.session import scratch_path
 
-        out = scratch_path(spark, "prepared")
-        prepare(spark, sf, out)
-        state["out"] = out
+        state["p"] = prepare(spark, sf, scratch_path(spark, "prepared"))
         return None
 
     def als_fit(spark, sf):
-        out = state["out"]
-        train = spark.read.parquet(f"{out}/training")
-        state["model"] = als.train_als(train, 32, 0.01, 40.0)
+        state["model"] = als.train_als(state["p"].train, 32, 0.01, 40.0)
         return None
 
     def als_topk_metrics(spark, sf):
         model = state["model"]
-        validation = spark.read.parquet(f"{state['out']}/validation")
+        validation = state["p"].validation
         users = validation.select("user_idx").distinct()
         preds = als.recommend_users(model, users, 10)
         return ranking.mean_metrics(ranking.per_user_metrics(preds, validation, 10))
