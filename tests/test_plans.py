@@ -1,0 +1,59 @@
+"""Plan-level flows: prepare -> select -> serve; drift gate -> refresh."""
+
+import os
+
+from pyspark.ml import Pipeline
+from pyspark.sql import functions as F
+
+from encore.operators import als
+from encore.plans import monitor, serve, train
+from encore.plans.prepare import prepare
+from encore.sources import tables
+from tests.conftest import SF
+
+
+def test_prepare_select_serve(spark, tmp_dir):
+    p = prepare(spark, SF, os.path.join(tmp_dir, "prep"))
+    n = p.train.count() + p.validation.count() + p.test.count()
+    assert n == tables.interactions(spark, SF).count()
+    assert p.users.count() == tables.interactions(spark, SF).select("user_id").distinct().count()
+    table, model = train.select_model(spark, p, os.path.join(tmp_dir, "sel"), regs=(0.01,), alphas=(10.0, 40.0))
+    assert table.count() == 2
+    latest = train.latest_published(spark, os.path.join(tmp_dir, "sel")).first()
+    assert latest["version"] == 2 and latest["path"].endswith("run=1")
+    loaded = serve.load_model(latest["path"])
+    req = serve.request_frame(spark, [0, 10_000_000])
+    recs = serve.recommend_for(loaded, req, k=5)
+    assert serve.found(recs) and [r["user_idx"] for r in recs.collect()] == [0]
+    assert not serve.found(serve.recommend_for(loaded, serve.request_frame(spark, [10_000_000]), 5))
+    out = os.path.join(tmp_dir, "all")
+    serve.recommend_all(loaded, out, k=3)
+    assert spark.read.parquet(out).groupBy("user_idx").count().where("count != 3").count() == 0
+
+
+def test_pipeline_stage_extraction(spark, tmp_dir):
+    data = spark.createDataFrame([(u, i, 1.0) for u in range(10) for i in range(u % 4, 12, 3)], "user_idx int, item_idx int, plays double")
+    from pyspark.ml.recommendation import ALS
+
+    pm = Pipeline(stages=[ALS(userCol="user_idx", itemCol="item_idx", ratingCol="plays", implicitPrefs=True, rank=2, maxIter=1)]).fit(data)
+    path = os.path.join(tmp_dir, "pm")
+    pm.write().overwrite().save(path)
+    assert serve.load_model(path).rank == 2
+    assert serve.als_stage(pm).rank == 2
+
+
+def test_drift_gate_and_refresh(spark, tmp_dir):
+    p = prepare(spark, SF, os.path.join(tmp_dir, "prep"))
+    plays = tables.play_events(spark, SF)
+    ref = plays.where(F.col("ts") < F.lit("2024-01-15").cast("timestamp_ntz"))
+    runs_t = spark.createDataFrame([(0, 4, 0.05, 10.0, 0.3)], "run_id int, rank int, reg double, alpha double, map double")
+    # new data = reference shifted: plays x 10 drifts on the numeric column
+    users = spark.createDataFrame([(int(r["user_id"]), i) for i, r in enumerate(plays.select("user_id").distinct().collect())], "user_id long, user_idx int")
+    items = spark.createDataFrame([(int(r["item_id"]), i) for i, r in enumerate(plays.select("item_id").distinct().collect())], "item_id long, item_idx int")
+    shifted = ref.withColumn("plays", F.col("plays") * 10).withColumn("user_id", F.lit(1).cast("long"))
+    d = monitor.check_and_refresh(ref, shifted, None, runs_t, users, items, mode="new")
+    assert d.dataset["drifted"] and d.model is not None and d.model.rank == 4
+    same = monitor.check_and_refresh(ref, ref, None, runs_t, users, items)
+    assert not same.dataset["drifted"] and same.model is None
+    none = monitor.check_and_refresh(ref, None, None, runs_t, users, items)
+    assert none.report is None and none.model is None
