@@ -5,7 +5,8 @@ All statistics are aggregates over value counts, computed on the cluster:
 * counts: reference and current rows are tagged, unioned and grouped by
   value in one shuffle (partial aggregation first, so a value holding a
   large share of rows is summed map-side);
-* totals enter as scalar subqueries;
+* side totals enter once per plan (a scalar subquery projected as a column,
+  or the sum of the per-partition summary of the running totals);
 * the empirical CDFs come from running totals over range-partitioned value
   counts (``prefix.running_totals``), never from one ordered partition.
 
@@ -53,10 +54,21 @@ def value_counts(ref: DataFrame, cur: DataFrame, col: str) -> DataFrame:
     )
 
 
-def _totals(counts: DataFrame) -> tuple[Column, Column]:
-    return (
-        counts.agg(F.coalesce(F.sum("r"), F.lit(0)).cast("double")).scalar(),
-        counts.agg(F.coalesce(F.sum("c"), F.lit(0)).cast("double")).scalar(),
+def with_totals(counts: DataFrame) -> DataFrame:
+    """Counts plus the side totals ``_nr, _nc`` as columns.
+
+    Both totals come from one struct-valued scalar subquery referenced
+    exactly once; the expressions downstream use the columns, so the plan
+    runs one subquery instead of one per use.
+    """
+    tot = counts.agg(
+        F.struct(
+            F.coalesce(F.sum("r"), F.lit(0)).cast("double").alias("r"),
+            F.coalesce(F.sum("c"), F.lit(0)).cast("double").alias("c"),
+        )
+    ).scalar()
+    return counts.select("value", "r", "c", tot.alias("_tot")).select(
+        "value", "r", "c", F.col("_tot.r").alias("_nr"), F.col("_tot.c").alias("_nc")
     )
 
 
@@ -64,36 +76,39 @@ def _xlogy(x: Column, y: Column) -> Column:
     return F.when(x > 0, x * F.log(x / y)).otherwise(F.lit(0.0))
 
 
+def _valid() -> Column:
+    """Both sides non-empty, as an aggregate over the counts rows."""
+    return (F.max("_nr") > 0) & (F.max("_nc") > 0)
+
+
 def js_distance(ref: DataFrame, cur: DataFrame, col: str) -> DataFrame:
     """``n_categories, js`` over the union of categories."""
-    counts = value_counts(ref, cur, col)
-    nr, nc = _totals(counts)
-    p = F.try_divide(F.col("r"), nr)
-    q = F.try_divide(F.col("c"), nc)
+    counts = with_totals(value_counts(ref, cur, col))
+    p = F.try_divide(F.col("r"), F.col("_nr"))
+    q = F.try_divide(F.col("c"), F.col("_nc"))
     m = (p + q) / 2
-    terms = counts.select((_xlogy(p, m) + _xlogy(q, m)).alias("_t"))
+    terms = counts.select("_nr", "_nc", (_xlogy(p, m) + _xlogy(q, m)).alias("_t"))
     return terms.agg(
         F.count(F.lit(1)).alias("n_categories"),
-        F.when((nr > 0) & (nc > 0), F.sqrt(F.greatest(F.sum("_t") / 2, F.lit(0.0)))).alias("js"),
+        F.when(_valid(), F.sqrt(F.greatest(F.sum("_t") / 2, F.lit(0.0)))).alias("js"),
     )
 
 
 def chi_square(ref: DataFrame, cur: DataFrame, col: str) -> DataFrame:
     """``n_categories, chi2, dof, p_value`` of the 2 x k independence test."""
-    counts = value_counts(ref, cur, col)
-    nr, nc = _totals(counts)
+    counts = with_totals(value_counts(ref, cur, col))
+    nr, nc = F.col("_nr"), F.col("_nc")
     n = nr + nc
     t = F.col("r") + F.col("c")
     er = F.try_divide(nr * t, n)
     ec = F.try_divide(nc * t, n)
     cell = F.try_divide((F.col("r") - er) ** 2, er) + F.try_divide((F.col("c") - ec) ** 2, ec)
-    agg = counts.agg(F.count(F.lit(1)).alias("n_categories"), F.sum(cell).alias("_chi2"))
-    valid = (nr > 0) & (nc > 0)
+    agg = counts.agg(F.count(F.lit(1)).alias("n_categories"), F.sum(cell).alias("_chi2"), _valid().alias("_valid"))
     return agg.select(
         "n_categories",
-        F.when(valid, F.col("_chi2")).alias("chi2"),
+        F.when(F.col("_valid"), F.col("_chi2")).alias("chi2"),
         (F.col("n_categories") - 1).cast("bigint").alias("dof"),
-        F.when(valid & (F.col("n_categories") > 1), chi2_sf(F.col("_chi2"), F.col("n_categories") - 1)).alias(
+        F.when(F.col("_valid") & (F.col("n_categories") > 1), chi2_sf(F.col("_chi2"), F.col("n_categories") - 1)).alias(
             "p_value"
         ),
     )
@@ -138,22 +153,29 @@ def kolmogorov_sf(lam: Column) -> Column:
 
 
 def ecdf_stats(ref: DataFrame, cur: DataFrame, col: str, n_parts: int | None = None) -> DataFrame:
-    """``n_ref, n_cur, ks, ks_p_value, wasserstein, std_ref, wasserstein_norm``."""
+    """``n_ref, n_cur, ks, ks_p_value, wasserstein, std_ref, wasserstein_norm``.
+
+    Side totals come with the running totals (summed over the per-partition
+    summary), so no extra pass over the counts is needed.
+    """
     counts = value_counts(ref.select(F.col(col).cast("double").alias(col)), cur.select(F.col(col).cast("double").alias(col)), col)
-    nr, nc = _totals(counts)
     cdf = running_totals(counts, "value", ["r", "c"], n_parts)
+    nr, nc = F.col("tot_r").cast("double"), F.col("tot_c").cast("double")
     diff = F.abs(F.try_divide(F.col("cum_r"), nr) - F.try_divide(F.col("cum_c"), nc))
     gap = F.coalesce(F.col("next_key") - F.col("value"), F.lit(0.0))
+    stats = cdf.agg(
+        F.coalesce(F.max(nr), F.lit(0.0)).alias("_nr"),
+        F.coalesce(F.max(nc), F.lit(0.0)).alias("_nc"),
+        F.max(diff).alias("_ks"),
+        F.sum(diff * gap).alias("_w"),
+    )
     std_ref = ref.agg(F.stddev_pop(F.col(col).cast("double"))).scalar()
-    stats = cdf.agg(F.max(diff).alias("ks"), F.sum(diff * gap).alias("wasserstein"))
-    valid = (nr > 0) & (nc > 0)
-    # totals become plain columns first: a subquery may not sit inside the
-    # lambda of the Kolmogorov series
+    valid = (F.col("_nr") > 0) & (F.col("_nc") > 0)
     base = stats.select(
-        nr.alias("_nr"),
-        nc.alias("_nc"),
-        F.when(valid, F.col("ks")).alias("ks"),
-        F.when(valid, F.col("wasserstein")).alias("wasserstein"),
+        "_nr",
+        "_nc",
+        F.when(valid, F.col("_ks")).alias("ks"),
+        F.when(valid, F.col("_w")).alias("wasserstein"),
         std_ref.alias("std_ref"),
     )
     lam = F.sqrt(F.col("_nr") * F.col("_nc") / (F.col("_nr") + F.col("_nc"))) * F.col("ks")

@@ -74,8 +74,9 @@ def running_totals(
     """Inclusive running sums in ascending ``key`` order, plus the next key.
 
     ``df`` must hold one row per distinct non-null ``key``. Returns ``key``,
-    the ``sum_cols``, ``cum_<c>`` for each and ``next_key`` (the next larger
-    key, null for the last). Used for empirical CDFs over value counts.
+    the ``sum_cols``, ``cum_<c>`` and grand total ``tot_<c>`` for each, and
+    ``next_key`` (the next larger key, null for the last). Used for
+    empirical CDFs over value counts. Empty input gives no rows.
     """
     parts = ranged(df.select(key, *sum_cols), key, n_parts, "cdf")
     w = Window.partitionBy("_pid").orderBy(key)
@@ -92,14 +93,18 @@ def running_totals(
     )
     ordered = Window.orderBy("_pid")
     before = ordered.rowsBetween(Window.unboundedPreceding, -1)
+    everything = Window.partitionBy()
+    # one row per range partition, so these windows see n rows only
     offsets = summary.select(
         "_pid",
         *[F.coalesce(F.sum(f"_t_{c}").over(before), F.lit(0)).alias(f"_o_{c}") for c in sum_cols],
+        *[F.sum(f"_t_{c}").over(everything).alias(f"tot_{c}") for c in sum_cols],
         F.lead("_first").over(ordered).alias("_nfirst"),
     )
     return local.join(F.broadcast(offsets), "_pid").select(
         key,
         *sum_cols,
         *[(F.col(f"_o_{c}") + F.col(f"_lc_{c}")).alias(f"cum_{c}") for c in sum_cols],
+        *[f"tot_{c}" for c in sum_cols],
         F.coalesce("_lnext", "_nfirst").alias("next_key"),
     )
