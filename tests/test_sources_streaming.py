@@ -82,3 +82,48 @@ def test_daily_plays_stream_with_watermark(spark, tmp_dir):
     got = {r["day"]: r["n_events"] for r in spark.table("daily_plays_t").collect()}
     want = {r["d"]: r["n"] for r in plays.groupBy(F.date_format("ts", "yyyy-MM-dd").alias("d")).agg(F.count("*").alias("n")).collect()}
     assert got == want
+
+
+def test_dedupe_within_watermark_drops_resent(spark, tmp_dir):
+    import json
+
+    src = os.path.join(tmp_dir, "src")
+    os.makedirs(src)
+    rows = [
+        {"event_id": 1, "ts": "2024-01-01 00:00:00", "v": 1},
+        {"event_id": 1, "ts": "2024-01-01 00:00:05", "v": 1},  # re-sent
+        {"event_id": 2, "ts": "2024-01-01 00:01:00", "v": 2},
+    ]
+    with open(os.path.join(src, "a.json"), "w") as f:
+        f.write("\n".join(json.dumps(r) for r in rows))
+    stream = spark.readStream.schema("event_id long, ts timestamp, v long").json(src)
+    q = (
+        ingest.dedupe_events(stream, "event_id", "ts", "10 minutes")
+        .writeStream.format("memory")
+        .queryName("dedup_t")
+        .trigger(availableNow=True)
+        .start()
+    )
+    q.awaitTermination(300)
+    assert sorted(r["event_id"] for r in spark.table("dedup_t").collect()) == [1, 2]
+
+
+def test_monitor_stream_refreshes_on_drift(spark, tmp_dir):
+    from encore.plans import monitor
+
+    plays = tables.play_events(spark, SF)
+    ref = plays.where(F.col("ts") < F.lit("2024-01-15").cast("timestamp_ntz")).withColumn("plays", F.col("plays") * 100)
+    users = plays.select("user_id").distinct().withColumn("user_idx", F.col("user_id").cast("int"))
+    items = plays.select("item_id").distinct().withColumn("item_idx", F.col("item_id").cast("int"))
+    history = plays.select(F.col("user_id").cast("int").alias("user_idx"), F.col("item_id").cast("int").alias("item_idx"), "plays")
+    runs_t = spark.createDataFrame([(0, 4, 0.05, 10.0, 0.3)], "run_id int, rank int, reg double, alpha double, map double")
+    raw = tables.event_messages(tables.event_stream(spark, SF))
+    models = os.path.join(tmp_dir, "models")
+    q = monitor.monitor_stream(
+        raw, ref, history, runs_t, users, items,
+        os.path.join(tmp_dir, "plays"), os.path.join(tmp_dir, "quar"), os.path.join(tmp_dir, "ck"), models,
+        play_type=tables.PLAY_EVENT_TYPE,
+    )
+    ingest.run_to_end(q)
+    saved = os.listdir(models)
+    assert saved and all(s.startswith("batch=") for s in saved)
