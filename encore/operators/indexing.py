@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from encore.operators.prefix import contiguous_index
+from encore.operators.prefix import contiguous_index, contiguous_indexes
 
 
 def index_users(interactions: DataFrame, n_parts: int | None = None) -> DataFrame:
@@ -18,6 +18,12 @@ def index_items(interactions: DataFrame, n_parts: int | None = None) -> DataFram
     return contiguous_index(interactions, "item_id", "item_idx", n_parts)
 
 
+def index_pair(interactions: DataFrame, n_parts: int | None = None) -> tuple[DataFrame, DataFrame]:
+    """``(users, items)`` dictionaries from one pass over ``interactions``."""
+    users, items = contiguous_indexes(interactions, [("user_id", "user_idx"), ("item_id", "item_idx")], n_parts)
+    return users, items
+
+
 def index_interactions(
     interactions: DataFrame,
     users: DataFrame,

@@ -23,7 +23,9 @@ def default_partitions(df: DataFrame) -> int:
     return int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
 
 
-def ranged(df: DataFrame, key: str, n_parts: int | None = None, name: str = "ranged") -> DataFrame:
+def ranged(
+    df: DataFrame, key: str, n_parts: int | None = None, name: str = "ranged", order: Sequence[str] | None = None
+) -> DataFrame:
     """Range-partition on ``key``, sort each partition, write it as a table.
 
     Adds ``_pid`` (range partition, in key order) and ``_pos`` (0-based
@@ -37,9 +39,10 @@ def ranged(df: DataFrame, key: str, n_parts: int | None = None, name: str = "ran
     ensure_checkpoint_dir(spark)
     n = n_parts or default_partitions(df)
     pid = F.spark_partition_id()
+    cols = list(order or [key])
     out = (
-        df.repartitionByRange(n, F.col(key))
-        .sortWithinPartitions(key)
+        df.repartitionByRange(n, *[F.col(c) for c in cols])
+        .sortWithinPartitions(*cols)
         .withColumn("_pid", pid)
         .withColumn("_pos", F.monotonically_increasing_id() - F.shiftleft(pid.cast("long"), 33))
     )
@@ -65,6 +68,34 @@ def contiguous_index(df: DataFrame, key: str, out: str, n_parts: int | None = No
     return pos.join(F.broadcast(offsets), "_pid").select(key, (F.col("_off") + F.col("_pos")).cast("int").alias(out))
 
 
+def contiguous_indexes(df: DataFrame, keys: Sequence[tuple[str, str]], n_parts: int | None = None) -> list[DataFrame]:
+    """Several ``contiguous_index`` results from one pass over ``df``.
+
+    ``keys`` are ``(key column, index column)`` pairs of one data type. The
+    distinct values of all of them are written as one range-partitioned
+    table keyed by ``(kind, value)``; the offset of a value is the count of
+    values of its kind in earlier partitions, and its position is counted
+    from the first row of its kind in its partition. One scan of ``df``
+    instead of one per key.
+    """
+    types = {df.schema[k].dataType for k, _ in keys}
+    if len(types) != 1:
+        return [contiguous_index(df, k, out, n_parts) for k, out in keys]
+    tagged = df.select(
+        F.explode(F.array(*[F.struct(F.lit(i).alias("kind"), F.col(k).alias("value")) for i, (k, _) in enumerate(keys)])).alias("_e")
+    ).select("_e.kind", "_e.value")
+    distinct = tagged.where(F.col("value").isNotNull()).distinct()
+    pos = ranged(distinct, "kind", n_parts, "index-" + "-".join(out for _, out in keys), order=("kind", "value"))
+    per = pos.groupBy("_pid", "kind").agg(F.count(F.lit(1)).alias("_n"), F.min("_pos").alias("_first"))
+    before = Window.partitionBy("kind").orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
+    # one row per (range partition, kind): bounded, safe to broadcast
+    offsets = per.select("_pid", "kind", "_first", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_off"))
+    idx = pos.join(F.broadcast(offsets), ["_pid", "kind"]).select(
+        "kind", "value", (F.col("_off") + F.col("_pos") - F.col("_first")).cast("int").alias("_idx")
+    )
+    return [idx.where(F.col("kind") == i).select(F.col("value").alias(k), F.col("_idx").alias(out)) for i, (k, out) in enumerate(keys)]
+
+
 def running_totals(
     df: DataFrame,
     key: str,

@@ -76,7 +76,8 @@ def q_index_items(spark, sf):
 
 def q_index_interactions(spark, sf):
     inter = _interactions(spark, sf)
-    return indexing.index_interactions(inter, indexing.index_users(inter), indexing.index_items(inter))
+    users, items = indexing.index_pair(inter)
+    return indexing.index_interactions(inter, users, items)
 
 
 def _split(i: int) -> Query:

@@ -36,8 +36,7 @@ def prepare_frames(interactions: DataFrame, n_parts: int | None = None) -> Prepa
     The split is taken on raw ``(user_id, item_id)`` so it does not depend
     on the index; each part is then mapped to indexes.
     """
-    users = indexing.index_users(interactions, n_parts)
-    items = indexing.index_items(interactions, n_parts)
+    users, items = indexing.index_pair(interactions, n_parts)
     parts = sampling.hash_split(interactions, SPLIT_KEYS, SPLIT_WEIGHTS)
     idx = [indexing.cast_indexed(indexing.index_interactions(p, users, items)) for p in parts]
     full = indexing.cast_indexed(indexing.index_interactions(interactions, users, items))
@@ -51,18 +50,22 @@ def prepare_tables(spark: SparkSession, sf_dir: str, n_parts: int | None = None)
 def prepare(spark: SparkSession, sf_dir: str, out_dir: str) -> Prepared:
     """Write the prepared datasets under ``out_dir`` and return them read back.
 
-    ``interactions_full`` is written once, partitioned by ``split``
-    (``train``/``validation``/``test``), instead of four passes over the
-    input: ``training`` etc. are its partitions and a reader of one split
-    scans only that folder. Also written: ``users``, ``items``,
-    ``item_tracks`` and ``metadata`` (nullable ``item_idx``).
+    ``interactions_raw`` holds the raw ids with the split label;
+    ``interactions_full`` the indexed rows, written once and partitioned by
+    ``split`` (``train``/``validation``/``test``) instead of four passes over
+    the input: a reader of one split scans only that folder. Also written:
+    ``users``, ``items``, ``item_tracks`` and ``metadata`` (nullable
+    ``item_idx``).
     """
-    inter = tables.interactions(spark, sf_dir)
-    users = indexing.index_users(inter)
-    items = indexing.index_items(inter)
-    split = sampling.split_label(inter, SPLIT_KEYS, SPLIT_WEIGHTS, SPLIT_NAMES)
-    indexed = indexing.index_interactions(split, users, items, keep=("plays", "split"))
     out = out_dir.rstrip("/")
+    # the lineitem x orders join runs once: its 4-column result (plus the
+    # split label) is written, and both dictionaries and the indexed rows
+    # read that table (columnar: the dictionaries read one column each)
+    labelled = sampling.split_label(tables.interactions(spark, sf_dir), SPLIT_KEYS, SPLIT_WEIGHTS, SPLIT_NAMES)
+    sinks.write_overwrite(labelled, f"{out}/interactions_raw")
+    split = spark.read.parquet(f"{out}/interactions_raw")
+    users, items = indexing.index_pair(split)
+    indexed = indexing.index_interactions(split, users, items, keep=("plays", "split"))
     sinks.write_overwrite(indexing.cast_indexed(indexed, keep=("split",)), f"{out}/interactions_full", ["split"])
     sinks.write_overwrite(users, f"{out}/users")
     sinks.write_overwrite(items, f"{out}/items")

@@ -87,3 +87,12 @@ def test_running_totals_global_order(spark):
         cc += i % 3
         assert (row["cum_r"], row["cum_c"]) == (cr, cc)
         assert row["next_key"] == (float(i + 1) if i < 199 else None)
+
+
+def test_index_pair_equals_single_indexes(spark):
+    inter = tables.interactions(spark, SF)
+    users, items = indexing.index_pair(inter, n_parts=5)
+    assert users.exceptAll(indexing.index_users(inter)).count() == 0
+    assert items.exceptAll(indexing.index_items(inter)).count() == 0
+    assert users.count() == inter.select("user_id").distinct().count()
+    assert sorted(r[0] for r in items.select("item_idx").collect()) == list(range(items.count()))
