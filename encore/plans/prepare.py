@@ -12,6 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from encore.operators import indexing, sampling
+from encore.session import scratch_path
 from encore.sources import sinks, tables
 
 SPLIT_KEYS = ("user_id", "item_id")
@@ -31,10 +32,11 @@ class Prepared:
 
 
 def prepare_frames(interactions: DataFrame, n_parts: int | None = None) -> Prepared:
-    """Index and split ``interactions`` (canonical columns).
+    """Index and split ``interactions`` (canonical columns), lazily.
 
     The split is taken on raw ``(user_id, item_id)`` so it does not depend
-    on the index; each part is then mapped to indexes.
+    on the index; each part is then mapped to indexes. Every use of a part
+    re-evaluates ``interactions``; ``materialize`` avoids that.
     """
     users, items = indexing.index_pair(interactions, n_parts)
     parts = sampling.hash_split(interactions, SPLIT_KEYS, SPLIT_WEIGHTS)
@@ -43,46 +45,57 @@ def prepare_frames(interactions: DataFrame, n_parts: int | None = None) -> Prepa
     return Prepared(interactions, users, items, full, *idx)
 
 
+def materialize(interactions: DataFrame, out_dir: str, n_parts: int | None = None) -> Prepared:
+    """Label, index and write the interactions; return the written tables.
+
+    The input (at scale a large join) is evaluated once: its rows plus the
+    split label go to ``interactions_raw``; both dictionaries come from one
+    pass over that table (columnar: two columns read); the indexed rows go
+    to ``interactions_full``, partitioned by ``split``, so each consumer of
+    a split scans only its folder instead of re-running joins.
+    """
+    spark = interactions.sparkSession
+    out = out_dir.rstrip("/")
+    labelled = sampling.split_label(interactions, SPLIT_KEYS, SPLIT_WEIGHTS, SPLIT_NAMES)
+    sinks.write_overwrite(labelled, f"{out}/interactions_raw")
+    raw = spark.read.parquet(f"{out}/interactions_raw")
+    users, items = indexing.index_pair(raw, n_parts)
+    indexed = indexing.index_interactions(raw, users, items, keep=("plays", "split"))
+    sinks.write_overwrite(indexing.cast_indexed(indexed, keep=("split",)), f"{out}/interactions_full", ["split"])
+    return load_prepared(spark, out, users, items)
+
+
 def prepare_tables(spark: SparkSession, sf_dir: str, n_parts: int | None = None) -> Prepared:
-    return prepare_frames(tables.interactions(spark, sf_dir), n_parts)
+    """``materialize`` the interactions of the given tables into scratch space."""
+    return materialize(tables.interactions(spark, sf_dir), scratch_path(spark, "prepared"), n_parts)
 
 
 def prepare(spark: SparkSession, sf_dir: str, out_dir: str) -> Prepared:
     """Write the prepared datasets under ``out_dir`` and return them read back.
 
     ``interactions_raw`` holds the raw ids with the split label;
-    ``interactions_full`` the indexed rows, written once and partitioned by
-    ``split`` (``train``/``validation``/``test``) instead of four passes over
-    the input: a reader of one split scans only that folder. Also written:
-    ``users``, ``items``, ``item_tracks`` and ``metadata`` (nullable
-    ``item_idx``).
+    ``interactions_full`` the indexed rows, partitioned by ``split``
+    (``train``/``validation``/``test``); also ``users``, ``items``,
+    ``item_tracks`` and ``metadata`` (nullable ``item_idx``).
     """
     out = out_dir.rstrip("/")
-    # the lineitem x orders join runs once: its 4-column result (plus the
-    # split label) is written, and both dictionaries and the indexed rows
-    # read that table (columnar: the dictionaries read one column each)
-    labelled = sampling.split_label(tables.interactions(spark, sf_dir), SPLIT_KEYS, SPLIT_WEIGHTS, SPLIT_NAMES)
-    sinks.write_overwrite(labelled, f"{out}/interactions_raw")
-    split = spark.read.parquet(f"{out}/interactions_raw")
-    users, items = indexing.index_pair(split)
-    indexed = indexing.index_interactions(split, users, items, keep=("plays", "split"))
-    sinks.write_overwrite(indexing.cast_indexed(indexed, keep=("split",)), f"{out}/interactions_full", ["split"])
-    sinks.write_overwrite(users, f"{out}/users")
-    sinks.write_overwrite(items, f"{out}/items")
-    sinks.write_overwrite(indexing.attach_item_index(tables.item_tracks(spark, sf_dir), items), f"{out}/item_tracks")
-    sinks.write_overwrite(indexing.attach_item_index(tables.item_metadata(spark, sf_dir), items), f"{out}/metadata")
+    p = materialize(tables.interactions(spark, sf_dir), out)
+    sinks.write_overwrite(p.users, f"{out}/users")
+    sinks.write_overwrite(p.items, f"{out}/items")
+    sinks.write_overwrite(indexing.attach_item_index(tables.item_tracks(spark, sf_dir), p.items), f"{out}/item_tracks")
+    sinks.write_overwrite(indexing.attach_item_index(tables.item_metadata(spark, sf_dir), p.items), f"{out}/metadata")
     return load_prepared(spark, out)
 
 
-def load_prepared(spark: SparkSession, out_dir: str) -> Prepared:
-    """Prepared datasets as written by ``prepare``."""
+def load_prepared(spark: SparkSession, out_dir: str, users: DataFrame | None = None, items: DataFrame | None = None) -> Prepared:
+    """Prepared datasets as written by ``materialize``/``prepare``."""
     out = out_dir.rstrip("/")
     full = spark.read.parquet(f"{out}/interactions_full")
     part = [full.where(F.col("split") == name).drop("split") for name in SPLIT_NAMES]
     return Prepared(
-        spark.read.parquet(f"{out}/interactions_full").drop("split"),
-        spark.read.parquet(f"{out}/users"),
-        spark.read.parquet(f"{out}/items"),
+        spark.read.parquet(f"{out}/interactions_raw").drop("split"),
+        users if users is not None else spark.read.parquet(f"{out}/users"),
+        items if items is not None else spark.read.parquet(f"{out}/items"),
         full.drop("split"),
         *part,
     )
