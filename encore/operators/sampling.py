@@ -67,6 +67,11 @@ def random_split(df: DataFrame, weights: Sequence[float] = (0.6, 0.2, 0.2), seed
     return df.randomSplit(list(weights), seed=seed)
 
 
+def bernoulli_sample(df: DataFrame, fraction: float, seed: int = 42) -> DataFrame:
+    """``df.sample(fraction, seed)``; the row set depends on partitioning."""
+    return df.sample(withReplacement=False, fraction=fraction, seed=seed)
+
+
 def hash_sample(df: DataFrame, fraction: float, keys: Sequence[str], buckets: int = SAMPLE_BUCKETS) -> DataFrame:
     """Rows whose key falls in the first ``fraction`` of hash buckets."""
     return df.where(hash_bucket(keys, buckets) < F.lit(int(round(fraction * buckets))))

@@ -91,6 +91,14 @@ def q_hash_sample(spark, sf):
     return sampling.hash_sample(_interactions(spark, sf), SAMPLE_FRACTION, SPLIT_KEYS)
 
 
+def q_bernoulli_sample(spark, sf):
+    return sampling.bernoulli_sample(_interactions(spark, sf), SAMPLE_FRACTION)
+
+
+def q_random_split_train(spark, sf):
+    return sampling.random_split(_interactions(spark, sf))[0]
+
+
 def q_recent_window(spark, sf):
     return sampling.recent_window(_interactions(spark, sf), WINDOW_DAYS)
 
@@ -347,6 +355,8 @@ QUERIES: dict[str, Query] = {
     "split_test": _split(2),
     "hash_sample": q_hash_sample,
     "recent_window": q_recent_window,
+    "bernoulli_sample": q_bernoulli_sample,
+    "random_split_train": q_random_split_train,
     "reference_window": q_reference_window,
     "index_item_mapping": q_index_item_mapping,
     "index_metadata": q_index_metadata,

@@ -85,3 +85,35 @@ def drift_schema():
     from encore import schemas
 
     return schemas.DRIFT_REPORT
+
+
+def test_golden_values_on_events(spark):
+    """Values pinned in the blueprint for sf0.01 events (reference = before 2024-01-15)."""
+    ev = spark.read.parquet("/root/testdata/sf0.01/events.parquet")
+    cut = F.lit("2024-01-15").cast("timestamp_ntz")
+    ref, cur = ev.where(F.col("ts") < cut), ev.where(F.col("ts") >= cut)
+    assert drift.ecdf_stats(ref, cur, "value").first()["wasserstein"] == pytest.approx(0.7601607133788, abs=1e-9)
+    assert drift.js_distance(ref, cur, "event_type").first()["js"] == pytest.approx(0.0069087642368, abs=1e-10)
+    chi = drift.chi_square(ref, cur, "event_type").first()
+    assert chi["chi2"] == pytest.approx(0.9503203466661, abs=1e-9) and chi["dof"] == 4
+    assert chi["p_value"] == pytest.approx(0.9172, abs=5e-5)
+    small = spark.read.parquet("/root/testdata/sf0.001/events.parquet")
+    ks = drift.ecdf_stats(small.where("event_type = 'click'"), small.where("event_type = 'view'"), "value").first()["ks"]
+    assert ks == pytest.approx(0.0646403242148, abs=1e-10)
+
+
+def test_chi_square_matches_spark_ml(spark):
+    from pyspark.ml.feature import StringIndexer, VectorAssembler
+    from pyspark.ml.stat import ChiSquareTest
+
+    ev = spark.read.parquet("/root/testdata/sf0.01/events.parquet")
+    cut = F.lit("2024-01-15").cast("timestamp_ntz")
+    ref, cur = ev.where(F.col("ts") < cut), ev.where(F.col("ts") >= cut)
+    mine = drift.chi_square(ref, cur, "event_type").first()
+    labelled = ev.withColumn("side", (F.col("ts") >= cut).cast("double"))
+    idx = StringIndexer(inputCol="event_type", outputCol="cat").fit(labelled).transform(labelled)
+    vec = VectorAssembler(inputCols=["cat"], outputCol="features").transform(idx)
+    ml = ChiSquareTest.test(vec, "features", "side").first()
+    assert mine["chi2"] == pytest.approx(ml["statistics"][0], rel=1e-9)
+    assert mine["p_value"] == pytest.approx(ml["pValues"][0], abs=1e-9)
+    assert mine["dof"] == ml["degreesOfFreedom"][0]

@@ -26,7 +26,8 @@ def test_query_matches_oracle(spark, con, key):
 
 
 def test_every_query_has_oracle_or_is_model_based():
-    assert set(ROWS_ONLY) <= {"als_user_factors", "als_topk", "grid_runs", "als_refresh"}
+    # model fits and partition-dependent random draws have no SQL equivalent
+    assert set(ROWS_ONLY) <= {"als_user_factors", "als_topk", "grid_runs", "als_refresh", "bernoulli_sample", "random_split_train"}
 
 
 def test_entry_smoke(spark):
