@@ -2,13 +2,15 @@
 
 All statistics are aggregates over value counts, computed on the cluster:
 
-* counts: reference and current rows are tagged, unioned and grouped by
-  value in one shuffle (partial aggregation first, so a value holding a
-  large share of rows is summed map-side);
-* side totals enter once per plan (a scalar subquery projected as a column,
-  or the sum of the per-partition summary of the running totals);
+* counts: each side is scanned once for all report columns; its rows are
+  exploded into ``(column, value)`` pairs, tagged, unioned and grouped in
+  one shuffle (partial aggregation first, so a value holding a large share
+  of rows is summed map-side);
+* per-column side totals are a table of one row per column (bounded by the
+  number of columns, broadcast);
 * the empirical CDFs come from running totals over range-partitioned value
-  counts (``prefix.running_totals``), never from one ordered partition.
+  counts, per column (``prefix.running_totals``), never from one ordered
+  partition.
 
 Statistics (``score`` of the report):
 
@@ -32,6 +34,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from encore.operators.prefix import running_totals
+from encore.session import scratch_path
 
 # Method thresholds, dataset share and std floor.
 THRESHOLDS = {"wasserstein": 0.1, "jensenshannon": 0.1, "ks": 0.05, "chisquare": 0.05}
@@ -42,76 +45,140 @@ LARGE = {"numeric": "wasserstein", "categorical": "jensenshannon"}
 SMALL = {"numeric": "ks", "categorical": "chisquare"}
 
 
-def value_counts(ref: DataFrame, cur: DataFrame, col: str) -> DataFrame:
-    """``value, r, c``: rows per non-null value on each side."""
-    tagged = ref.select(F.col(col).alias("value"), F.lit(1).alias("_r"), F.lit(0).alias("_c")).unionByName(
-        cur.select(F.col(col).alias("value"), F.lit(0).alias("_r"), F.lit(1).alias("_c"))
-    )
-    return (
-        tagged.where(F.col("value").isNotNull())
-        .groupBy("value")
-        .agg(F.sum("_r").cast("bigint").alias("r"), F.sum("_c").cast("bigint").alias("c"))
-    )
-
-
-def with_totals(counts: DataFrame) -> DataFrame:
-    """Counts plus the side totals ``_nr, _nc`` as columns.
+def long_counts(ref: DataFrame, cur: DataFrame, numeric: Sequence[str], categorical: Sequence[str]) -> DataFrame:
+    """``column, num, cat, r, c``: rows per non-null value and side, all columns at once.
 
-    Both totals come from one struct-valued scalar subquery referenced
-    exactly once; the expressions downstream use the columns, so the plan
-    runs one subquery instead of one per use.
+    Numeric columns carry their value in ``num`` (double), categorical ones
+    in ``cat`` (text; distinct values stay distinct). Written to the shared
+    checkpoint folder and read back.
     """
-    tot = counts.agg(
-        F.struct(
-            F.coalesce(F.sum("r"), F.lit(0)).cast("double").alias("r"),
-            F.coalesce(F.sum("c"), F.lit(0)).cast("double").alias("c"),
+
+    def side(df: DataFrame, is_ref: bool) -> DataFrame:
+        cells = [F.struct(F.lit(c).alias("column"), F.col(c).cast("double").alias("num"), F.lit(None).cast("string").alias("cat")) for c in numeric]
+        cells += [F.struct(F.lit(c).alias("column"), F.lit(None).cast("double").alias("num"), F.col(c).cast("string").alias("cat")) for c in categorical]
+        return df.select(F.explode(F.array(*cells)).alias("_e")).select(
+            "_e.column", "_e.num", "_e.cat", F.lit(int(is_ref)).alias("_r"), F.lit(int(not is_ref)).alias("_c")
         )
-    ).scalar()
-    return counts.select("value", "r", "c", tot.alias("_tot")).select(
-        "value", "r", "c", F.col("_tot.r").alias("_nr"), F.col("_tot.c").alias("_nc")
+
+    tagged = side(ref, True).unionByName(side(cur, False))
+    counts = (
+        tagged.where(F.col("num").isNotNull() | F.col("cat").isNotNull())
+        .groupBy("column", "num", "cat")
+        .agg(F.sum("_r").cast("bigint").alias("r"), F.sum("_c").cast("bigint").alias("c"))
     )
+    # several statistics read the counts; writing them once (shared
+    # checkpoint folder) keeps each side to a single scan and cuts lineage
+    spark = ref.sparkSession
+    path = scratch_path(spark, "drift-counts")
+    counts.write.mode("overwrite").parquet(path)
+    return spark.read.parquet(path)
+
+
+def _columns(spark, cols: Sequence[str]) -> DataFrame:
+    """One row per report column, so a column with no values still gets a row."""
+    return spark.range(1).select(F.explode(F.array(*[F.lit(c) for c in cols])).alias("column"))
 
 
 def _xlogy(x: Column, y: Column) -> Column:
     return F.when(x > 0, x * F.log(x / y)).otherwise(F.lit(0.0))
 
 
-def _valid() -> Column:
-    """Both sides non-empty, as an aggregate over the counts rows."""
-    return (F.max("_nr") > 0) & (F.max("_nc") > 0)
+def categorical_stats(counts: DataFrame, cols: Sequence[str]) -> DataFrame:
+    """``column, n_categories, js, chi2, dof, p_value`` from ``long_counts``."""
+    cat = counts.where(F.col("cat").isNotNull() & F.col("column").isin(*cols)).select("column", "r", "c")
+    tot = cat.groupBy("column").agg(F.sum("r").cast("double").alias("_nr"), F.sum("c").cast("double").alias("_nc"))
+    j = cat.join(F.broadcast(tot), "column")
+    nr, nc = F.col("_nr"), F.col("_nc")
+    p, q = F.try_divide(F.col("r"), nr), F.try_divide(F.col("c"), nc)
+    m = (p + q) / 2
+    n, t = nr + nc, F.col("r") + F.col("c")
+    er, ec = F.try_divide(nr * t, n), F.try_divide(nc * t, n)
+    cell = F.try_divide((F.col("r") - er) ** 2, er) + F.try_divide((F.col("c") - ec) ** 2, ec)
+    agg = j.groupBy("column").agg(
+        F.count(F.lit(1)).alias("_k"),
+        F.sum(_xlogy(p, m) + _xlogy(q, m)).alias("_js2"),
+        F.sum(cell).alias("_chi2"),
+        ((F.max(nr) > 0) & (F.max(nc) > 0)).alias("_valid"),
+    )
+    out = _columns(counts.sparkSession, cols).join(F.broadcast(agg), "column", "left")
+    k = F.coalesce(F.col("_k"), F.lit(0)).cast("bigint")
+    valid = F.coalesce(F.col("_valid"), F.lit(False))
+    return out.select(
+        "column",
+        k.alias("n_categories"),
+        F.when(valid, F.sqrt(F.greatest(F.col("_js2") / 2, F.lit(0.0)))).alias("js"),
+        F.when(valid, F.col("_chi2")).alias("chi2"),
+        (k - 1).alias("dof"),
+        F.when(valid & (k > 1), chi2_sf(F.col("_chi2"), k - 1)).alias("p_value"),
+    )
+
+
+def numeric_stats(counts: DataFrame, cols: Sequence[str], n_parts: int | None = None) -> DataFrame:
+    """``column, n_ref, n_cur, ks, ks_p_value, wasserstein, std_ref, wasserstein_norm``.
+
+    The CDFs come from per-column running totals; the reference standard
+    deviation is taken from the same counts (weighted, two passes: mean,
+    then squared deviations), so the reference rows are not read again.
+    """
+    num = counts.where(F.col("num").isNotNull() & F.col("column").isin(*cols)).select(
+        "column", F.col("num").alias("value"), "r", "c"
+    )
+    cdf = running_totals(num, "value", ["r", "c"], n_parts, group="column")
+    nr, nc = F.col("tot_r").cast("double"), F.col("tot_c").cast("double")
+    diff = F.abs(F.try_divide(F.col("cum_r"), nr) - F.try_divide(F.col("cum_c"), nc))
+    gap = F.coalesce(F.col("next_key") - F.col("value"), F.lit(0.0))
+    stats = cdf.groupBy("column").agg(
+        F.max(nr).alias("_nr"), F.max(nc).alias("_nc"), F.max(diff).alias("_ks"), F.sum(diff * gap).alias("_w")
+    )
+    mean = num.groupBy("column").agg(F.try_divide(F.sum(F.col("r") * F.col("value")), F.sum("r")).alias("_mean"))
+    var = (
+        num.join(F.broadcast(mean), "column")
+        .groupBy("column")
+        .agg(F.try_divide(F.sum(F.col("r") * (F.col("value") - F.col("_mean")) ** 2), F.sum("r")).alias("_var"))
+    )
+    base = (
+        _columns(counts.sparkSession, cols)
+        .join(F.broadcast(stats), "column", "left")
+        .join(F.broadcast(var), "column", "left")
+        .select(
+            "column",
+            F.coalesce("_nr", F.lit(0.0)).alias("_nr"),
+            F.coalesce("_nc", F.lit(0.0)).alias("_nc"),
+            "_ks",
+            "_w",
+            F.sqrt(F.greatest(F.col("_var"), F.lit(0.0))).alias("std_ref"),
+        )
+    )
+    valid = (F.col("_nr") > 0) & (F.col("_nc") > 0)
+    base = base.select(
+        "column", "_nr", "_nc", F.when(valid, F.col("_ks")).alias("ks"), F.when(valid, F.col("_w")).alias("wasserstein"), "std_ref"
+    )
+    lam = F.sqrt(F.col("_nr") * F.col("_nc") / (F.col("_nr") + F.col("_nc"))) * F.col("ks")
+    return base.select(
+        "column",
+        F.col("_nr").cast("bigint").alias("n_ref"),
+        F.col("_nc").cast("bigint").alias("n_cur"),
+        "ks",
+        F.when(F.col("ks").isNotNull(), kolmogorov_sf(lam)).alias("ks_p_value"),
+        "wasserstein",
+        "std_ref",
+        (F.col("wasserstein") / F.greatest(F.col("std_ref"), F.lit(STD_FLOOR))).alias("wasserstein_norm"),
+    )
+
+
+def ecdf_stats(ref: DataFrame, cur: DataFrame, col: str, n_parts: int | None = None) -> DataFrame:
+    """``n_ref, n_cur, ks, ks_p_value, wasserstein, std_ref, wasserstein_norm`` of one column."""
+    return numeric_stats(long_counts(ref, cur, [col], []), [col], n_parts).drop("column")
 
 
 def js_distance(ref: DataFrame, cur: DataFrame, col: str) -> DataFrame:
     """``n_categories, js`` over the union of categories."""
-    counts = with_totals(value_counts(ref, cur, col))
-    p = F.try_divide(F.col("r"), F.col("_nr"))
-    q = F.try_divide(F.col("c"), F.col("_nc"))
-    m = (p + q) / 2
-    terms = counts.select("_nr", "_nc", (_xlogy(p, m) + _xlogy(q, m)).alias("_t"))
-    return terms.agg(
-        F.count(F.lit(1)).alias("n_categories"),
-        F.when(_valid(), F.sqrt(F.greatest(F.sum("_t") / 2, F.lit(0.0)))).alias("js"),
-    )
+    return categorical_stats(long_counts(ref, cur, [], [col]), [col]).select("n_categories", "js")
 
 
 def chi_square(ref: DataFrame, cur: DataFrame, col: str) -> DataFrame:
     """``n_categories, chi2, dof, p_value`` of the 2 x k independence test."""
-    counts = with_totals(value_counts(ref, cur, col))
-    nr, nc = F.col("_nr"), F.col("_nc")
-    n = nr + nc
-    t = F.col("r") + F.col("c")
-    er = F.try_divide(nr * t, n)
-    ec = F.try_divide(nc * t, n)
-    cell = F.try_divide((F.col("r") - er) ** 2, er) + F.try_divide((F.col("c") - ec) ** 2, ec)
-    agg = counts.agg(F.count(F.lit(1)).alias("n_categories"), F.sum(cell).alias("_chi2"), _valid().alias("_valid"))
-    return agg.select(
-        "n_categories",
-        F.when(F.col("_valid"), F.col("_chi2")).alias("chi2"),
-        (F.col("n_categories") - 1).cast("bigint").alias("dof"),
-        F.when(F.col("_valid") & (F.col("n_categories") > 1), chi2_sf(F.col("_chi2"), F.col("n_categories") - 1)).alias(
-            "p_value"
-        ),
-    )
+    return categorical_stats(long_counts(ref, cur, [], [col]), [col]).select("n_categories", "chi2", "dof", "p_value")
 
 
 def chi2_sf(x: Column, dof: Column) -> Column:
@@ -152,48 +219,10 @@ def kolmogorov_sf(lam: Column) -> Column:
     return F.when(lam <= 0, F.lit(1.0)).otherwise(F.greatest(F.least(2 * s, F.lit(1.0)), F.lit(0.0)))
 
 
-def ecdf_stats(ref: DataFrame, cur: DataFrame, col: str, n_parts: int | None = None) -> DataFrame:
-    """``n_ref, n_cur, ks, ks_p_value, wasserstein, std_ref, wasserstein_norm``.
-
-    Side totals come with the running totals (summed over the per-partition
-    summary), so no extra pass over the counts is needed.
-    """
-    counts = value_counts(ref.select(F.col(col).cast("double").alias(col)), cur.select(F.col(col).cast("double").alias(col)), col)
-    cdf = running_totals(counts, "value", ["r", "c"], n_parts)
-    nr, nc = F.col("tot_r").cast("double"), F.col("tot_c").cast("double")
-    diff = F.abs(F.try_divide(F.col("cum_r"), nr) - F.try_divide(F.col("cum_c"), nc))
-    gap = F.coalesce(F.col("next_key") - F.col("value"), F.lit(0.0))
-    stats = cdf.agg(
-        F.coalesce(F.max(nr), F.lit(0.0)).alias("_nr"),
-        F.coalesce(F.max(nc), F.lit(0.0)).alias("_nc"),
-        F.max(diff).alias("_ks"),
-        F.sum(diff * gap).alias("_w"),
-    )
-    std_ref = ref.agg(F.stddev_pop(F.col(col).cast("double"))).scalar()
-    valid = (F.col("_nr") > 0) & (F.col("_nc") > 0)
-    base = stats.select(
-        "_nr",
-        "_nc",
-        F.when(valid, F.col("_ks")).alias("ks"),
-        F.when(valid, F.col("_w")).alias("wasserstein"),
-        std_ref.alias("std_ref"),
-    )
-    lam = F.sqrt(F.col("_nr") * F.col("_nc") / (F.col("_nr") + F.col("_nc"))) * F.col("ks")
-    return base.select(
-        F.col("_nr").cast("bigint").alias("n_ref"),
-        F.col("_nc").cast("bigint").alias("n_cur"),
-        "ks",
-        F.when(F.col("ks").isNotNull(), kolmogorov_sf(lam)).alias("ks_p_value"),
-        "wasserstein",
-        "std_ref",
-        (F.col("wasserstein") / F.greatest(F.col("std_ref"), F.lit(STD_FLOOR))).alias("wasserstein_norm"),
-    )
-
-
-def _row(column: str, method: str, score: Column, threshold: float) -> list[Column]:
+def _row(method: str, score: Column, threshold: float) -> list[Column]:
     drifted = (score < threshold) if method in ("ks", "chisquare") else (score >= threshold)
     return [
-        F.lit(column).alias("column"),
+        F.col("column"),
         F.lit(method).alias("method"),
         score.cast("double").alias("score"),
         F.lit(float(threshold)).alias("threshold"),
@@ -203,17 +232,25 @@ def _row(column: str, method: str, score: Column, threshold: float) -> list[Colu
 
 def column_drift(ref: DataFrame, cur: DataFrame, column: str, method: str, threshold: float | None = None) -> DataFrame:
     """One report row for ``column`` with the given method."""
-    thr = THRESHOLDS[method] if threshold is None else threshold
-    if method in ("wasserstein", "ks"):
-        s = ecdf_stats(ref, cur, column)
-        score = F.col("wasserstein_norm") if method == "wasserstein" else F.col("ks_p_value")
-    elif method == "jensenshannon":
-        s, score = js_distance(ref, cur, column), F.col("js")
-    elif method == "chisquare":
-        s, score = chi_square(ref, cur, column), F.col("p_value")
-    else:
+    numeric = [column] if method in ("wasserstein", "ks") else []
+    categorical = [] if numeric else [column]
+    if method not in THRESHOLDS:
         raise ValueError(f"unknown drift method {method!r}")
-    return s.select(*_row(column, method, score, thr))
+    return _report(long_counts(ref, cur, numeric, categorical), numeric, categorical, method, method, {method: threshold} if threshold is not None else {})
+
+
+def _report(counts: DataFrame, numeric, categorical, num_method: str, cat_method: str, thresholds: dict) -> DataFrame:
+    parts = []
+    if numeric:
+        score = F.col("wasserstein_norm") if num_method == "wasserstein" else F.col("ks_p_value")
+        parts.append(numeric_stats(counts, numeric).select(*_row(num_method, score, thresholds.get(num_method, THRESHOLDS[num_method]))))
+    if categorical:
+        score = F.col("js") if cat_method == "jensenshannon" else F.col("p_value")
+        parts.append(categorical_stats(counts, categorical).select(*_row(cat_method, score, thresholds.get(cat_method, THRESHOLDS[cat_method]))))
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.unionByName(p)
+    return out
 
 
 def drift_report(
@@ -226,17 +263,12 @@ def drift_report(
 ) -> DataFrame:
     """``column, method, score, threshold, drifted``: one row per column.
 
-    ``size="large"`` uses the distances, ``"small"`` the p-value tests.
+    ``size="large"`` uses the distances, ``"small"`` the p-value tests. Each
+    side is scanned once for all columns (``long_counts``).
     """
     methods = LARGE if size == "large" else SMALL
-    thresholds = thresholds or {}
-    parts = [
-        column_drift(ref, cur, c, methods["numeric"], thresholds.get(methods["numeric"])) for c in numeric
-    ] + [column_drift(ref, cur, c, methods["categorical"], thresholds.get(methods["categorical"])) for c in categorical]
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out
+    counts = long_counts(ref, cur, numeric, categorical)
+    return _report(counts, list(numeric), list(categorical), methods["numeric"], methods["categorical"], thresholds or {})
 
 
 def dataset_drift(report: DataFrame, share: float = DATASET_SHARE) -> DataFrame:

@@ -101,38 +101,44 @@ def running_totals(
     key: str,
     sum_cols: Sequence[str],
     n_parts: int | None = None,
+    group: str | None = None,
 ) -> DataFrame:
     """Inclusive running sums in ascending ``key`` order, plus the next key.
 
-    ``df`` must hold one row per distinct non-null ``key``. Returns ``key``,
-    the ``sum_cols``, ``cum_<c>`` and grand total ``tot_<c>`` for each, and
-    ``next_key`` (the next larger key, null for the last). Used for
-    empirical CDFs over value counts. Empty input gives no rows.
+    ``df`` must hold one row per distinct non-null ``key`` (per ``group``
+    when given: then every group has its own running sums). Returns
+    ``group``, ``key``, the ``sum_cols``, ``cum_<c>`` and group total
+    ``tot_<c>`` for each, and ``next_key`` (the next larger key of the
+    group, null for the last). Used for empirical CDFs over value counts.
+    The per-(partition, group) summary has at most n x groups rows, so it is
+    broadcast. Empty input gives no rows.
     """
-    parts = ranged(df.select(key, *sum_cols), key, n_parts, "cdf")
-    w = Window.partitionBy("_pid").orderBy(key)
+    g = [group] if group else []
+    parts = ranged(df.select(*g, key, *sum_cols), key, n_parts, "cdf", order=[*g, key])
+    w = Window.partitionBy("_pid", *g).orderBy(key)
     upto = w.rowsBetween(Window.unboundedPreceding, Window.currentRow)
     local = parts.select(
         "_pid",
+        *g,
         key,
         *sum_cols,
         *[F.sum(c).over(upto).alias(f"_lc_{c}") for c in sum_cols],
         F.lead(key).over(w).alias("_lnext"),
     )
-    summary = parts.groupBy("_pid").agg(
-        *[F.sum(c).alias(f"_t_{c}") for c in sum_cols], F.min(key).alias("_first")
-    )
-    ordered = Window.orderBy("_pid")
+    summary = parts.groupBy("_pid", *g).agg(*[F.sum(c).alias(f"_t_{c}") for c in sum_cols], F.min(key).alias("_first"))
+    ordered = Window.partitionBy(*g).orderBy("_pid")
     before = ordered.rowsBetween(Window.unboundedPreceding, -1)
-    everything = Window.partitionBy()
-    # one row per range partition, so these windows see n rows only
+    whole = Window.partitionBy(*g)
+    # one row per (range partition, group), so these windows see few rows
     offsets = summary.select(
         "_pid",
+        *g,
         *[F.coalesce(F.sum(f"_t_{c}").over(before), F.lit(0)).alias(f"_o_{c}") for c in sum_cols],
-        *[F.sum(f"_t_{c}").over(everything).alias(f"tot_{c}") for c in sum_cols],
+        *[F.sum(f"_t_{c}").over(whole).alias(f"tot_{c}") for c in sum_cols],
         F.lead("_first").over(ordered).alias("_nfirst"),
     )
-    return local.join(F.broadcast(offsets), "_pid").select(
+    return local.join(F.broadcast(offsets), ["_pid", *g]).select(
+        *g,
         key,
         *sum_cols,
         *[(F.col(f"_o_{c}") + F.col(f"_lc_{c}")).alias(f"cum_{c}") for c in sum_cols],
