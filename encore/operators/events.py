@@ -35,7 +35,9 @@ def classify(raw: DataFrame, play_type: str = "play", value_col: str = "value")
     """Adds ``_e`` (parsed struct), ``_ts`` and ``status``."""
     p = _parsed(raw, value_col)
     etype = F.col("_e.event_type")
-    ts = F.try_to_timestamp(F.col("_e.timestamp"))
+    # ISO-8601 text to wall-clock time; no session zone is involved, and
+    # text that is not a time becomes null instead of failing the job
+    ts = F.col("_e.timestamp").try_cast("timestamp_ntz")
     status = (
         F.when(etype.isNotNull() & (etype != play_type), F.lit(DROPPED))
         .when(F.col("_e").isNull() | F.col(f"_e.{schemas.CORRUPT_COLUMN}").isNotNull(), F.lit(BAD_JSON))
@@ -49,15 +51,14 @@ def classify(raw: DataFrame, play_type: str = "play", value_col: str = "value")
 def kept_events(classified: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
     """Good plays in canonical form ``user_id, item_id, plays, ts, event_type``.
 
-    ``ts`` keeps the wall-clock time of the message as ``timestamp_ntz``
-    (parsed in the session zone and read back in it, so the zone cancels).
+    ``ts`` keeps the wall-clock time of the message as ``timestamp_ntz``.
     """
     return classified.where(F.col("status") == KEPT).select(
         *keep,
         F.col("_e.user_id").alias("user_id"),
         F.col("_e.song_id").alias("item_id"),
         F.col("_e.plays").alias("plays"),
-        F.col("_ts").cast("timestamp_ntz").alias("ts"),
+        F.col("_ts").alias("ts"),
         F.col("_e.event_type").alias("event_type"),
     )
 

@@ -157,7 +157,7 @@ def q_latest_model_version(spark, sf):
 
 def q_daily_plays(spark, sf):
     p = _plays(spark, sf)
-    w = F.window(F.col("ts").cast("timestamp"), "1 day")
+    w = F.window("ts", "1 day")  # on timestamp_ntz: wall-clock days in any session zone
     return (
         p.groupBy(w.alias("w"))
         .agg(F.count(F.lit(1)).cast("bigint").alias("n_events"), F.round(F.sum("plays"), 6).alias("plays"))

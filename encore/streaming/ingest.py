@@ -24,8 +24,8 @@ Trigger = dict
 
 
 def parse_stream(raw: DataFrame, play_type: str = "play", keep: tuple[str, ...] = ()) -> tuple[DataFrame, DataFrame]:
-    """Streaming ``(good, bad)``; ``ts`` is a (zone-aware) timestamp, as
-    event-time operators such as watermarks require."""
+    """Streaming ``(good, bad)``; ``ts`` is ``timestamp_ntz`` (cast it to a
+    zone-aware timestamp before a watermark, as ``daily_plays`` does)."""
     return events.parse_events(raw, play_type, keep)
 
 
@@ -33,7 +33,7 @@ def daily_plays(plays: DataFrame, watermark: str = "1 day", ts_col: str = "ts")
     """Plays and events per event day, with late data bounded by ``watermark``.
 
     ``ts`` is cast to a zone-aware timestamp: watermarks reject
-    ``timestamp_ntz``.
+    ``timestamp_ntz``, so days here are days of the session time zone.
     """
     t = F.col(ts_col).cast("timestamp")
     return (
