@@ -69,3 +69,17 @@ def scratch_path(spark: SparkSession, name: str) -> str:
 
     root = ensure_checkpoint_dir(spark).rstrip("/")
     return f"{root}/encore-tables/{name}-{uuid.uuid4().hex[:12]}"
+
+
+def clear_scratch(spark: SparkSession) -> bool:
+    """Delete the intermediate tables written under the checkpoint folder.
+
+    Range-partitioned key tables, materialised interactions and drift counts
+    live in ``<checkpoint dir>/encore-tables``; call this when the job that
+    needed them is done.
+    """
+    root = ensure_checkpoint_dir(spark).rstrip("/") + "/encore-tables"
+    jvm = spark.sparkContext._jvm
+    path = jvm.org.apache.hadoop.fs.Path(root)
+    fs = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    return bool(fs.exists(path)) and bool(fs.delete(path, True))
