@@ -86,10 +86,13 @@ def recent_window(
     """Rows with ``ts >= as_of - days``.
 
     ``as_of`` defaults to the newest ``ts`` of the table (a scalar subquery,
-    run once); a string is read as a timestamp literal of the column type.
+    run once); ``"now"`` is the query start time; another string is read
+    as a timestamp literal of the column type.
     """
     if as_of is None:
         anchor = df.select(F.max(ts_col)).scalar()
+    elif isinstance(as_of, str) and as_of == "now":
+        anchor = F.current_timestamp().cast(df.schema[ts_col].dataType)
     elif isinstance(as_of, str):
         anchor = F.lit(as_of).cast(df.schema[ts_col].dataType)
     else:

@@ -16,18 +16,22 @@ def write_overwrite(df: DataFrame, path: str, partition_by: list[str] | None = N
     w.parquet(path)
 
 
-def with_event_date(df: DataFrame, ts_col: str = "ts", out: str = "dt") -> DataFrame:
-    """Add the date partition column (event date)."""
+def with_event_date(df: DataFrame, ts_col: str = "ts", out: str = "dt", by: str = "event") -> DataFrame:
+    """Add the date partition column: the event's date, or with
+    ``by="ingest"`` the date the batch is written (``current_date``)."""
+    if by == "ingest":
+        return df.withColumn(out, F.current_date())
     return df.withColumn(out, F.to_date(F.col(ts_col)))
 
 
-def append_daily(df: DataFrame, path: str, ts_col: str = "ts") -> None:
-    """Append into ``path/dt=YYYY-MM-DD`` folders, by event date.
+def append_daily(df: DataFrame, path: str, ts_col: str = "ts", by: str = "event") -> None:
+    """Append into ``path/dt=YYYY-MM-DD`` folders.
 
-    Partitioning by the event's own date (not the ingest day) keeps a late
-    event with the other events of its day and lets readers prune folders.
+    By default the folder is the event's own date: a late event stays with
+    the other events of its day and readers prune folders by event time.
+    ``by="ingest"`` files every row under the day it was written instead.
     """
-    with_event_date(df, ts_col).write.mode("append").partitionBy("dt").parquet(path)
+    with_event_date(df, ts_col, by=by).write.mode("append").partitionBy("dt").parquet(path)
 
 
 def daily_partition_counts(df: DataFrame, ts_col: str = "ts") -> DataFrame:

@@ -96,3 +96,15 @@ def test_index_pair_equals_single_indexes(spark):
     assert items.exceptAll(indexing.index_items(inter)).count() == 0
     assert users.count() == inter.select("user_id").distinct().count()
     assert sorted(r[0] for r in items.select("item_idx").collect()) == list(range(items.count()))
+
+
+def test_recent_window_anchors(spark):
+    import datetime
+
+    df = spark.createDataFrame(
+        [(datetime.datetime(2024, 1, 1),), (datetime.datetime(2024, 1, 20),), (datetime.datetime.now() - datetime.timedelta(days=2),)],
+        "ts timestamp_ntz",
+    )
+    assert sampling.recent_window(df, 30, as_of="now").count() == 1
+    # a lower bound only (ts >= as_of - days), as in the trailing-window filter
+    assert sampling.recent_window(df, 10, as_of="2024-01-25").count() == 2

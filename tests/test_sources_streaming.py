@@ -127,3 +127,13 @@ def test_monitor_stream_refreshes_on_drift(spark, tmp_dir):
     ingest.run_to_end(q)
     saved = os.listdir(models)
     assert saved and all(s.startswith("batch=") for s in saved)
+
+
+def test_daily_append_by_ingest_date(spark, tmp_dir):
+    import datetime
+
+    plays = tables.play_events(spark, SF)
+    path = os.path.join(tmp_dir, "ingest")
+    sinks.append_daily(plays, path, by="ingest")
+    days = {r["dt"] for r in spark.read.parquet(path).select("dt").distinct().collect()}
+    assert days == {datetime.date.today()} or len(days) == 1
