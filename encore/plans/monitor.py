@@ -78,7 +78,6 @@ def monitor_stream(
     trigger: dict | None = None,
 ):
     """Ingest stream whose every micro-batch runs the drift gate on its new plays."""
-    from encore.operators import events
     from encore.streaming import ingest
 
     def on_batch(_all: DataFrame, batch_id: int) -> None:
