@@ -34,6 +34,7 @@ def hash_split(
     keys: Sequence[str],
     weights: Sequence[float] = (0.6, 0.2, 0.2),
     buckets: int = SPLIT_BUCKETS,
+    method: str = "md5",
 ) -> list[DataFrame]:
     """Disjoint, complete split by ``md5(key) % buckets``.
 
@@ -41,7 +42,7 @@ def hash_split(
     with keys ``user_id, item_id`` all plays of one pair stay together, so
     shares deviate slightly from ``weights`` when pairs repeat.
     """
-    b = hash_bucket(keys, buckets)
+    b = hash_bucket(keys, buckets, method)
     return [df.where((b >= lo) & (b < hi)) for lo, hi in split_bounds(weights, buckets)]
 
 
@@ -72,9 +73,11 @@ def bernoulli_sample(df: DataFrame, fraction: float, seed: int = 42) -> DataFram
     return df.sample(withReplacement=False, fraction=fraction, seed=seed)
 
 
-def hash_sample(df: DataFrame, fraction: float, keys: Sequence[str], buckets: int = SAMPLE_BUCKETS) -> DataFrame:
+def hash_sample(
+    df: DataFrame, fraction: float, keys: Sequence[str], buckets: int = SAMPLE_BUCKETS, method: str = "md5"
+) -> DataFrame:
     """Rows whose key falls in the first ``fraction`` of hash buckets."""
-    return df.where(hash_bucket(keys, buckets) < F.lit(int(round(fraction * buckets))))
+    return df.where(hash_bucket(keys, buckets, method) < F.lit(int(round(fraction * buckets))))
 
 
 def recent_window(

@@ -39,6 +39,27 @@ def local_session(cpus: int | None = None, app: str = "encore") -> SparkSession:
     return spark
 
 
+def scale_settings(spark: SparkSession, input_bytes: int, partition_bytes: int = 128 << 20) -> int:
+    """Size shuffles for an input of ``input_bytes`` and let AQE refine them.
+
+    Starts with one shuffle partition per ``partition_bytes`` of input (at
+    least two per core), which AQE then coalesces toward the same advisory
+    size; skewed join partitions are split. Returns the partition count.
+    """
+    cores = spark.sparkContext.defaultParallelism
+    n = max(2 * cores, -(-int(input_bytes) // partition_bytes))
+    for key, value in (
+        ("spark.sql.adaptive.enabled", "true"),
+        ("spark.sql.adaptive.coalescePartitions.enabled", "true"),
+        ("spark.sql.adaptive.advisoryPartitionSizeInBytes", str(partition_bytes)),
+        ("spark.sql.adaptive.skewJoin.enabled", "true"),
+        ("spark.sql.files.maxPartitionBytes", str(partition_bytes)),
+        ("spark.sql.shuffle.partitions", str(n)),
+    ):
+        spark.conf.set(key, value)
+    return n
+
+
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the reliable checkpoint folder, setting one only when unset.
 

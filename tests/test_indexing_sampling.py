@@ -108,3 +108,22 @@ def test_recent_window_anchors(spark):
     assert sampling.recent_window(df, 30, as_of="now").count() == 1
     # a lower bound only (ts >= as_of - days), as in the trailing-window filter
     assert sampling.recent_window(df, 10, as_of="2024-01-25").count() == 2
+
+
+def test_xxhash_split_disjoint_complete(spark):
+    inter = tables.interactions(spark, SF)
+    parts = sampling.hash_split(inter, ["user_id", "item_id"], method="xxhash64")
+    assert sum(p.count() for p in parts) == inter.count()
+    assert parts[0].join(parts[2], ["user_id", "item_id"], "left_semi").count() == 0
+
+
+def test_scale_settings(spark):
+    from encore.session import scale_settings
+
+    old = spark.conf.get("spark.sql.shuffle.partitions")
+    try:
+        n = scale_settings(spark, 100 * (128 << 20))
+        assert n == max(100, 2 * spark.sparkContext.defaultParallelism)
+        assert spark.conf.get("spark.sql.shuffle.partitions") == str(n)
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", old)
