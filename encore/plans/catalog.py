@@ -22,6 +22,10 @@ from encore.streaming import ingest
 
 Query = Callable[[SparkSession, str], DataFrame]
 
+# Fixed values of the mapping to the given tables (FIXTURES.md section 2):
+# drift reference = play events before the cutoff, current = the rest;
+# embedding rows below the id bound are users, the others items; K of the
+# evaluation and of top-K reports; sample share; trailing window in days.
 DRIFT_CUTOFF = "2024-01-15"
 EVAL_K = 10
 TOPK_K = 10
