@@ -349,6 +349,16 @@ def q_stream_daily(spark, sf):
     )
 
 
+def q_stream_daily_plays(spark, sf):
+    root = scratch_path(spark, "stream-daily-plays")
+    stream = tables.event_stream(spark, sf).where(F.col("event_type") == tables.PLAY_EVENT_TYPE)
+    plays = stream.select("user_id", tables.event_item().alias("item_id"), F.col("value").alias("plays"), "ts")
+    ingest.run_to_end(ingest.write_daily_plays(plays, f"{root}/daily", f"{root}/_checkpoint"))
+    return spark.read.parquet(f"{root}/daily").select(
+        F.col("day").cast("string").alias("day"), F.col("n_events").cast("bigint"), r6("plays")
+    )
+
+
 QUERIES: dict[str, Query] = {
     "scan_interactions": q_scan_interactions,
     "index_users": q_index_users,
@@ -397,6 +407,7 @@ QUERIES: dict[str, Query] = {
     "drift_dataset": q_drift_dataset,
     "stream_plays": q_stream_plays,
     "stream_daily": q_stream_daily,
+    "stream_daily_plays": q_stream_daily_plays,
     "als_user_factors": q_als_user_factors,
     "als_topk": q_als_topk,
     "grid_runs": q_grid_runs,

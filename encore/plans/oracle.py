@@ -295,6 +295,8 @@ SQL: dict[str, str] = {
         sum(CAST(drifted AS INTEGER)) / count(*) >= 0.5 AS drifted
         FROM ({report_out(REPORT, below=False)})""",
     "stream_plays": f"SELECT * FROM {KEPT}",
+    "stream_daily_plays": f"""SELECT strftime(date_trunc('day', ts), '%Y-%m-%d') AS day, count(*) AS n_events,
+        round(sum(plays), 6) AS plays FROM {PLAYS} GROUP BY 1""",
     "stream_daily": f"""SELECT strftime(CAST(ts AS DATE), '%Y-%m-%d') AS dt, count(*) AS n_rows
         FROM {KEPT} GROUP BY 1""",
 }

@@ -45,6 +45,35 @@ def daily_plays(plays: DataFrame, watermark: str = "1 day", ts_col: str = "ts")
     )
 
 
+def write_daily_plays(
+    plays: DataFrame,
+    out_path: str,
+    checkpoint: str,
+    watermark: str = "1 day",
+    trigger: Trigger | None = None,
+) -> StreamingQuery:
+    """Maintain ``daily_plays`` as a Parquet table partitioned by ``day``.
+
+    Update mode: each micro-batch carries only the days whose counts
+    changed, and overwrites exactly those ``day`` folders (dynamic partition
+    overwrite), so the table always holds the latest count per day, a
+    replayed batch writes the same folders again, and the watermark lets
+    the state of closed days be dropped.
+    """
+
+    def upsert(batch: DataFrame, batch_id: int) -> None:
+        (
+            batch.write.mode("overwrite")
+            .option("partitionOverwriteMode", "dynamic")
+            .partitionBy("day")
+            .parquet(out_path)
+        )
+
+    q = daily_plays(plays, watermark).writeStream.outputMode("update").foreachBatch(upsert)
+    q = q.option("checkpointLocation", checkpoint).trigger(**(trigger or {"availableNow": True}))
+    return q.start()
+
+
 def dedupe_events(stream: DataFrame, id_col: str, ts_col: str = "ts", watermark: str = "1 hour") -> DataFrame:
     """Drop re-sent messages (same id) that arrive within the watermark."""
     return stream.withColumn("_t", F.col(ts_col).cast("timestamp")).withWatermark("_t", watermark).dropDuplicatesWithinWatermark([id_col]).drop("_t")

@@ -137,3 +137,25 @@ def test_daily_append_by_ingest_date(spark, tmp_dir):
     sinks.append_daily(plays, path, by="ingest")
     days = {r["dt"] for r in spark.read.parquet(path).select("dt").distinct().collect()}
     assert days == {datetime.date.today()} or len(days) == 1
+
+
+def test_daily_plays_upsert_over_several_batches(spark, tmp_dir):
+    ev = tables.events(spark, SF).where(F.col("event_type") == tables.PLAY_EVENT_TYPE)
+    src = os.path.join(tmp_dir, "src")
+    # three files whose days overlap, so later batches update earlier days
+    for i in range(3):
+        ev.where(F.col("event_id") % 3 == i).coalesce(1).write.parquet(os.path.join(src, f"part{i}"))
+    stream = (
+        spark.readStream.schema(ev.schema).option("maxFilesPerTrigger", 1).option("recursiveFileLookup", "true").parquet(src)
+    )
+    plays = stream.select("user_id", tables.event_item().alias("item_id"), F.col("value").alias("plays"), "ts")
+    out = os.path.join(tmp_dir, "daily")
+    q = ingest.write_daily_plays(plays, out, os.path.join(tmp_dir, "ck"), watermark="40 days")
+    ingest.run_to_end(q)
+    assert len(q.recentProgress) >= 3
+    got = {str(r["day"]): (r["n_events"], round(r["plays"], 6)) for r in spark.read.parquet(out).collect()}
+    want = {
+        r["d"]: (r["n"], round(r["p"], 6))
+        for r in ev.groupBy(F.date_format("ts", "yyyy-MM-dd").alias("d")).agg(F.count("*").alias("n"), F.sum("value").alias("p")).collect()
+    }
+    assert got == want
