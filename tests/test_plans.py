@@ -57,3 +57,14 @@ def test_drift_gate_and_refresh(spark, tmp_dir):
     assert not same.dataset["drifted"] and same.model is None
     none = monitor.check_and_refresh(ref, None, None, runs_t, users, items)
     assert none.report is None and none.model is None
+
+
+def test_lazy_prepare_equals_materialized(spark, tmp_dir):
+    from encore.plans.prepare import materialize, prepare_frames
+
+    inter = tables.interactions(spark, SF)
+    lazy = prepare_frames(inter)
+    written = materialize(inter, os.path.join(tmp_dir, "m"))
+    for a, b in ((lazy.train, written.train), (lazy.validation, written.validation), (lazy.test, written.test)):
+        assert a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0
+    assert lazy.users.exceptAll(written.users).count() == 0
