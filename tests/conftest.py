@@ -23,6 +23,7 @@ def spark():
         .config("spark.ui.showConsoleProgress", "false")
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.sql.adaptive.enabled", "true")
+        .config("spark.sql.warehouse.dir", tempfile.mkdtemp(prefix="encore-warehouse-", dir="/tmp"))
         .getOrCreate()
     )
     s.sparkContext.setLogLevel("ERROR")

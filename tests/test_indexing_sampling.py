@@ -127,3 +127,17 @@ def test_scale_settings(spark):
         assert spark.conf.get("spark.sql.shuffle.partitions") == str(n)
     finally:
         spark.conf.set("spark.sql.shuffle.partitions", old)
+
+
+def test_bucketed_interactions_join_without_exchange(spark):
+    tables.bucket_order_tables(spark, SF, buckets=4, prefix="t_bucket_")
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        df = tables.interactions_bucketed(spark, prefix="t_bucket_")
+        plan = df._jdf.queryExecution().executedPlan().toString()
+        assert "SortMergeJoin" in plan and "Exchange" not in plan
+        want = tables.interactions(spark, SF)
+        assert df.exceptAll(want).count() == 0 and want.exceptAll(df).count() == 0
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
