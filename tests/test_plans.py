@@ -68,3 +68,13 @@ def test_lazy_prepare_equals_materialized(spark, tmp_dir):
     for a, b in ((lazy.train, written.train), (lazy.validation, written.validation), (lazy.test, written.test)):
         assert a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0
     assert lazy.users.exceptAll(written.users).count() == 0
+
+
+def test_clear_scratch_removes_intermediate_tables(spark):
+    from encore.session import clear_scratch, scratch_path
+
+    path = scratch_path(spark, "probe")
+    spark.range(3).write.parquet(path)
+    assert spark.read.parquet(path).count() == 3
+    assert clear_scratch(spark)
+    assert not clear_scratch(spark)  # nothing left to remove
