@@ -141,3 +141,10 @@ def test_bucketed_interactions_join_without_exchange(spark):
         assert df.exceptAll(want).count() == 0 and want.exceptAll(df).count() == 0
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
+
+
+def test_index_pair_with_different_key_types(spark):
+    df = spark.createDataFrame([("b", 10), ("a", 3), ("b", 3), (None, 7)], "user_id string, item_id long")
+    users, items = indexing.index_pair(df, n_parts=2)
+    assert {r["user_id"]: r["user_idx"] for r in users.collect()} == {"a": 0, "b": 1}
+    assert {r["item_id"]: r["item_idx"] for r in items.collect()} == {3: 0, 7: 1, 10: 2}
