@@ -80,8 +80,7 @@ def monitor_stream(
     """Ingest stream whose every micro-batch runs the drift gate on its new plays."""
     from encore.streaming import ingest
 
-    def on_batch(_all: DataFrame, batch_id: int) -> None:
-        new = _all.where(F.col("batch_id") == batch_id)
+    def on_batch(new: DataFrame, batch_id: int) -> None:
         d = check_and_refresh(reference, new, history, run_table, users, items)
         if d.model is not None:
             d.model.write().overwrite().save(f"{model_path.rstrip('/')}/batch={batch_id}")

@@ -93,7 +93,8 @@ def ingest_plays(
 
     ``trigger`` defaults to ``availableNow`` (drain what is there, then
     stop); pass ``{"processingTime": "30 seconds"}`` to poll. ``on_batch``
-    runs after each micro-batch is written (e.g. drift check + refresh).
+    gets the good rows of each micro-batch after they are written (e.g.
+    drift check + refresh).
     """
 
     def write(batch: DataFrame, batch_id: int) -> None:
@@ -111,10 +112,12 @@ def ingest_plays(
                     .partitionBy(*parts)
                     .parquet(path)
                 )
+            if on_batch is not None:
+                # the batch's own good rows, still cached: no listing or
+                # re-read of the growing output table
+                on_batch(good, batch_id)
         finally:
             c.unpersist()
-        if on_batch is not None:
-            on_batch(batch.sparkSession.read.parquet(out_path), batch_id)
 
     w = raw.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint)
     w = w.trigger(**(trigger or {"availableNow": True}))
