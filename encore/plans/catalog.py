@@ -271,7 +271,8 @@ def q_grid_runs(spark, sf):
 
 def q_als_refresh(spark, sf):
     p = prepare_tables(spark, sf)
-    table, _ = als.grid_search(p.train, p.validation, regs=(0.01,), alphas=(40.0,))
+    # hyper-parameters of the best run of the full selection grid
+    table, _ = als.grid_search(p.train, p.validation)
     best = runs.best_run(table).first().asDict()
     new = p.validation  # held-out interactions arrive as the new batch
     model = als.refresh(p.train, new, best, mode="union")
