@@ -24,20 +24,51 @@ def index_pair(interactions: DataFrame, n_parts: int | None = None) -> tuple[Dat
     return users, items
 
 
+# Dictionaries estimated under this size are broadcast to every executor.
+BROADCAST_LIMIT_BYTES = 128 << 20
+
+
+# Bytes per value used for size estimates (Spark's default
+# sizes; text is taken as 20 bytes, other types as 64).
+_WIDTH = {"long": 8, "double": 8, "timestamp": 8, "timestamp_ntz": 8, "integer": 4, "float": 4, "date": 4,
+          "short": 2, "byte": 1, "boolean": 1, "string": 20}
+
+
+def estimated_bytes(df: DataFrame) -> int:
+    """Rows x (sum of the columns' value sizes + row overhead): one count job."""
+    width = sum(_WIDTH.get(f.dataType.typeName(), 64) for f in df.schema.fields) + 16
+    return df.count() * width
+
+
+def broadcast_if_small(df: DataFrame, limit_bytes: int = BROADCAST_LIMIT_BYTES) -> DataFrame:
+    """``broadcast(df)`` when its estimated size is under ``limit_bytes``, else ``df``.
+
+    The estimate comes from a row count, so the broadcast has a proven
+    bound; above it the join stays a shuffled join.
+    """
+    return F.broadcast(df) if estimated_bytes(df) <= limit_bytes else df
+
+
 def index_interactions(
     interactions: DataFrame,
     users: DataFrame,
     items: DataFrame,
     keep: tuple[str, ...] = ("plays",),
+    broadcast_limit: int | None = BROADCAST_LIMIT_BYTES,
 ) -> DataFrame:
     """Replace raw ids by indexes: ``user_idx, item_idx`` + ``keep`` columns.
 
-    Inner joins, so rows with a null or unknown id are dropped. The
-    dictionaries grow with the data and are not broadcast by hand: AQE
-    broadcasts them only when their runtime size is under the threshold,
-    and splits skewed partitions of the interaction side (a user holding a
-    large share of rows) when the join stays a sort-merge join.
+    Inner joins, so rows with a null or unknown id are dropped. A
+    dictionary whose counted size is under ``broadcast_limit`` is broadcast,
+    so the interactions are not shuffled for that join at all (AQE would
+    only switch to a broadcast after both sides were shuffled). Larger
+    dictionaries stay sort-merge joins, where AQE splits skewed partitions
+    of the interaction side (a user holding a large share of rows).
+    ``broadcast_limit=None`` leaves every decision to AQE.
     """
+    if broadcast_limit is not None:
+        users = broadcast_if_small(users, broadcast_limit)
+        items = broadcast_if_small(items, broadcast_limit)
     return (
         interactions.join(users, "user_id")
         .join(items, "item_id")

@@ -39,9 +39,11 @@ def prepare_frames(interactions: DataFrame, n_parts: int | None = None) -> Prepa
     re-evaluates ``interactions``; ``materialize`` avoids that.
     """
     users, items = indexing.index_pair(interactions, n_parts)
+    # the broadcast decision is taken once for the four joins below
+    u, i = indexing.broadcast_if_small(users), indexing.broadcast_if_small(items)
     parts = sampling.hash_split(interactions, SPLIT_KEYS, SPLIT_WEIGHTS)
-    idx = [indexing.cast_indexed(indexing.index_interactions(p, users, items)) for p in parts]
-    full = indexing.cast_indexed(indexing.index_interactions(interactions, users, items))
+    idx = [indexing.cast_indexed(indexing.index_interactions(p, u, i, broadcast_limit=None)) for p in parts]
+    full = indexing.cast_indexed(indexing.index_interactions(interactions, u, i, broadcast_limit=None))
     return Prepared(interactions, users, items, full, *idx)
 
 

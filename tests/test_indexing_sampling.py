@@ -148,3 +148,20 @@ def test_index_pair_with_different_key_types(spark):
     users, items = indexing.index_pair(df, n_parts=2)
     assert {r["user_id"]: r["user_idx"] for r in users.collect()} == {"a": 0, "b": 1}
     assert {r["item_id"]: r["item_idx"] for r in items.collect()} == {3: 0, 7: 1, 10: 2}
+
+
+def test_dictionary_broadcast_behind_size_check(spark):
+    inter = tables.interactions(spark, SF)
+    users, items = indexing.index_pair(inter)
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        small = indexing.index_interactions(inter, users, items)
+        plan = small._jdf.queryExecution().executedPlan().toString()
+        assert plan.count("BroadcastHashJoin") >= 2  # both dictionaries are under the limit
+        big = indexing.index_interactions(inter, users, items, broadcast_limit=0)
+        plan = big._jdf.queryExecution().executedPlan().toString()
+        assert "SortMergeJoin" in plan  # over the limit: shuffled join
+        assert small.exceptAll(big).count() == 0
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
