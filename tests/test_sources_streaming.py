@@ -159,3 +159,12 @@ def test_daily_plays_upsert_over_several_batches(spark, tmp_dir):
         for r in ev.groupBy(F.date_format("ts", "yyyy-MM-dd").alias("d")).agg(F.count("*").alias("n"), F.sum("value").alias("p")).collect()
     }
     assert got == want
+
+
+def test_kafka_options():
+    from encore.sources import kafka
+
+    o = kafka.kafka_options("b1:9092", security={"security.protocol": "SASL_SSL", "kafka.sasl.mechanism": "PLAIN"}, max_offsets_per_trigger=500)
+    assert o["subscribe"] == "daily_interactions" and o["startingOffsets"] == "earliest"
+    assert o["failOnDataLoss"] == "true" and o["maxOffsetsPerTrigger"] == "500"
+    assert o["kafka.security.protocol"] == "SASL_SSL" and o["kafka.sasl.mechanism"] == "PLAIN"
