@@ -78,3 +78,19 @@ def test_clear_scratch_removes_intermediate_tables(spark):
     assert spark.read.parquet(path).count() == 3
     assert clear_scratch(spark)
     assert not clear_scratch(spark)  # nothing left to remove
+
+
+def test_served_lists_flatten_to_ranks(spark):
+    recs = spark.createDataFrame([(3, [9, 4, 7]), (5, [])], "user_idx int, item_ids array<bigint>")
+    got = [tuple(r) for r in serve.item_ids(recs).orderBy("user_idx", "rank").collect()]
+    assert got == [(3, 1, 9), (3, 2, 4), (3, 3, 7)]
+
+
+def test_missing_or_empty_folder_reads_as_empty(spark, tmp_dir):
+    from encore import schemas
+    from encore.sources import files
+
+    empty_dir = os.path.join(tmp_dir, "empty")
+    os.makedirs(empty_dir)
+    assert not files.path_exists(spark, empty_dir)
+    assert files.read_parquet_or_empty(spark, empty_dir, schemas.RAW_ITEM_TRACKS).count() == 0
