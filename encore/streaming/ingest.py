@@ -32,16 +32,19 @@ def parse_stream(raw: DataFrame, play_type: str = "play", keep: tuple[str, ...]
 def daily_plays(plays: DataFrame, watermark: str = "1 day", ts_col: str = "ts") -> DataFrame:
     """Plays and events per event day, with late data bounded by ``watermark``.
 
-    ``ts`` is cast to a zone-aware timestamp: watermarks reject
-    ``timestamp_ntz``, so days here are days of the session time zone.
+    Watermarks need a zone-aware timestamp, and ``ts`` is a wall-clock
+    ``timestamp_ntz``: it is mapped to the instant whose UTC wall clock is
+    the same, windowed by UTC days and rendered back in UTC, so a day is the
+    events' own calendar day whatever the session time zone.
     """
-    t = F.col(ts_col).cast("timestamp")
+    tz = plays.sparkSession.conf.get("spark.sql.session.timeZone")
+    t = F.from_utc_timestamp(F.col(ts_col).cast("timestamp"), tz)
     return (
         plays.withColumn("_t", t)
         .withWatermark("_t", watermark)
         .groupBy(F.window("_t", "1 day").alias("w"))
         .agg(F.count(F.lit(1)).cast("bigint").alias("n_events"), F.sum("plays").alias("plays"))
-        .select(F.date_format("w.start", "yyyy-MM-dd").alias("day"), "n_events", "plays")
+        .select(F.date_format(F.to_utc_timestamp(F.col("w.start"), tz), "yyyy-MM-dd").alias("day"), "n_events", "plays")
     )
 
 

@@ -1,6 +1,6 @@
 """Run registered queries in Spark and their SQL in DuckDB; compare results.
 
-Usage: python tests/oracle_check.py [sf_dir] [key ...]
+Usage: [ORACLE_TZ=America/Los_Angeles] python tests/oracle_check.py [sf_dir] [key ...]
 Prints one line per key and a JSON summary; exit code 1 on any mismatch.
 """
 
@@ -99,6 +99,8 @@ def main(argv):
     sf_dir = argv[1] if len(argv) > 1 else "/root/testdata/sf0.01"
     keys = argv[2:]
     spark = local_session()
+    if os.environ.get("ORACLE_TZ"):  # results must not depend on the session time zone
+        spark.conf.set("spark.sql.session.timeZone", os.environ["ORACLE_TZ"])
     con = duckdb.connect()
     for t in TABLES:
         con.execute(f"CREATE VIEW {t} AS SELECT * FROM read_parquet('{sf_dir}/{t}.parquet')")
