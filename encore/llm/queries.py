@@ -7,6 +7,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from encore.llm.secret_scan import BASE_RULES, digest, find_secrets
 from encore.llm.simhash import simhash_dedup
 
 
@@ -18,8 +19,13 @@ def op2_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash_dedup(_table(spark, sf_dir, "documents"), words=4, radius=4)
 
 
+def op3_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return digest(find_secrets(_table(spark, sf_dir, "documents")), [r.kind for r in BASE_RULES])
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_simhash": op2_simhash,
+    "op3_secret_scan": op3_secret_scan,
 }
 
 #: DuckDB SQL of the queries that SQL can express on whole tables.
