@@ -187,6 +187,8 @@ def digest(spans: DataFrame, base: list[str]) -> DataFrame:
     def text(s: Column) -> Column:
         return F.concat_ws(",", F.transform(s, lambda x: F.concat_ws(":", x["kind"], x["start"], x["end"])))
 
-    of = F.filter("spans", lambda x: x["kind"].isin(base))
-    counts = [F.size(F.filter("spans", lambda x, k=k: x["kind"] == k)).cast("long").alias(f"n_{k}") for k in base]
-    return spans.select("doc_id", *counts, F.sha2(text(of), 256).alias("base_sha256"), text(F.col("spans")).alias("spans"))
+    def having(kinds: list[str]) -> Column:
+        return F.filter("spans", lambda x: x["kind"].isin(kinds))
+
+    counts = [F.size(having([k])).cast("long").alias(f"n_{k}") for k in base]
+    return spans.select("doc_id", *counts, F.sha2(text(having(base)), 256).alias("base_sha256"), text(F.col("spans")).alias("spans"))
