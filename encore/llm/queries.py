@@ -9,6 +9,10 @@ from pyspark.sql import DataFrame, SparkSession
 
 from encore.llm.secret_scan import BASE_RULES, digest, find_secrets
 from encore.llm.simhash import simhash_dedup
+from encore.llm.token_files import token_files
+
+#: The vocabulary of the public byte-level tokenizer; a path on every machine.
+TOKENIZER = "/opt/tokenizers/byte_bpe_50k.json"
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -23,9 +27,14 @@ def op3_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return digest(find_secrets(_table(spark, sf_dir, "documents")), [r.kind for r in BASE_RULES])
 
 
+def op9_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_files(_table(spark, sf_dir, "documents"), TOKENIZER, end_id=0)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_simhash": op2_simhash,
     "op3_secret_scan": op3_secret_scan,
+    "op9_token_files": op9_token_files,
 }
 
 #: DuckDB SQL of the queries that SQL can express on whole tables.
