@@ -6,10 +6,12 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from encore.llm.secret_scan import BASE_RULES, digest, find_secrets
 from encore.llm.simhash import simhash_dedup
 from encore.llm.token_files import token_files
+from encore.llm.toxicity import fit_toxicity, is_held_out, score_toxicity
 
 #: The vocabulary of the public byte-level tokenizer; a path on every machine.
 TOKENIZER = "/opt/tokenizers/byte_bpe_50k.json"
@@ -27,6 +29,12 @@ def op3_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return digest(find_secrets(_table(spark, sf_dir, "documents")), [r.kind for r in BASE_RULES])
 
 
+def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents")
+    model = fit_toxicity(docs, _table(spark, sf_dir, "labels"), ~is_held_out())
+    return score_toxicity(docs, model).select("doc_id", is_held_out().alias("held_out"), "score", (F.col("score") >= 0.3).cast("int").alias("predicted"))
+
+
 def op9_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_files(_table(spark, sf_dir, "documents"), TOKENIZER, end_id=0)
 
@@ -34,6 +42,7 @@ def op9_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_simhash": op2_simhash,
     "op3_secret_scan": op3_secret_scan,
+    "op6_toxicity": op6_toxicity,
     "op9_token_files": op9_token_files,
 }
 
