@@ -8,6 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from encore.llm import decontaminate
 from encore.llm.secret_scan import BASE_RULES, digest, find_secrets
 from encore.llm.simhash import simhash_dedup
 from encore.llm.token_files import token_files
@@ -29,6 +30,10 @@ def op3_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return digest(find_secrets(_table(spark, sf_dir, "documents")), [r.kind for r in BASE_RULES])
 
 
+def op4_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.contained_items(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"), size=5, share=0.8)
+
+
 def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents")
     model = fit_toxicity(docs, _table(spark, sf_dir, "labels"), ~is_held_out())
@@ -42,9 +47,12 @@ def op9_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_simhash": op2_simhash,
     "op3_secret_scan": op3_secret_scan,
+    "op4_decontaminate": op4_decontaminate,
     "op6_toxicity": op6_toxicity,
     "op9_token_files": op9_token_files,
 }
 
 #: DuckDB SQL of the queries that SQL can express on whole tables.
-SQL: dict[str, str] = {}
+SQL: dict[str, str] = {
+    "op4_decontaminate": decontaminate.SQL,
+}
