@@ -81,7 +81,7 @@ class Encoder:
         try:
             return b"".join([known[p] for p in pieces])
         except KeyError:
-            self._learn(set(pieces) - known.keys())
+            self._learn({p for p in pieces if p not in known})
         out = b"".join([known[p] for p in pieces])
         if len(known) > REMEMBERED:
             self.older, self.known = known, {}
