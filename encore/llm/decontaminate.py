@@ -162,8 +162,8 @@ def drop_contaminated(docs: DataFrame, benchmark: DataFrame, size: int = 5, shar
 SQL = r"""
 WITH d AS (SELECT DISTINCT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS w FROM documents),
 b AS (SELECT DISTINCT item_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS w FROM benchmark),
-ds AS (SELECT DISTINCT doc_id, w, unnest(list_transform(range(1, greatest(1, len(w) - 4) + 1), i -> array_to_string(w[i:i + 4], ' '))) AS s FROM d WHERE len(w) > 0),
-bs AS (SELECT DISTINCT item_id, w, unnest(list_transform(range(1, greatest(1, len(w) - 4) + 1), i -> array_to_string(w[i:i + 4], ' '))) AS s FROM b WHERE len(w) > 0),
+ds AS (SELECT DISTINCT doc_id, w, unnest(list_transform(range(1, greatest(1, len(w) - 4) + 1), lambda i: array_to_string(w[i:i + 4], ' '))) AS s FROM d WHERE len(w) > 0),
+bs AS (SELECT DISTINCT item_id, w, unnest(list_transform(range(1, greatest(1, len(w) - 4) + 1), lambda i: array_to_string(w[i:i + 4], ' '))) AS s FROM b WHERE len(w) > 0),
 n AS (SELECT item_id, w, count(*) AS n_item FROM bs GROUP BY item_id, w),
 m AS (SELECT doc_id, ds.w AS dw, item_id, bs.w AS bw, count(*) AS n_shared FROM ds JOIN bs USING (s) GROUP BY doc_id, ds.w, item_id, bs.w),
 r AS (SELECT doc_id, m.item_id, n_item, n_shared, n_shared / n_item AS containment FROM m JOIN n ON m.item_id IS NOT DISTINCT FROM n.item_id AND m.bw = n.w

@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from encore.llm import decontaminate
+from encore.llm import decontaminate, mix
 from encore.llm.secret_scan import BASE_RULES, digest, find_secrets
 from encore.llm.simhash import simhash_dedup
 from encore.llm.token_files import token_files
@@ -22,6 +22,10 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
+def op1_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mix.mix(_table(spark, sf_dir, "documents"), weights=(5, 2, 1), share=1.0, most=3.0).select("doc_id", "size", "source_size", "target", "taken")
+
+
 def op2_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash_dedup(_table(spark, sf_dir, "documents"), words=4, radius=4)
 
@@ -45,6 +49,7 @@ def op9_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_mix": op1_mix,
     "op2_simhash": op2_simhash,
     "op3_secret_scan": op3_secret_scan,
     "op4_decontaminate": op4_decontaminate,
@@ -54,5 +59,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 
 #: DuckDB SQL of the queries that SQL can express on whole tables.
 SQL: dict[str, str] = {
+    "op1_mix": mix.SQL,
     "op4_decontaminate": decontaminate.SQL,
 }
