@@ -21,6 +21,7 @@ from __future__ import annotations
 import os
 import re
 import zlib
+from array import array
 from collections.abc import Callable, Iterator
 from functools import lru_cache
 
@@ -38,7 +39,11 @@ BATCH = 512
 #: Pieces of text whose ids a worker remembers, in each of two generations.
 REMEMBERED = 500_000
 
-_PIECE = re.compile(r"[ \n]*[^ \n]+|[ \n]+")
+# a word of plain letters up to a space or punctuation; punctuation up to a space;
+# else everything up to a space
+_PIECE = re.compile(
+    r"[ \n]*[A-Za-zÀ-ÖØ-öø-ɏ]+(?![^ \n,.;:!?|%*&$#])|[,.;:!?|%*&$#]+(?![^ \n])|[ \n]*[^ \n]+|[ \n]+"
+)
 _OTHER_SPACE = re.compile(r"[^\S \n]")
 
 
@@ -56,8 +61,8 @@ class Encoder:
     """Ids of whole texts from a byte-level BPE tokenizer.
 
     Such a tokenizer never lets a token hold a space or line end that follows
-    a visible character, so a text may be cut there: its ids are those of its
-    pieces, one after another. Distinct pieces are encoded by the library
+    a visible character, nor a letter and punctuation after it, so a text may
+    be cut there: its ids are those of its pieces, one after another. Distinct pieces are encoded by the library
     once and remembered (a bounded number). Texts with white space other than
     spaces and line ends are encoded whole.
     """
@@ -69,7 +74,8 @@ class Encoder:
         self.older: dict[str, bytes] = {}
 
     def _library(self, texts: list[str]) -> list[bytes]:
-        return [np.array(e.ids, self.dtype).tobytes() for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+        code = np.dtype(self.dtype).char
+        return [array(code, e.ids).tobytes() for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
 
     def __call__(self, text: str) -> bytes:
         if not text:
