@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from encore.llm import decontaminate, mix
+from encore.llm.quality_rules import quality_rules
 from encore.llm.secret_scan import BASE_RULES, digest, find_secrets
 from encore.llm.simhash import simhash_dedup
 from encore.llm.token_files import token_files
@@ -44,6 +45,11 @@ def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return score_toxicity(docs, model).select("doc_id", is_held_out().alias("held_out"), "score", (F.col("score") >= 0.3).cast("int").alias("predicted"))
 
 
+def op7_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    columns = ("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "quality")
+    return quality_rules(_table(spark, sf_dir, "documents")).select(*columns)
+
+
 def op9_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_files(_table(spark, sf_dir, "documents"), TOKENIZER, end_id=0)
 
@@ -54,6 +60,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_secret_scan": op3_secret_scan,
     "op4_decontaminate": op4_decontaminate,
     "op6_toxicity": op6_toxicity,
+    "op7_quality_rules": op7_quality_rules,
     "op9_token_files": op9_token_files,
 }
 
