@@ -99,8 +99,15 @@ RULES = (
     Rule("plain wording", "n_words >= 20 and n_repeat_words <= 0.2 * n_words and n_dup_lines <= 0.1 * n_lines", "false"),
 )
 
-#: Chances of a good vote, a bad vote and none that the fit starts from, and its prior means.
-START_GOOD, START_BAD = (0.5, 0.02, 0.48), (0.15, 0.25, 0.6)
+#: Chances of a good vote, a bad vote and none on good and on bad
+#: texts that the fit starts from, by which votes a rule can cast.
+BOTH = ((0.6, 0.05, 0.35), (0.3, 0.3, 0.4))
+ONLY_BAD = ((0.002, 0.01, 0.988), (0.002, 0.25, 0.748))
+ONLY_GOOD = ((0.9, 0.002, 0.098), (0.4, 0.002, 0.598))
+
+
+def starts(rules: tuple[Rule, ...]) -> list[tuple]:
+    return [ONLY_BAD if r.good == "false" else ONLY_GOOD if r.bad == "false" else BOTH for r in rules]
 
 
 def votes(rules: tuple[Rule, ...] = RULES) -> list[Column]:
@@ -127,14 +134,16 @@ class LabelModel:
         return 1 / (1 + F.exp(odds))
 
 
-def fit(patterns: DataFrame, rules: int, rounds: int = 25, prior: float = 0.8, strength: float = 20.0) -> LabelModel:
+def fit(patterns: DataFrame, start: list[tuple], rounds: int = 25, prior: float = 0.8, strength: float = 20.0) -> LabelModel:
     """EM over ``v0.., n`` (vote patterns and their counts).
 
-    A Dirichlet prior worth ``strength`` texts, with the starting chances as
-    its mean, keeps every chance away from 0 and 1 and the two classes from
+    A Dirichlet prior worth ``strength`` texts, with the chances of ``start``
+    (on good and on bad texts, for each rule) as its mean, keeps every chance away from 0 and 1 and the two classes from
     changing places. Every round is one aggregate over the patterns.
     """
-    model = LabelModel(prior, (START_GOOD,) * rules, (START_BAD,) * rules)
+    rules = len(start)
+    on_good, on_bad = (tuple(x) for x in zip(*start))
+    model = LabelModel(prior, on_good, on_bad)
     for _ in range(rounds):
         p = model.posterior()
         cols = [F.sum("n").alias("all"), F.sum(F.col("n") * p).alias("g"), F.sum(F.col("n") * (1 - p)).alias("b")]
@@ -145,15 +154,15 @@ def fit(patterns: DataFrame, rules: int, rounds: int = 25, prior: float = 0.8, s
         if not s["all"]:
             return model
 
-        def chances(name: str, mean: tuple[float, float, float], s: dict = s) -> tuple[tuple[float, float, float], ...]:
+        def chances(name: str, means: tuple, s: dict = s) -> tuple[tuple[float, float, float], ...]:
             out = []
             for i in range(rules):
                 yes, no = (s[f"{name}{i}_{v}"] for v in (1, 0))
                 counts = (yes, no, max(0.0, s[name] - yes - no))
-                out.append(tuple((c + strength * m) / (s[name] + strength) for c, m in zip(counts, mean)))
+                out.append(tuple((c + strength * m) / (s[name] + strength) for c, m in zip(counts, means[i])))
             return tuple(out)
 
-        new = LabelModel((s["g"] + strength * prior) / (s["all"] + strength), chances("g", START_GOOD), chances("b", START_BAD))
+        new = LabelModel((s["g"] + strength * prior) / (s["all"] + strength), chances("g", on_good), chances("b", on_bad))
         moved = max(abs(x - y) for a, b in zip(new.on_good + new.on_bad, model.on_good + model.on_bad) for x, y in zip(a, b))
         model = new
         if moved < 1e-4:
@@ -175,7 +184,7 @@ def quality_rules(docs: DataFrame, rules: tuple[Rule, ...] = RULES, least: float
     voted = table.select("*", *votes(rules))
     names = [f"v{i}" for i in range(len(rules))]
     patterns = stored(voted.groupBy(*names).agg(F.count(F.lit(1)).alias("n")).coalesce(1), "quality-patterns")
-    model = fit(patterns, len(rules))
+    model = fit(patterns, starts(rules))
     failed = (F.col("n_words") < 50) | (100 * F.col("n_repeat_words") > 50 * F.col("n_words"))
     out = voted.withColumn("quality", model.posterior()).withColumn("base_failed", failed)
     return out.withColumn("kept", ~F.col("base_failed") & (F.col("quality") >= least))

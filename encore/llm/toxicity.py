@@ -173,6 +173,12 @@ def score_toxicity(docs: DataFrame, model: ToxicityModel) -> DataFrame:
     return id_and_bytes(docs).select("doc_id", toxicity_score(model).alias("score"))
 
 
+def drop_toxic(docs: DataFrame, model: ToxicityModel, least: float = 0.3) -> DataFrame:
+    """The rows of ``docs`` that score under ``least``; columns as given."""
+    rows = docs.select(F.struct("*").alias("row"), F.coalesce(F.col("text").cast("string"), F.lit("")).cast("binary").alias("body"))
+    return rows.withColumn("toxic_score", toxicity_score(model)).where(F.col("toxic_score") < least).select("row.*")
+
+
 def toxic_sentences(docs: DataFrame, model: ToxicityModel, least: float = 0.3) -> DataFrame:
     """``doc_id, start, end, score`` of every sentence with a score of at least
     ``least``: code points from its first to its last word, end exclusive."""

@@ -48,7 +48,7 @@ def test_em_recovers_which_rules_to_trust(spark):
     rows = collections.Counter(zip(*votes))
     schema = ", ".join(f"v{i} int" for i in range(5)) + ", n long"
     patterns = spark.createDataFrame([(*map(lambda v: None if v is None else int(v), k), n) for k, n in rows.items()], schema)
-    model = qr.fit(patterns, 5)
+    model = qr.fit(patterns, [qr.BOTH] * 5)
     assert abs(model.good - 0.7) < 0.06
     assert model.on_good[0][0] > 0.6 > 0.2 > model.on_bad[0][0]
     assert abs(model.on_good[4][0] - model.on_bad[4][0]) < 0.1
@@ -66,4 +66,4 @@ def test_verdicts_follow_quality_labels(spark):
 
 def test_empty_table(spark):
     assert qr.quality_rules(spark.createDataFrame([], "doc_id long, text string")).collect() == []
-    assert qr.fit(spark.createDataFrame([], "v0 int, n long"), 1).good == pytest.approx(0.8)
+    assert qr.fit(spark.createDataFrame([], "v0 int, n long"), [qr.BOTH]).good == pytest.approx(0.8)
