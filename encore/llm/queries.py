@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from encore.llm import decontaminate, mix
+from encore.llm import decontaminate, mix, quality_mil
 from encore.llm.quality_rules import quality_rules
 from encore.llm.secret_scan import BASE_RULES, digest, find_secrets
 from encore.llm.simhash import simhash_dedup
@@ -39,6 +39,13 @@ def op4_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.contained_items(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"), size=5, share=0.8)
 
 
+def op5_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents")
+    model = quality_mil.fit_quality(docs, _table(spark, sf_dir, "labels"), ~quality_mil.is_held_out())
+    scored = quality_mil.score_quality(docs, model)
+    return scored.select("doc_id", quality_mil.is_held_out().alias("held_out"), "score", (F.col("score") >= 0.3).cast("int").alias("predicted"))
+
+
 def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents")
     model = fit_toxicity(docs, _table(spark, sf_dir, "labels"), ~is_held_out())
@@ -59,6 +66,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_simhash": op2_simhash,
     "op3_secret_scan": op3_secret_scan,
     "op4_decontaminate": op4_decontaminate,
+    "op5_quality": op5_quality,
     "op6_toxicity": op6_toxicity,
     "op7_quality_rules": op7_quality_rules,
     "op9_token_files": op9_token_files,
