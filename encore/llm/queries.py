@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from encore.llm import decontaminate, mix, quality_mil
+from encore.llm import decontaminate, mix, pii, quality_mil
 from encore.llm.quality_rules import quality_rules
 from encore.llm.secret_scan import BASE_RULES, digest, find_secrets
 from encore.llm.simhash import simhash_dedup
@@ -61,6 +61,11 @@ def op9_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_files(_table(spark, sf_dir, "documents"), TOKENIZER, end_id=0)
 
 
+def op10_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents")
+    return pii.digest(pii.find_pii(docs, pii.fit_pii(docs)))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_mix": op1_mix,
     "op2_simhash": op2_simhash,
@@ -70,6 +75,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op6_toxicity": op6_toxicity,
     "op7_quality_rules": op7_quality_rules,
     "op9_token_files": op9_token_files,
+    "op10_pii": op10_pii,
 }
 
 #: DuckDB SQL of the queries that SQL can express on whole tables.
