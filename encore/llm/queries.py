@@ -12,6 +12,7 @@ from encore.llm import decontaminate, mix, pii, quality_mil
 from encore.llm.quality_rules import quality_rules
 from encore.llm.secret_scan import BASE_RULES, digest, find_secrets
 from encore.llm.simhash import simhash_dedup
+from encore.llm.suffix_dedup import suffix_dedup
 from encore.llm.token_files import token_files
 from encore.llm.toxicity import fit_toxicity, is_held_out, score_toxicity
 
@@ -57,6 +58,10 @@ def op7_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules(_table(spark, sf_dir, "documents")).select(*columns)
 
 
+def op8_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix_dedup(_table(spark, sf_dir, "documents")).drop("kept")
+
+
 def op9_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_files(_table(spark, sf_dir, "documents"), TOKENIZER, end_id=0)
 
@@ -74,6 +79,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op5_quality": op5_quality,
     "op6_toxicity": op6_toxicity,
     "op7_quality_rules": op7_quality_rules,
+    "op8_suffix_dedup": op8_suffix_dedup,
     "op9_token_files": op9_token_files,
     "op10_pii": op10_pii,
 }
