@@ -32,6 +32,8 @@ def hash_bucket(cols: Sequence[str | Column], buckets: int, method: str = "md5")
     ``md5`` (default) can be reproduced outside Spark (the DuckDB oracle
     does); ``xxhash64`` is cheaper per row and also stable, but Spark's own.
     """
+    if method not in ("md5", "xxhash64"):
+        raise ValueError(f"unknown hash method {method!r}")
     if method == "xxhash64":
         return F.pmod(F.xxhash64(*[F.col(c) if isinstance(c, str) else c for c in cols]), F.lit(buckets)).cast("int")
     return (hash_unit(cols) % F.lit(buckets)).cast("int")

@@ -23,11 +23,14 @@ Statistics (``score`` of the report):
 * ``chisquare``: p-value of Pearson's chi-square test of independence of
   value and side over the 2 x k table, df = k - 1 (drift when < 0.05)
 
-An empty side gives a null score and no drift.
+NaN and infinities are not values: they are left out of the counts of a
+numeric column, as nulls are. An empty side gives a null score, and a null
+or NaN score is no decision, hence no drift.
 """
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
@@ -40,7 +43,9 @@ from encore.session import scratch_path
 THRESHOLDS = {"wasserstein": 0.1, "jensenshannon": 0.1, "ks": 0.05, "chisquare": 0.05}
 DATASET_SHARE = 0.5
 STD_FLOOR = 0.001
-KS_TERMS = 100
+KS_TERMS = 20
+SERIES_DOF = 400
+SIMPSON_STEPS = 2048
 LARGE = {"numeric": "wasserstein", "categorical": "jensenshannon"}
 SMALL = {"numeric": "ks", "categorical": "chisquare"}
 
@@ -53,8 +58,12 @@ def long_counts(ref: DataFrame, cur: DataFrame, numeric: Sequence[str], categori
     checkpoint folder and read back.
     """
 
+    def finite(c: str) -> Column:
+        v = F.col(c).cast("double")
+        return F.when(F.abs(v) < float("inf"), v)  # NaN sorts above infinity
+
     def side(df: DataFrame, is_ref: bool) -> DataFrame:
-        cells = [F.struct(F.lit(c).alias("column"), F.col(c).cast("double").alias("num"), F.lit(None).cast("string").alias("cat")) for c in numeric]
+        cells = [F.struct(F.lit(c).alias("column"), finite(c).alias("num"), F.lit(None).cast("string").alias("cat")) for c in numeric]
         cells += [F.struct(F.lit(c).alias("column"), F.lit(None).cast("double").alias("num"), F.col(c).cast("string").alias("cat")) for c in categorical]
         return df.select(F.explode(F.array(*cells)).alias("_e")).select(
             "_e.column", "_e.num", "_e.cat", F.lit(int(is_ref)).alias("_r"), F.lit(int(not is_ref)).alias("_c")
@@ -182,49 +191,80 @@ def chi_square(ref: DataFrame, cur: DataFrame, col: str) -> DataFrame:
 
 
 def chi2_sf(x: Column, dof: Column) -> Column:
-    """Upper tail of the chi-square distribution, as an expression.
-
-    1 - P(a, z) with a = dof/2, z = x/2 and the regularised lower gamma
-    P(a, z) = sum_n exp((a+n) ln z - z - ln Gamma(a+n+1)); each term is
-    formed in log space, so nothing overflows; ln Gamma(a+1) is exact for
-    the integer and half-integer values a takes here.
+    """Upper tail Q(a, z) of the chi-square distribution, a = dof/2, z = x/2.
+
+    Up to ``SERIES_DOF`` degrees it is 1 - P(a, z) with the series
+    P(a, z) = sum_n exp((a+n) ln z - z - ln Gamma(a+n+1)) in log space; z
+    beyond the range where Q is above 1e-300 gives 0, so the series is short.
+    Above, the density is integrated over t = a + x sqrt(a) by Simpson's rule
+    on a fixed number of points: there it is nearly normal, its logarithm
+    needs only log1p and Stirling's correction, and the cost does not grow
+    with the degrees of freedom.
     """
     a = dof.cast("double") / 2
     z = x / 2
-    steps = F.sequence(F.lit(0), (F.ceil(a) - 1).cast("int"))
-    lg = F.aggregate(steps, F.lit(0.0), lambda acc, j: acc + F.log(a - j)) + F.when(
-        F.floor(a) != a, F.log(F.sqrt(F.lit(3.141592653589793)))
+    far = z > 2000
+    # bounded arguments, since both branches of a condition may be evaluated
+    sa, sz = F.least(a, F.lit(SERIES_DOF / 2)), F.least(z, F.lit(2000.0))
+    steps = F.sequence(F.lit(0), (F.ceil(sa) - 1).cast("int"))
+    lg = F.aggregate(steps, F.lit(0.0), lambda acc, j: acc + F.log(sa - j)) + F.when(
+        F.floor(sa) != sa, F.log(F.sqrt(F.lit(math.pi)))
     ).otherwise(F.lit(0.0))
-    n_terms = F.ceil(z + F.sqrt(z) * 12 + 40).cast("int")
-    lnz = F.log(z)
-    init = F.struct(lg.alias("lg"), F.exp(a * lnz - z - lg).alias("s"))
+    n_terms = F.ceil(sz + F.sqrt(sz) * 12 + 40).cast("int")
+    lnz = F.log(sz)
+    init = F.struct(lg.alias("lg"), F.exp(sa * lnz - sz - lg).alias("s"))
     series = F.aggregate(
         F.sequence(F.lit(1), n_terms),
         init,
         lambda acc, n: F.struct(
-            (acc["lg"] + F.log(a + n)).alias("lg"),
-            (acc["s"] + F.exp((a + n) * lnz - z - acc["lg"] - F.log(a + n))).alias("s"),
+            (acc["lg"] + F.log(sa + n)).alias("lg"),
+            (acc["s"] + F.exp((sa + n) * lnz - sz - acc["lg"] - F.log(sa + n))).alias("s"),
         ),
     )["s"]
-    return F.when(x <= 0, F.lit(1.0)).otherwise(F.greatest(F.least(1 - series, F.lit(1.0)), F.lit(0.0)))
+    small = F.when(far, F.lit(0.0)).otherwise(1 - series)
+    root = F.sqrt(a)
+    low = F.greatest((z - a) / root, F.lit(-13.0))
+    step = (13.0 - low) / SIMPSON_STEPS
+
+    def density(i: Column) -> Column:
+        at = low + step * i
+        weight = F.when((i == 0) | (i == SIMPSON_STEPS), 1.0).when(i % 2 == 1, 4.0).otherwise(2.0)
+        return weight * F.exp((a - 1) * F.log1p(at / root) - root * at - 1 / (12 * a))
+
+    total = F.aggregate(F.sequence(F.lit(0), F.lit(SIMPSON_STEPS)), F.lit(0.0), lambda acc, i: acc + density(i))
+    large = F.when(low >= 13, F.lit(0.0)).otherwise(total * step / 3 / math.sqrt(2 * math.pi))
+    tail = F.when(dof > SERIES_DOF, large).otherwise(small)
+    return F.when(x <= 0, F.lit(1.0)).otherwise(F.greatest(F.least(tail, F.lit(1.0)), F.lit(0.0)))
 
 
 def kolmogorov_sf(lam: Column) -> Column:
-    """Q(lambda) = 2 sum_{j>=1} (-1)^(j-1) exp(-2 j^2 lambda^2), clamped to [0, 1]."""
-    s = F.aggregate(
-        F.sequence(F.lit(1), F.lit(KS_TERMS)),
-        F.lit(0.0),
-        lambda acc, j: acc + F.pow(F.lit(-1.0), j - 1) * F.exp(-2.0 * j * j * lam * lam),
+    """Q(lambda) of the Kolmogorov distribution, clamped to [0, 1].
+
+    Above 1 the alternating series 2 sum (-1)^(j-1) exp(-2 j^2 lambda^2), below
+    its dual 1 - sqrt(2 pi)/lambda sum exp(-(2j-1)^2 pi^2 / (8 lambda^2)):
+    each converges within ``KS_TERMS`` terms on its side.
+    """
+    terms = F.sequence(F.lit(1), F.lit(KS_TERMS))
+    # bounded away from zero, since both branches may be evaluated
+    safe = F.greatest(lam, F.lit(1e-3))
+    dual = F.aggregate(
+        terms, F.lit(0.0), lambda acc, j: acc + F.exp(-(2.0 * j - 1) * (2.0 * j - 1) * math.pi**2 / (8 * safe * safe))
+    )
+    below = 1 - math.sqrt(2 * math.pi) / safe * dual
+    series = F.aggregate(
+        terms, F.lit(0.0), lambda acc, j: acc + F.pow(F.lit(-1.0), j - 1) * F.exp(-2.0 * j * j * lam * lam)
     )
-    return F.when(lam <= 0, F.lit(1.0)).otherwise(F.greatest(F.least(2 * s, F.lit(1.0)), F.lit(0.0)))
+    value = F.when(lam < 1, below).otherwise(2 * series)
+    return F.when(lam <= 0, F.lit(1.0)).otherwise(F.greatest(F.least(value, F.lit(1.0)), F.lit(0.0)))
 
 
 def _row(method: str, score: Column, threshold: float) -> list[Column]:
+    score = F.nanvl(score.cast("double"), F.lit(None).cast("double"))
     drifted = (score < threshold) if method in ("ks", "chisquare") else (score >= threshold)
     return [
         F.col("column"),
         F.lit(method).alias("method"),
-        score.cast("double").alias("score"),
+        score.alias("score"),
         F.lit(float(threshold)).alias("threshold"),
         F.coalesce(drifted, F.lit(False)).alias("drifted"),
     ]

@@ -15,7 +15,7 @@ time, as the ingest it replaces did):
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -31,13 +31,28 @@ def _parsed(raw: DataFrame, value_col: str = "value") -> DataFrame:
     return raw.withColumn("_e", F.from_json(F.col(value_col).cast("string"), schema, opts))
 
 
+#: Fixed value: a full ISO-8601 date, optionally a time of day, optionally a zone.
+ISO_TIME = r"^(\d{4}-\d{2}-\d{2}(?:[T ]\d{2}:\d{2}(?::\d{2}(?:\.\d{1,6})?)?)?)(Z|z|[+-]\d{2}:?\d{2})?$"
+
+
+def iso_time(text: Column) -> Column:
+    """ISO-8601 text to wall-clock time (``timestamp_ntz``); null if it is not one.
+
+    A time with a zone is moved to UTC first; without one it is kept as
+    written. No session zone is involved. Parts of a date (a bare year) are not times.
+    """
+    wall = F.regexp_extract(text, ISO_TIME, 1).try_cast("timestamp_ntz")
+    zone = F.regexp_replace(F.regexp_extract(text, ISO_TIME, 2), ":", "")
+    minutes = F.coalesce(F.substring(zone, 2, 2).try_cast("int"), F.lit(0)) * 60 + F.coalesce(F.substring(zone, 4, 2).try_cast("int"), F.lit(0))
+    ahead = F.when(zone.startswith("-"), -minutes).otherwise(minutes)
+    return wall - F.make_dt_interval(F.lit(0), F.lit(0), ahead, F.lit(0))
+
+
 def classify(raw: DataFrame, play_type: str = "play", value_col: str = "value") -> DataFrame:
     """Adds ``_e`` (parsed struct), ``_ts`` and ``status``."""
     p = _parsed(raw, value_col)
     etype = F.col("_e.event_type")
-    # ISO-8601 text to wall-clock time; no session zone is involved, and
-    # text that is not a time becomes null instead of failing the job
-    ts = F.col("_e.timestamp").try_cast("timestamp_ntz")
+    ts = iso_time(F.col("_e.timestamp"))
     status = (
         F.when(etype.isNotNull() & (etype != play_type), F.lit(DROPPED))
         .when(F.col("_e").isNull() | F.col(f"_e.{schemas.CORRUPT_COLUMN}").isNotNull(), F.lit(BAD_JSON))
@@ -51,7 +66,7 @@ def classify(raw: DataFrame, play_type: str = "play", value_col: str = "value")
 def kept_events(classified: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
     """Good plays in canonical form ``user_id, item_id, plays, ts, event_type``.
 
-    ``ts`` keeps the wall-clock time of the message as ``timestamp_ntz``.
+    ``ts`` is the message's wall-clock time as ``timestamp_ntz``, in UTC if it named a zone.
     """
     return classified.where(F.col("status") == KEPT).select(
         *keep,

@@ -41,10 +41,13 @@ def chunked_lists(
 ) -> DataFrame:
     """``user_col, chunk, out`` where ``out`` is the sorted list of ``item_col``.
 
+    One row per user and chunk: that is the contract, whatever the sizes; join
+    on both, or use ``user_lists`` where every user's rows fit one array.
     Chunk of a row = md5 bucket of ``hash_cols`` (default: the item) modulo
-    the user's chunk count. Row counts per user come from a partial
-    aggregate; the count table is joined back (AQE splits a skewed user's
-    join partition).
+    the user's chunk count, so ``hash_cols`` must tell equal rows apart. Row
+    counts per user come from a partial aggregate and are joined back. The join leaves all
+    rows of a user together, so the rows are dealt out anew on (user, chunk)
+    before the lists are built: a hot user's chunks go to many tasks.
     """
     hash_cols = list(hash_cols or [item_col])
     counts = df.groupBy(user_col).agg(
@@ -53,16 +56,23 @@ def chunked_lists(
     with_chunk = df.join(counts, user_col).withColumn(
         "chunk", (hash_unit(hash_cols) % F.col("_nchunks")).cast("int")
     )
-    return with_chunk.groupBy(user_col, "chunk").agg(F.array_sort(F.collect_list(item_col)).alias(out))
+    n = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    dealt = with_chunk.repartition(n, F.xxhash64(user_col, "chunk"))
+    return dealt.groupBy(user_col, "chunk").agg(F.array_sort(F.collect_list(item_col)).alias(out))
 
 
 def ground_truth_lists(
     df: DataFrame, user_col: str = "user_idx", item_col: str = "item_idx", chunk_size: int = CHUNK_SIZE
 ) -> DataFrame:
-    """Items per user with duplicates kept, as doubles (the evaluator's input)."""
+    """Items per user with duplicates kept, as doubles (the evaluator's input).
+
+    Equal rows are counted and numbered, so that they spread over chunks too.
+    """
     rows = df.select(user_col, F.col(item_col).cast("double").alias("_item"), *[c for c in df.columns if c not in (user_col, item_col)])
     keyed = [c for c in rows.columns if c != user_col]
-    return chunked_lists(rows, user_col, "_item", "true_items", hash_cols=keyed, chunk_size=chunk_size)
+    told = rows.groupBy(user_col, *keyed).agg(F.count(F.lit(1)).alias("_n"))
+    copies = told.withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("_n")))).drop("_n")
+    return chunked_lists(copies, user_col, "_item", "true_items", hash_cols=[*keyed, "_copy"], chunk_size=chunk_size)
 
 
 def user_history(
@@ -73,6 +83,15 @@ def user_history(
     return chunked_lists(pairs, user_col, item_col, "items", chunk_size=chunk_size)
 
 
+def user_lists(df: DataFrame, user_col: str = "user_idx", item_col: str = "item_idx") -> DataFrame:
+    """``user, items``: one sorted list of distinct items per user.
+
+    For callers that know their users to be small: a user's items must fit
+    one array in one task. ``user_history`` has no such limit.
+    """
+    return df.where(F.col(item_col).isNotNull()).groupBy(user_col).agg(F.array_sort(F.collect_set(item_col)).alias("items"))
+
+
 def user_history_all(users: DataFrame, history: DataFrame, user_col: str = "user_idx") -> DataFrame:
     """Every user of ``users`` with its history; an empty list when it has none."""
     return users.select(user_col).join(history, user_col, "left").select(

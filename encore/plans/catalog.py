@@ -24,12 +24,12 @@ Query = Callable[[SparkSession, str], DataFrame]
 
 # Fixed values of the mapping to the given tables (FIXTURES.md section 2):
 # drift reference = play events before the cutoff, current = the rest;
-# embedding rows below the id bound are users, the others items; K of the
+# embedding rows whose id the share divides are users, the others items; K of the
 # evaluation and of top-K reports; sample share; trailing window in days.
 DRIFT_CUTOFF = "2024-01-15"
 EVAL_K = 10
 TOPK_K = 10
-EMBEDDING_USERS_BELOW = 50
+EMBEDDING_USERS_EACH = 10
 SAMPLE_FRACTION = 0.1
 WINDOW_DAYS = 30
 
@@ -60,8 +60,8 @@ def _classified(spark: SparkSession, sf: str) -> DataFrame:
 
 def _embedding_topk(spark: SparkSession, sf: str) -> DataFrame:
     emb = tables.table(spark, sf, "embeddings")
-    users = emb.where(F.col("vec_id") < EMBEDDING_USERS_BELOW)
-    items = emb.where(F.col("vec_id") >= EMBEDDING_USERS_BELOW)
+    users = emb.where(F.col("vec_id") % EMBEDDING_USERS_EACH == 0)
+    items = emb.where(F.col("vec_id") % EMBEDDING_USERS_EACH != 0)
     return topk.blocked_topk(users, items, TOPK_K, id_col="vec_id", vec_col="embedding")
 
 
@@ -79,9 +79,8 @@ def q_index_items(spark, sf):
 
 
 def q_index_interactions(spark, sf):
-    inter = _interactions(spark, sf)
-    users, items = indexing.index_pair(inter)
-    return indexing.index_interactions(inter, users, items)
+    # the join of the two tables is written once and read by both steps
+    return prepare_tables(spark, sf).indexed
 
 
 def _split(i: int) -> Query:
@@ -104,7 +103,11 @@ def q_random_split_train(spark, sf):
 
 
 def q_recent_window(spark, sf):
-    return sampling.recent_window(_interactions(spark, sf), WINDOW_DAYS)
+    # the newest time needs no join unless a line has no order: taken before it
+    newest = tables.table(spark, sf, "lineitem").where("l_shipdate is not null").join(
+        tables.table(spark, sf, "orders").select(F.col("o_orderkey").alias("l_orderkey")), "l_orderkey", "left_semi"
+    )
+    return sampling.recent_window(_interactions(spark, sf), WINDOW_DAYS, newest.select(F.max("l_shipdate")).scalar())
 
 
 def q_reference_window(spark, sf):

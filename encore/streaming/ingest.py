@@ -91,9 +91,13 @@ def ingest_plays(
     keep: tuple[str, ...] = (),
     trigger: Trigger | None = None,
     on_batch: Callable[[DataFrame, int], None] | None = None,
+    dedupe_on: str | None = None,
 ) -> StreamingQuery:
     """Start the ingest query.
 
+    ``dedupe_on`` names an id column of ``raw`` by which messages sent again
+    are dropped; ids are remembered for the life of the checkpoint.
+
     ``trigger`` defaults to ``availableNow`` (drain what is there, then
     stop); pass ``{"processingTime": "30 seconds"}`` to poll. ``on_batch``
     gets the good rows of each micro-batch after they are written (e.g.
@@ -110,7 +114,9 @@ def ingest_plays(
             # its own folders instead of appending a second copy
             for df, path, parts in ((good, out_path, ("dt", "batch_id")), (bad, quarantine_path, ("batch_id",))):
                 (
-                    df.write.mode("overwrite")
+                    # rows of a day together: few files a batch; rebalancing splits a large day
+                    df.hint("rebalance", *parts[:1])
+                    .write.mode("overwrite")
                     .option("partitionOverwriteMode", "dynamic")
                     .partitionBy(*parts)
                     .parquet(path)
@@ -122,13 +128,22 @@ def ingest_plays(
         finally:
             c.unpersist()
 
+    if dedupe_on:
+        raw = raw.dropDuplicates([dedupe_on])
     w = raw.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint)
     w = w.trigger(**(trigger or {"availableNow": True}))
     return w.start()
 
 
-def run_to_end(query: StreamingQuery, timeout_s: int = 600) -> None:
-    """Wait for an ``availableNow`` query; surface its failure."""
-    query.awaitTermination(timeout_s)
+def run_to_end(query: StreamingQuery, timeout_s: float | None = None) -> None:
+    """Wait for an ``availableNow`` query; surface its failure.
+
+    Waits as long as the query takes. With ``timeout_s`` a query still active by then is
+    stopped and reported, so a half-written output is never taken as whole.
+    """
+    ended = query.awaitTermination() if timeout_s is None else query.awaitTermination(timeout_s)
+    if timeout_s is not None and not ended:
+        query.stop()
+        raise TimeoutError(f"stream still running after {timeout_s} s; stopped")
     if query.exception() is not None:
         raise RuntimeError(str(query.exception()))
