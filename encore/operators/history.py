@@ -57,7 +57,7 @@ def chunked_lists(
         "chunk", (hash_unit(hash_cols) % F.col("_nchunks")).cast("int")
     )
     n = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    dealt = with_chunk.repartition(n, F.xxhash64(user_col, "chunk"))
+    dealt = with_chunk.repartition(n, user_col, "chunk")
     return dealt.groupBy(user_col, "chunk").agg(F.array_sort(F.collect_list(item_col)).alias(out))
 
 

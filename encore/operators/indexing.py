@@ -86,3 +86,11 @@ def cast_indexed(df: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
     return df.select(
         F.col("user_idx").cast("int"), F.col("item_idx").cast("int"), F.col("plays").cast("double"), *keep
     )
+
+
+def extend_index(known: DataFrame, new: DataFrame, key: str, index: str, n_parts: int | None = None) -> DataFrame:
+    """``key, index`` of the ids of ``new`` that ``known`` lacks, numbered on
+    from its highest index in id order; known ids keep theirs."""
+    ids = new.select(F.col(key).cast(known.schema[key].dataType).alias(key)).join(known.select(key), key, "left_anti")
+    free = F.coalesce(known.select(F.max(index)).scalar(), F.lit(-1)) + 1
+    return contiguous_index(ids, key, index, n_parts).select(key, (F.col(index) + free).cast("int").alias(index))

@@ -12,10 +12,13 @@ from __future__ import annotations
 from dataclasses import dataclass
 
 from pyspark.ml.recommendation import ALSModel
-from pyspark.sql import DataFrame
+from pyspark.errors import AnalysisException
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from encore.operators import als, drift, runs
+from encore.operators import als, drift, indexing, runs
+from encore.plans import train
+from encore.session import scratch_path
 from encore.sources import files
 
 NUMERIC = ("plays",)
@@ -43,46 +46,107 @@ def check_and_refresh(
     """Drift of ``new`` against ``reference`` (canonical columns); refit when drifted.
 
     A missing or empty side means no drift and no refit. New interactions
-    are mapped to the existing indexes (unknown ids are left out of the
-    refit, as a cold-start model cannot place them); hyper-parameters come
-    from the best run of ``run_table``.
+    are mapped to the given indexes; rows with an id outside them take no
+    part, so call ``indexing.extend_index`` first to learn new users and items
+    (``monitor_stream`` does). Hyper-parameters come from the best run of
+    ``run_table``. The report is written once and read back; nothing stays cached.
     """
     if reference is None or new is None or files.is_empty(reference) or files.is_empty(new):
         return Decision(None, None, None)
-    report = drift.drift_report(reference, new, NUMERIC, CATEGORICAL, size=size).persist()
+    report = _written(drift.drift_report(reference, new, NUMERIC, CATEGORICAL, size=size), "drift-report")
     dataset = drift.dataset_drift(report, share).first().asDict()
     if not dataset["drifted"]:
         return Decision(report, dataset, None)
     best = runs.best_run(run_table).first().asDict()
-    indexed = (
-        new.select(F.col("user_id").cast(users.schema["user_id"].dataType), F.col("item_id").cast(items.schema["item_id"].dataType), "plays")
-        .join(users, "user_id")
-        .join(items, "item_id")
-        .select("user_idx", "item_idx", "plays")
-    )
-    return Decision(report, dataset, als.refresh(history, indexed, best, mode=mode))
+    return Decision(report, dataset, als.refresh(history, indexed(new, users, items), best, mode=mode))
+
+
+def indexed(new: DataFrame, users: DataFrame, items: DataFrame) -> DataFrame:
+    """``user_idx, item_idx, plays`` of canonical interactions."""
+    ids = new.select(F.col("user_id").cast(users.schema["user_id"].dataType), F.col("item_id").cast(items.schema["item_id"].dataType), "plays")
+    return ids.join(users, "user_id").join(items, "item_id").select("user_idx", "item_idx", "plays")
+
+
+def _written(df: DataFrame, name: str) -> DataFrame:
+    path = scratch_path(df.sparkSession, name)
+    df.write.mode("overwrite").parquet(path)
+    return df.sparkSession.read.parquet(path)
+
+
+class Monitor:
+    """State that grows with the micro-batches, kept as tables under ``root``.
+
+    ``users`` and ``items`` gain the ids of each batch after the known ones;
+    ``history`` gains the batch's indexed interactions, in a folder named
+    after the batch, so a replayed batch replaces its own rows. A refit
+    therefore sees the first history, every batch so far, and new users.
+    """
+
+    def __init__(self, spark: SparkSession, root: str, reference: DataFrame, history: DataFrame, users: DataFrame, items: DataFrame) -> None:
+        self.spark, self.root, self.reference = spark, root.rstrip("/"), reference
+        self.first, self.users, self.items = history.select("user_idx", "item_idx", "plays"), users, items
+
+    def _known(self, kind: str, first: DataFrame, upto: int) -> DataFrame:
+        """The dictionary with the ids that batches up to ``upto`` added."""
+        if not self._has(kind):
+            return first
+        grown = self.spark.read.parquet(f"{self.root}/{kind}").where(F.col("batch") <= upto)
+        return first.unionByName(grown.select(*first.columns))
+
+    def _extend(self, kind: str, first: DataFrame, new: DataFrame, key: str, index: str, batch_id: int) -> DataFrame:
+        # a replayed batch does not count what it added before
+        added = indexing.extend_index(self._known(kind, first, batch_id - 1), new, key, index)
+        added.write.mode("overwrite").parquet(f"{self.root}/{kind}/batch={batch_id}")
+        return self._known(kind, first, batch_id)
+
+    def on_batch(self, new: DataFrame, batch_id: int, runs_root: str) -> Decision:
+        """Gate and refit for one batch; a refitted model is saved and published."""
+        done = self.spark.read.parquet(f"{self.root}/history") if self._has("history") else None
+        users = self._extend("users", self.users, new, "user_id", "user_idx", batch_id)
+        items = self._extend("items", self.items, new, "item_id", "item_idx", batch_id)
+        history = self.first
+        if done is not None:
+            history = history.unionByName(done.where(F.col("batch") < batch_id).select(*history.columns))
+        log = train.run_log(self.spark, runs_root)
+        decision = check_and_refresh(self.reference, new, history, log, users, items)
+        indexed(new, users, items).write.mode("overwrite").parquet(f"{self.root}/history/batch={batch_id}")
+        if decision.model is not None:
+            path = f"{self.root}/models/batch={batch_id}"
+            decision.model.write().overwrite().save(path)
+            train.publish(self.spark, runs_root, runs.best_run(log), path, f"refresh-{batch_id}")
+        return decision
+
+    def _has(self, kind: str) -> bool:
+        try:
+            return bool(self.spark.read.parquet(f"{self.root}/{kind}").columns)
+        except AnalysisException:
+            return False
 
 
 def monitor_stream(
     raw: DataFrame,
     reference: DataFrame,
     history: DataFrame,
-    run_table: DataFrame,
+    runs_root: str,
     users: DataFrame,
     items: DataFrame,
     out_path: str,
     quarantine_path: str,
     checkpoint: str,
-    model_path: str,
+    state_path: str,
     play_type: str = "play",
     trigger: dict | None = None,
 ):
-    """Ingest stream whose every micro-batch runs the drift gate on its new plays."""
+    """Ingest stream whose every micro-batch runs the drift gate on its new plays.
+
+    ``runs_root`` holds the runs log of ``train.select_model``; refreshed
+    models are saved under ``state_path/models`` and published there.
+    """
     from encore.streaming import ingest
 
+    state = Monitor(raw.sparkSession, state_path, reference, history, users, items)
+
     def on_batch(new: DataFrame, batch_id: int) -> None:
-        d = check_and_refresh(reference, new, history, run_table, users, items)
-        if d.model is not None:
-            d.model.write().overwrite().save(f"{model_path.rstrip('/')}/batch={batch_id}")
+        state.on_batch(new, batch_id, runs_root)
 
     return ingest.ingest_plays(raw, out_path, quarantine_path, checkpoint, play_type, trigger=trigger, on_batch=on_batch)

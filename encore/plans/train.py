@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.ml.recommendation import ALSModel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from encore import schemas
 from encore.operators import als, runs
 from encore.plans.prepare import Prepared
 from encore.sources import sinks
@@ -20,21 +23,42 @@ def select_model(
     alphas=als.GRID_ALPHAS,
     k: int = als.EVAL_K,
 ) -> tuple[DataFrame, ALSModel]:
-    """Fit the grid on ``train``, score on ``validation``, keep all runs.
+    """Fit the grid on ``train``, score on ``validation``, keep all runs, publish the best.
 
-    Models go to ``root/models/run=<id>``, run records are appended to
-    ``root/runs`` (params, MAP, precision@k, path, version) and the best run
-    (highest MAP, earliest on ties) is returned with its model.
+    Every training has an id of its own: models go to
+    ``root/models/training=<id>/run=<n>``, so no earlier model is overwritten,
+    and the run records (params, MAP, precision@k, path) are appended to
+    ``root/runs``. The best run (highest MAP, earliest on ties) is then
+    published: a further record of it gets the next version. Returns this
+    training's runs and the best model.
     """
+    training = uuid.uuid4().hex
+    root = root.rstrip("/")
     table, models = als.grid_search(
-        prepared.train, prepared.validation, ranks, regs, alphas, k, model_root=f"{root.rstrip('/')}/models"
+        prepared.train, prepared.validation, ranks, regs, alphas, k, model_root=f"{root}/models/training={training}", training=training
     )
-    table = table.persist()
-    sinks.append_runs(table, f"{root.rstrip('/')}/runs")
-    best = runs.best_run(table).first()
-    return table, models[best["run_id"]]
+    sinks.append_runs(table, f"{root}/runs")
+    # the written records, so no run is evaluated again
+    mine = spark.read.schema(schemas.RUNS).parquet(f"{root}/runs").where(F.col("training") == training)
+    best = runs.best_run(mine)
+    publish(spark, root, best)
+    return mine.where(F.col("version").isNull()), models[best.first()["run_id"]]
+
+
+def run_log(spark: SparkSession, root: str) -> DataFrame:
+    return spark.read.schema(schemas.RUNS).parquet(f"{root.rstrip('/')}/runs")
+
+
+def publish(spark: SparkSession, root: str, run: DataFrame, path: str | None = None, training: str | None = None) -> None:
+    """Append the record that makes ``run`` (one row) the newest version.
+
+    The row is fixed before the log is written to. One publisher at a time:
+    the log is a folder of files, without locks.
+    """
+    row = runs.published(run, run_log(spark, root), path, training).select(*schemas.RUNS.fieldNames()).first()
+    sinks.append_runs(spark.createDataFrame([row], schemas.RUNS), f"{root.rstrip('/')}/runs")
 
 
 def latest_published(spark: SparkSession, root: str) -> DataFrame:
     """``path, version`` of the newest published model in the runs log."""
-    return runs.latest_model(spark.read.parquet(f"{root.rstrip('/')}/runs").where(F.col("path").isNotNull()))
+    return runs.latest_model(run_log(spark, root).where(F.col("path").isNotNull()))

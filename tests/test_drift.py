@@ -75,6 +75,40 @@ def test_kolmogorov_sf_points(spark):
     assert got[1] == pytest.approx(0.26999967, abs=1e-7)  # published value of Q(1)
 
 
+def test_kolmogorov_sf_near_zero(spark):
+    df = spark.createDataFrame([(x,) for x in (1e-6, 0.0005, 0.001, 0.01, 0.1, 0.3, 0.99, 1.01)], "l double")
+    got = [r[0] for r in df.select(drift.kolmogorov_sf(F.col("l"))).collect()]
+    assert got[:5] == pytest.approx([1.0] * 5, abs=1e-12)
+    # both series agree where both converge
+    for x, p in zip((0.3, 0.99, 1.01), got[5:]):
+        assert p == pytest.approx(2 * sum((-1) ** (j - 1) * math.exp(-2 * j * j * x * x) for j in range(1, 400)), abs=1e-10)
+
+
+def test_one_row_or_nan_apart_is_no_drift(spark):
+    ref = spark.range(20_000).select((F.col("id") % 977).cast("double").alias("x"))
+    other = spark.range(20_000).select(F.when(F.col("id") == 5, 1e6).otherwise((F.col("id") % 977).cast("double")).alias("x"))
+    row = drift.column_drift(ref, other, "x", "ks").first()
+    assert row["score"] == pytest.approx(1.0, abs=1e-9) and row["drifted"] is False
+    odd = ref.union(spark.createDataFrame([(float("nan"),), (float("inf"),), (float("-inf"),)], "x double"))
+    for method in ("ks", "wasserstein"):
+        row = drift.column_drift(ref, odd, "x", method).first()
+        assert row["drifted"] is False and not math.isnan(row["score"])
+
+
+def test_chi2_tail_at_any_degree(spark):
+    def series(x, dof):
+        a, z = dof / 2, x / 2
+        return 1 - math.fsum(math.exp((a + n) * math.log(z) - z - math.lgamma(a + n + 1)) for n in range(int(z + 12 * math.sqrt(z) + 40)))
+
+    cases = [(x, d) for d in (399, 400, 401, 402, 1000, 20_001) for x in (d - 2 * math.sqrt(2 * d), float(d), d + 2 * math.sqrt(2 * d))]
+    df = spark.createDataFrame(cases, "x double, d long")
+    for (x, d), r in zip(cases, df.select(drift.chi2_sf(F.col("x"), F.col("d")).alias("p")).collect()):
+        assert r["p"] == pytest.approx(series(x, d), abs=1e-8), (x, d)
+    big = [(1e9, 10**9), (1e9 + 2 * math.sqrt(2e9), 10**9), (1e12, 10), (5.0, 10**9), (1e10, 5 * 10**9)]
+    got = [r[0] for r in spark.createDataFrame(big, "x double, d long").select(drift.chi2_sf(F.col("x"), F.col("d"))).collect()]
+    assert got == pytest.approx([0.5, 0.02275, 0.0, 1.0, 0.0], abs=1e-4)
+
+
 def test_dataset_drift_share(spark):
     rep = spark.createDataFrame([("a", "m", 0.2, 0.1, True), ("b", "m", 0.0, 0.1, False)], drift_schema())
     d = drift.dataset_drift(rep).first()

@@ -61,3 +61,17 @@ def test_parse_on_driver_table_matches_rule(spark):
     n_bad_json = ev.where(F.col("event_id") % 10 == 0).count()
     assert counts["malformed"] == n_bad_json
     assert sum(counts.values()) == ev.count()  # every message gets exactly one status
+
+
+def test_iso_times_with_zones_and_parts(spark):
+    cases = {
+        "2025-02-05T23:30:00-05:00": "2025-02-06 04:30:00",
+        "2025-02-05T23:30:00+0200": "2025-02-05 21:30:00",
+        "2025-02-05T23:30:00.25Z": "2025-02-05 23:30:00.25",
+        "2025-02-05T23:30": "2025-02-05 23:30:00",
+        "2025-02-05": "2025-02-05 00:00:00",
+        "2025": None, "2025-02": None, "2025-13-01": None, "12:30": None, "": None, "x2025-02-05": None,
+    }
+    df = spark.createDataFrame([(k,) for k in cases], "t string")
+    got = df.select("t", events.iso_time(F.col("t")).cast("string").alias("w")).collect()
+    assert {r["t"]: r["w"] for r in got} == cases

@@ -19,8 +19,15 @@ def test_prepare_select_serve(spark, tmp_dir):
     assert p.users.count() == tables.interactions(spark, SF).select("user_id").distinct().count()
     table, model = train.select_model(spark, p, os.path.join(tmp_dir, "sel"), regs=(0.01,), alphas=(10.0, 40.0))
     assert table.count() == 2
-    latest = train.latest_published(spark, os.path.join(tmp_dir, "sel")).first()
-    assert latest["version"] == 2 and latest["path"].endswith("run=1")
+    sel = os.path.join(tmp_dir, "sel")
+    best = max(table.collect(), key=lambda r: (r["map"], -r["run_id"]))
+    latest = train.latest_published(spark, sel).first()
+    assert latest["version"] == 1 and latest["path"] == best["path"]
+    # a second training adds a version and overwrites no earlier model
+    second, _ = train.select_model(spark, p, sel, regs=(0.01,), alphas=(10.0,))
+    log = train.run_log(spark, sel).collect()
+    assert len({r["path"] for r in log}) == 3 and sorted(r["version"] for r in log if r["version"]) == [1, 2]
+    assert train.latest_published(spark, sel).first()["path"] == second.first()["path"]
     loaded = serve.load_model(latest["path"])
     req = serve.request_frame(spark, [0, 10_000_000])
     recs = serve.recommend_for(loaded, req, k=5)
@@ -59,6 +66,45 @@ def test_drift_gate_and_refresh(spark, tmp_dir):
     assert none.report is None and none.model is None
 
 
+def test_best_run_is_published_wherever_it_stands(spark, tmp_dir):
+    from encore import schemas
+    from encore.operators import runs
+    from encore.sources import sinks
+
+    rows = [(i, 4, 0.1, 1.0, 10, m, 0.1, 5, 5, f"m/run={i}", None, "t") for i, m in enumerate((0.9, 0.1, 0.9))]
+    table = spark.createDataFrame(rows, schemas.RUNS)
+    sinks.append_runs(table, os.path.join(tmp_dir, "runs"))
+    train.publish(spark, tmp_dir, runs.best_run(table))
+    assert train.latest_published(spark, tmp_dir).first()["path"] == "m/run=0"
+
+
+def test_monitor_learns_new_ids_and_keeps_earlier_batches(spark, tmp_dir):
+    from encore import schemas
+    from encore.sources import sinks
+
+    schema = "user_id long, item_id long, plays double"
+    reference = spark.createDataFrame([(u, i, 1.0) for u in range(6) for i in range(4)], schema)
+    users = spark.createDataFrame([(u, u) for u in range(6)], "user_id long, user_idx int")
+    items = spark.createDataFrame([(i, i) for i in range(4)], "item_id long, item_idx int")
+    history = reference.select(F.col("user_id").cast("int").alias("user_idx"), F.col("item_id").cast("int").alias("item_idx"), "plays")
+    runs_root = os.path.join(tmp_dir, "sel")
+    run = spark.createDataFrame([(0, 2, 0.1, 1.0, 10, 0.5, 0.1, 5, 5, "m/run=0", 1, "t")], schemas.RUNS)
+    sinks.append_runs(run, f"{runs_root}/runs")
+    state = monitor.Monitor(spark, os.path.join(tmp_dir, "state"), reference, history, users, items)
+    batches = [[(100, 0, 50.0), (1, 1, 60.0)], [(1, 200, 70.0)], [(300, 300, 80.0)]]
+    for n, rows in enumerate(batches):
+        batch = spark.createDataFrame(rows, schema)
+        last = state.on_batch(batch, n, runs_root)
+    last = state.on_batch(batch, 2, runs_root)  # a replay changes nothing
+    assert last.model is not None
+    # users 0-5, then 100 (first batch), 300 (third); items 0-3, then 200, 300
+    assert sorted(r["id"] for r in last.model.userFactors.collect()) == list(range(8))
+    assert sorted(r["id"] for r in last.model.itemFactors.collect()) == list(range(6))
+    assert spark.read.parquet(f"{tmp_dir}/state/history").count() == 4
+    newest = train.latest_published(spark, runs_root).first()
+    assert newest["path"].endswith("models/batch=2") and newest["version"] == 5
+
+
 def test_lazy_prepare_equals_materialized(spark, tmp_dir):
     from encore.plans.prepare import materialize, prepare_frames
 

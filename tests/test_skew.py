@@ -25,6 +25,23 @@ def test_hot_user_history_is_chunked_and_whole(spark):
     assert h.where("user_idx != 7").agg(F.max("chunk")).first()[0] == 0
 
 
+def test_hot_user_chunks_are_built_in_many_tasks(spark):
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        h = history.user_history(hot_frame(spark), chunk_size=1000).where("user_idx = 7")
+        assert h.withColumn("task", F.spark_partition_id()).select("task").distinct().count() > 1
+        assert h.agg(F.max(F.size("items"))).first()[0] < 1500
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+def test_equal_rows_spread_over_chunks(spark):
+    same = spark.range(5000).select(F.lit(1).alias("user_idx"), F.lit(3).alias("item_idx"), F.lit(1.0).alias("plays"))
+    lists = history.ground_truth_lists(same, chunk_size=100).collect()
+    assert len(lists) == 50 and max(len(r["true_items"]) for r in lists) < 200
+    assert sum(len(r["true_items"]) for r in lists) == 5000
+
+
 def test_hot_user_metrics_and_sums(spark):
     df = hot_frame(spark)
     preds = spark.range(10).select(F.lit(7).alias("user_idx"), (F.col("id") + 1).cast("int").alias("rank"), (F.col("id") * 3).cast("int").alias("item_idx"))

@@ -2,6 +2,8 @@
 
 import os
 
+import pytest
+
 from pyspark.sql import functions as F
 
 from encore import schemas
@@ -116,16 +118,17 @@ def test_monitor_stream_refreshes_on_drift(spark, tmp_dir):
     users = plays.select("user_id").distinct().withColumn("user_idx", F.col("user_id").cast("int"))
     items = plays.select("item_id").distinct().withColumn("item_idx", F.col("item_id").cast("int"))
     history = plays.select(F.col("user_id").cast("int").alias("user_idx"), F.col("item_id").cast("int").alias("item_idx"), "plays")
-    runs_t = spark.createDataFrame([(0, 4, 0.05, 10.0, 0.3)], "run_id int, rank int, reg double, alpha double, map double")
+    runs_t = spark.createDataFrame([(0, 4, 0.05, 10.0, 10, 0.3, 0.1, 1, 1, "m/run=0", 1, "t")], schemas.RUNS)
+    sinks.append_runs(runs_t, os.path.join(tmp_dir, "sel", "runs"))
     raw = tables.event_messages(tables.event_stream(spark, SF))
-    models = os.path.join(tmp_dir, "models")
+    state = os.path.join(tmp_dir, "state")
     q = monitor.monitor_stream(
-        raw, ref, history, runs_t, users, items,
-        os.path.join(tmp_dir, "plays"), os.path.join(tmp_dir, "quar"), os.path.join(tmp_dir, "ck"), models,
+        raw, ref, history, os.path.join(tmp_dir, "sel"), users, items,
+        os.path.join(tmp_dir, "plays"), os.path.join(tmp_dir, "quar"), os.path.join(tmp_dir, "ck"), state,
         play_type=tables.PLAY_EVENT_TYPE,
     )
     ingest.run_to_end(q)
-    saved = os.listdir(models)
+    saved = os.listdir(os.path.join(state, "models"))
     assert saved and all(s.startswith("batch=") for s in saved)
 
 
@@ -168,3 +171,23 @@ def test_kafka_options():
     assert o["subscribe"] == "daily_interactions" and o["startingOffsets"] == "earliest"
     assert o["failOnDataLoss"] == "true" and o["maxOffsetsPerTrigger"] == "500"
     assert o["kafka.security.protocol"] == "SASL_SSL" and o["kafka.sasl.mechanism"] == "PLAIN"
+
+
+def test_run_to_end_raises_at_its_limit(spark, tmp_dir):
+    import time
+
+    src, out = os.path.join(tmp_dir, "src"), os.path.join(tmp_dir, "ck")
+    spark.range(3).write.parquet(src)
+    stream = spark.readStream.schema("id long").parquet(src)
+
+    def start(folder):
+        w = stream.writeStream.foreachBatch(lambda df, n: time.sleep(4)).option("checkpointLocation", folder)
+        return w.trigger(availableNow=True).start()
+
+    slow = start(out)
+    with pytest.raises(TimeoutError):
+        ingest.run_to_end(slow, timeout_s=1)
+    assert not slow.isActive
+    again = start(out + "2")
+    ingest.run_to_end(again)
+    assert not again.isActive
