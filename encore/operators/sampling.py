@@ -2,7 +2,7 @@
 
 Hash-based splits and samples depend only on the row key, so they are the
 same on every run, partitioning and retry; ``randomSplit``/``sample`` are
-kept as the ``method="random"`` option.
+kept as ``random_split`` and ``bernoulli_sample``.
 """
 
 from __future__ import annotations
@@ -53,14 +53,21 @@ def split_label(
     names: Sequence[str],
     out: str = "split",
     buckets: int = SPLIT_BUCKETS,
+    method: str = "md5",
+    seed: int = 42,
 ) -> DataFrame:
-    """The same split as ``hash_split``, as a label column (one pass)."""
-    b = hash_bucket(keys, buckets)
+    """The same split as ``hash_split``, as a label column (one pass);
+    ``method="random"`` draws rows by ``seed`` instead of by key."""
+    if method == "random":
+        # one draw a row, by its place; write the result before using it twice
+        df, b = df.withColumn("_draw", F.floor(F.rand(seed) * buckets).cast("int")), F.col("_draw")
+    else:
+        b = hash_bucket(keys, buckets, method)
     label = None
     for (lo, hi), name in zip(split_bounds(weights, buckets), names):
         cond = (b >= lo) & (b < hi)
         label = F.when(cond, F.lit(name)) if label is None else label.when(cond, F.lit(name))
-    return df.withColumn(out, label)
+    return df.withColumn(out, label).drop("_draw")
 
 
 def random_split(df: DataFrame, weights: Sequence[float] = (0.6, 0.2, 0.2), seed: int = 42) -> list[DataFrame]:
@@ -109,9 +116,14 @@ def reference_window(
     fraction: float = 0.1,
     keys: Sequence[str] | None = None,
     ts_col: str = "ts",
+    as_of: Column | str | None = None,
+    recent: bool = True,
 ) -> DataFrame:
-    """Reference data for drift: the trailing window when the table has a
-    time column, else a stable ``fraction`` sample (decided at plan time)."""
+    """Reference data for drift: the ``days`` before ``as_of`` (see
+    ``recent_window``) when the table has a time column, else a stable
+    ``fraction`` sample (decided at plan time); all history if not ``recent``."""
+    if not recent:
+        return df
     if ts_col in df.columns:
-        return recent_window(df, days, ts_col=ts_col)
+        return recent_window(df, days, as_of, ts_col)
     return hash_sample(df, fraction, keys or df.columns)

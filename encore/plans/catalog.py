@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from encore.operators import als, drift, events, history, indexing, ranking, runs, sampling, topk
 from encore.plans import evaluate
-from encore.plans.prepare import SPLIT_KEYS, prepare_tables
+from encore.plans.prepare import SPLIT_KEYS, prepare_tables, write_reference
 from encore.session import scratch_path
 from encore.sources import files, sinks, tables
 from encore.streaming import ingest
@@ -32,6 +32,7 @@ TOPK_K = 10
 EMBEDDING_USERS_EACH = 10
 SAMPLE_FRACTION = 0.1
 WINDOW_DAYS = 30
+REFERENCE_DAY = "1997-01-01"
 
 
 def r6(name: str) -> Column:
@@ -115,6 +116,16 @@ def q_reference_window(spark, sf):
     return sampling.reference_window(prepare_tables(spark, sf).indexed, WINDOW_DAYS, SAMPLE_FRACTION)
 
 
+def q_reference_recent(spark, sf):
+    # the branch of tables with a time column, up to a given day, as a job
+    ref = write_reference(_interactions(spark, sf), scratch_path(spark, "reference"), days=WINDOW_DAYS, as_of=REFERENCE_DAY)
+    return ref
+
+
+def q_reference_all(spark, sf):
+    return write_reference(_interactions(spark, sf), scratch_path(spark, "reference"), recent=False)
+
+
 def q_index_item_mapping(spark, sf):
     inter = _interactions(spark, sf)
     return indexing.attach_item_index(tables.item_tracks(spark, sf), indexing.index_items(inter))
@@ -376,6 +387,8 @@ QUERIES: dict[str, Query] = {
     "bernoulli_sample": q_bernoulli_sample,
     "random_split_train": q_random_split_train,
     "reference_window": q_reference_window,
+    "reference_recent": q_reference_recent,
+    "reference_all": q_reference_all,
     "index_item_mapping": q_index_item_mapping,
     "index_metadata": q_index_metadata,
     "filter_plays": q_filter_plays,

@@ -232,6 +232,8 @@ SQL: dict[str, str] = {
     "reference_window": f"""WITH {PREP}
         SELECT user_idx, item_idx, plays FROM IDX
         WHERE {bucket('CAST(user_idx AS VARCHAR), CAST(item_idx AS VARCHAR), CAST(plays AS VARCHAR)', 10000)} < 1000""",
+    "reference_recent": f"SELECT * FROM {INT} WHERE ts >= TIMESTAMP '1997-01-01' - INTERVAL 30 DAY",
+    "reference_all": f"SELECT * FROM {INT}",
     "index_item_mapping": f"""
         SELECT t.item_id, t.track_id, i.item_idx
         FROM (SELECT DISTINCT l_partkey AS item_id, l_suppkey AS track_id FROM lineitem) t

@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from encore.operators import indexing, sampling
 from encore.session import scratch_path
-from encore.sources import sinks, tables
+from encore.sources import files, sinks, tables
 
 SPLIT_KEYS = ("user_id", "item_id")
 SPLIT_WEIGHTS = (0.6, 0.2, 0.2)
@@ -47,18 +47,19 @@ def prepare_frames(interactions: DataFrame, n_parts: int | None = None) -> Prepa
     return Prepared(interactions, users, items, full, *idx)
 
 
-def materialize(interactions: DataFrame, out_dir: str, n_parts: int | None = None) -> Prepared:
+def materialize(interactions: DataFrame, out_dir: str, n_parts: int | None = None, split: str = "md5") -> Prepared:
     """Label, index and write the interactions; return the written tables.
 
     The input (at scale a large join) is evaluated once: its rows plus the
     split label go to ``interactions_raw``; both dictionaries come from one
     pass over that table (columnar: two columns read); the indexed rows go
     to ``interactions_full``, partitioned by ``split``, so each consumer of
-    a split scans only its folder instead of re-running joins.
+    a split scans only its folder instead of re-running joins. ``split`` is
+    the method of ``sampling.split_label`` (``"random"`` draws rows).
     """
     spark = interactions.sparkSession
     out = out_dir.rstrip("/")
-    labelled = sampling.split_label(interactions, SPLIT_KEYS, SPLIT_WEIGHTS, SPLIT_NAMES)
+    labelled = sampling.split_label(interactions, SPLIT_KEYS, SPLIT_WEIGHTS, SPLIT_NAMES, method=split)
     sinks.write_overwrite(labelled, f"{out}/interactions_raw")
     raw = spark.read.parquet(f"{out}/interactions_raw")
     users, items = indexing.index_pair(raw, n_parts)
@@ -72,7 +73,7 @@ def prepare_tables(spark: SparkSession, sf_dir: str, n_parts: int | None = None)
     return materialize(tables.interactions(spark, sf_dir), scratch_path(spark, "prepared"), n_parts)
 
 
-def prepare(spark: SparkSession, sf_dir: str, out_dir: str) -> Prepared:
+def write_datasets(interactions: DataFrame, tracks: DataFrame, metadata: DataFrame, out_dir: str, split: str = "md5") -> Prepared:
     """Write the prepared datasets under ``out_dir`` and return them read back.
 
     ``interactions_raw`` holds the raw ids with the split label;
@@ -81,12 +82,31 @@ def prepare(spark: SparkSession, sf_dir: str, out_dir: str) -> Prepared:
     ``item_tracks`` and ``metadata`` (nullable ``item_idx``).
     """
     out = out_dir.rstrip("/")
-    p = materialize(tables.interactions(spark, sf_dir), out)
+    p = materialize(interactions, out, split=split)
     sinks.write_overwrite(p.users, f"{out}/users")
     sinks.write_overwrite(p.items, f"{out}/items")
-    sinks.write_overwrite(indexing.attach_item_index(tables.item_tracks(spark, sf_dir), p.items), f"{out}/item_tracks")
-    sinks.write_overwrite(indexing.attach_item_index(tables.item_metadata(spark, sf_dir), p.items), f"{out}/metadata")
-    return load_prepared(spark, out)
+    sinks.write_overwrite(indexing.attach_item_index(tracks, p.items), f"{out}/item_tracks")
+    sinks.write_overwrite(indexing.attach_item_index(metadata, p.items), f"{out}/metadata")
+    return load_prepared(interactions.sparkSession, out)
+
+
+def prepare(spark: SparkSession, sf_dir: str, out_dir: str) -> Prepared:
+    """``write_datasets`` of the given tables."""
+    return write_datasets(tables.interactions(spark, sf_dir), tables.item_tracks(spark, sf_dir), tables.item_metadata(spark, sf_dir), out_dir)
+
+
+def prepare_files(spark: SparkSession, interactions: str, tracks: str, metadata: str, out_dir: str, split: str = "md5") -> Prepared:
+    """``write_datasets`` of raw text files: play triplets and item-track pairs
+    (TSV), item metadata (CSV). Lines without both ids take no part."""
+    plays = files.read_raw_interactions(spark, interactions).dropna(subset=["user_id", "item_id"])
+    return write_datasets(plays, files.read_item_tracks(spark, tracks), files.read_item_metadata(spark, metadata), out_dir, split)
+
+
+def write_reference(interactions: DataFrame, path: str, **options) -> DataFrame:  # noqa: ANN003
+    """Write the reference data of the drift check and return it read back;
+    ``options`` are those of ``sampling.reference_window``."""
+    sinks.write_overwrite(sampling.reference_window(interactions, **options), path)
+    return interactions.sparkSession.read.parquet(path)
 
 
 def load_prepared(spark: SparkSession, out_dir: str, users: DataFrame | None = None, items: DataFrame | None = None) -> Prepared:

@@ -140,3 +140,33 @@ def test_missing_or_empty_folder_reads_as_empty(spark, tmp_dir):
     os.makedirs(empty_dir)
     assert not files.path_exists(spark, empty_dir)
     assert files.read_parquet_or_empty(spark, empty_dir, schemas.RAW_ITEM_TRACKS).count() == 0
+
+
+def test_prepare_from_three_text_files_and_reference_job(spark, tmp_dir):
+    import random
+
+    from encore.operators import sampling
+    from encore.plans.prepare import prepare_files, write_reference
+
+    rng = random.Random(1)
+    plays = [(f"u{rng.randrange(40)}", f"s{rng.randrange(30)}", rng.randint(1, 9)) for _ in range(600)]
+    with open(os.path.join(tmp_dir, "plays.tsv"), "w") as f:
+        f.writelines(f"{u}\t{s}\t{n}\n" for u, s, n in plays)
+    with open(os.path.join(tmp_dir, "tracks.tsv"), "w") as f:
+        f.writelines(f"s{i}\tt{i}\n" for i in range(35))
+    with open(os.path.join(tmp_dir, "meta.csv"), "w") as f:
+        f.writelines(f'0.5,0.4,a{i},"Name, {i}",x,1,r{i},200.5,s{i},19{i + 10}\n' for i in range(35))
+    for split in ("md5", "random"):
+        out = os.path.join(tmp_dir, "out-" + split)
+        p = prepare_files(spark, *[os.path.join(tmp_dir, n) for n in ("plays.tsv", "tracks.tsv", "meta.csv")], out, split)
+        sizes = [d.count() for d in (p.train, p.validation, p.test)]
+        assert sum(sizes) == p.indexed.count() == 600 and 280 < sizes[0] < 440
+        assert sorted(r["user_id"] for r in p.users.collect()) == sorted({u for u, _, _ in plays})
+        assert sorted(r["item_idx"] for r in p.items.collect()) == list(range(len({s for _, s, _ in plays})))
+        for name in ("item_tracks", "metadata"):
+            rows = spark.read.parquet(f"{out}/{name}").collect()
+            assert len(rows) == 35 and sum(r["item_idx"] is None for r in rows) == 35 - len({s for _, s, _ in plays} & {f"s{i}" for i in range(35)})
+    everything = write_reference(p.indexed, os.path.join(tmp_dir, "ref"), recent=False)
+    assert everything.count() == 600
+    sample = write_reference(p.indexed, os.path.join(tmp_dir, "ref2"), fraction=0.5)
+    assert sample.count() == sampling.hash_sample(p.indexed, 0.5, p.indexed.columns).count() < 600
