@@ -32,6 +32,7 @@ from pyspark.sql import functions as F
 
 from encore.llm.common import id_and_bytes, stored
 from encore.llm.components import components
+from encore.llm.screen import bit_screen, screened
 
 BITS = 64
 #: Shingles hashed at a time: bounds memory whatever the length of a text.
@@ -144,6 +145,9 @@ def links(marks: DataFrame, radius: int = 4) -> DataFrame:
     buckets = stored(buckets, "simhash-buckets")
     pairs = buckets.where("n = 2").where(F.bit_count(F.col("u").bitwiseXOR(F.col("v"))) <= radius).select("u", "v")
     large = buckets.where("n > 2").select("t", "k", F.ceil(F.col("n") / BUCKET).cast("int").alias("blocks"))
+    # most cells are in no large bucket: they are dropped before the shuffle
+    near = bit_screen(large.select(F.xxhash64("t", "k").alias("cell")), "cell")
+    cells = cells.withColumn("cell", F.xxhash64("t", "k")).where(screened(near, "cell"))
     block = F.pmod(F.xxhash64("fp"), F.col("blocks")).cast("int")
     dealt = (
         cells.join(large, ["t", "k"])
