@@ -11,7 +11,8 @@ place, so nothing is lost, and there is about one anchor in 150 bytes.
    are counted (pre-aggregated), and a bit array of the repeated ones, of
    bounded size, screens anchors in the second scan; a false pass costs
    shuffle, not correctness.
-2. Each task sorts its passing anchors' suffixes (led by the hash of their
+2. Repeats within a piece of text are settled there, and one of each distinct
+   window goes on. Each task sorts its passing anchors' suffixes (led by the hash of their
    gram, so that ranges of it split the work evenly), front-codes the run and
    sends it to the range's task.
 3. There an LCP-aware loser tree (``loser_tree``) merges the runs. The lengths
@@ -32,11 +33,13 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from encore.llm.common import bytes_of, joined, slices, stored
 from encore.llm.loser_tree import merge, shared
+from encore.llm.screen import bit_screen, passes, screened
 from encore.llm.words import spread
 
 LENGTH, GRAM = 400, 100
@@ -122,28 +125,63 @@ def _pieces(batches: Iterator[pa.RecordBatch], length: int) -> Iterator[tuple[pa
             yield part, view, np.array([0, len(view)]), s
 
 
-def _gram_counts(batches: Iterator[pa.RecordBatch], length: int, gram: int) -> Iterator[pa.RecordBatch]:
-    for _, data, offsets, _ in _pieces(batches, length):
-        h, n = np.unique(anchors(data, offsets, length, gram)[3], return_counts=True)
-        yield pa.record_batch([pa.array(h.view(np.int64)), pa.array(n)], ["gram", "n"])
-
-
-def bit_screen(df: DataFrame, column: str, least_bits: int = 16, most_bits: int = 28) -> np.ndarray:
-    """A bit array that holds every value (64-bit hashes) of ``column``: 16 bits a
-    row, but at most 2 ** ``most_bits``, so its size is bounded; false passes grow beyond that."""
-    rows = df.count()
-    bits = min(most_bits, max(least_bits, int(16 * max(rows, 1)).bit_length()))
-    cell = F.shiftrightunsigned(column, 64 - bits)
-    words = df.select(F.shiftrightunsigned(cell, 5).alias("w"), F.call_function("shiftleft", F.lit(1), (cell % 32).cast("int")).alias("b"))
-    packed = words.groupBy("w").agg(F.bit_or("b").alias("b")).toArrow()
-    out = np.zeros(1 << (bits - 5), np.uint32)
-    out[packed.column("w").to_numpy()] = packed.column("b").to_numpy().view(np.uint32)
-    return out
+def _ranges(low: np.ndarray, high: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """All numbers of the ranges low..high, and the range of each."""
+    size = high - low + 1
+    of = np.repeat(np.arange(len(low)), size)
+    return np.arange(int(size.sum())) - np.repeat(np.cumsum(size) - size, size) + low[of], of
+
+
+def fresh_anchors(data: np.ndarray, offsets: np.ndarray, length: int, gram: int) -> tuple[tuple, tuple, tuple]:
+    """Anchors cut down to windows that do not repeat an earlier one of the
+    same piece of text; stretches ``low, high`` of windows that have a twin in
+    the piece; and the grams of all anchors with their counts.
+
+    Copies and periodic stretches within a piece (a word said fifty times has
+    an anchor every few bytes) are thus settled where they are, and one of
+    each distinct window goes on to be compared with the rest of the corpus.
+    """
+    a, low, high, h = anchors(data, offsets, length, gram)
+    none = np.zeros(0, np.int64)
+    grams, inverse, count = np.unique(h, return_inverse=True, return_counts=True)
+    again = count[inverse] > 1 if len(h) else np.zeros(0, bool)
+    if not again.any():
+        return (a, low, high, h), (none, none), (grams, count)
+    p, of = _ranges(low[again], high[again])
+    marks = [string_hashes(data, length, b)[p] for b in _BASES]
+    order = np.lexsort(marks)
+    same = np.logical_and.reduce([m[order][1:] == m[order][:-1] for m in marks])
+    twin, later = np.zeros(len(p), bool), np.zeros(len(p), bool)
+    twin[order[1:][same]] = twin[order[:-1][same]] = True
+    later[order[1:][same]] = True  # the sort is stable: the first of equal ones stays
+    first, last = _stretches(~later, p, of)
+    who = np.flatnonzero(again)[of[first]]
+    cut = [np.concatenate([x[~again], y]) for x, y in ((a, a[who]), (low, p[first]), (high, p[last]), (h, h[who]))]
+    row = np.searchsorted(offsets, p, side="right")
+    begin, end = _stretches(twin, p, row)
+    return tuple(cut), (p[begin], p[end]), (grams, count)
+
+
+def _stretches(mask: np.ndarray, p: np.ndarray, of: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """First and last places of the runs where ``mask`` holds, ``p`` goes up by one and ``of`` stays."""
+    at = np.flatnonzero(mask)
+    if not len(at):
+        return at, at
+    new = np.concatenate([[True], (p[at][1:] != p[at][:-1] + 1) | (of[at][1:] != of[at][:-1])])
+    first = np.flatnonzero(new)
+    return at[first], at[np.append(first[1:], len(at)) - 1]
 
 
-def passes(screen: np.ndarray, h: np.ndarray) -> np.ndarray:
-    cell = h >> np.uint64(64 - (len(screen).bit_length() - 1 + 5))
-    return (screen[cell >> np.uint64(5)] >> (cell & np.uint64(31)).astype(np.uint32)) & np.uint32(1) > 0
+def _gram_counts(batches: Iterator[pa.RecordBatch], length: int, gram: int) -> Iterator[pa.RecordBatch]:
+    """Anchors of each gram that a piece sends on; at least two where it has
+    more, so that a gram counts as repeated however rows fall into pieces."""
+    for _, data, offsets, _ in _pieces(batches, length):
+        (_, _, _, fresh), _, (grams, count) = fresh_anchors(data, offsets, length, gram)
+        n = np.minimum(count, 2)
+        if len(fresh):
+            sent = np.bincount(np.searchsorted(grams, fresh), minlength=len(grams))
+            n = np.maximum(n, sent)
+        yield pa.record_batch([pa.array(grams.view(np.int64)), pa.array(n)], ["gram", "n"])
 
 
 _RUN = pa.schema(
@@ -157,12 +195,15 @@ def _sorted_runs(batches: Iterator[pa.RecordBatch], screens: tuple, parts: int,
     """Front-coded sorted runs, one a piece of text. ``rest`` follows the first
     ``same`` bytes of the run's last suffix in the range; ``left_rest`` does so
     for the bytes before the anchor, read backwards; the anchor stands for
-    windows that start ``least`` to ``most`` bytes before it."""
+    windows that start ``least`` to ``most`` bytes before it. Rows with
+    ``seq`` -1 are stretches of windows repeated within the piece: ``at`` to ``run``."""
     from pyspark import TaskContext
 
     task, piece = TaskContext.get().partitionId() if TaskContext.get() else 0, 0
     for rows, data, offsets, shift in _pieces(batches, length):
-        a, low, high, h = anchors(data, offsets, length, gram)
+        (a, low, high, h), (begin, end), _ = fresh_anchors(data, offsets, length, gram)
+        if len(begin):
+            yield _settled(rows, offsets, shift, begin, end, parts)
         keep = passes(screens[0], h) & ~passes(screens[1], h) if len(h) else np.zeros(0, bool)
         a, low, high, h = a[keep], low[keep], high[keep], h[keep]
         if not len(a):
@@ -192,12 +233,31 @@ def _sorted_runs(batches: Iterator[pa.RecordBatch], screens: tuple, parts: int,
         yield pa.record_batch([pa.array(c, f.type) for c, f in zip(cols, _RUN)], schema=_RUN)
 
 
+def _settled(rows: pa.RecordBatch, offsets: np.ndarray, shift: int, begin: np.ndarray, end: np.ndarray, parts: int) -> pa.RecordBatch:
+    """Repeats found within a piece, as rows that pass through the merge."""
+    doc = np.searchsorted(offsets, begin, side="right") - 1
+    n, pick = len(begin), pa.array(doc)
+    mark = rows.column("mark").take(pick)
+    values = {
+        "part": pa.array((mark.to_numpy().view(np.uint64) % np.uint64(parts)).astype(np.int32)),
+        "run": pa.array(end - offsets[doc] + shift), "seq": pa.array(np.full(n, -1, np.int32)),
+        "at": pa.array(begin - offsets[doc] + shift), "doc_id": rows.column("doc_id").take(pick), "mark": mark,
+    }
+    return pa.record_batch([values.get(f.name, pa.nulls(n, f.type)) for f in _RUN], schema=_RUN)
+
+
 _REPEATS = pa.schema([("doc_id", pa.int64()), ("mark", pa.int64()), ("low", pa.int64()), ("high", pa.int64())])
 REPEATS_DDL = "doc_id long, mark long, low long, high long"
 
 
-def _merged(rows: pa.Table, length: int) -> pa.RecordBatch:
+def _merged(rows: pa.Table, length: int) -> pa.Table:
     """Repeated windows of one range, from its runs (rows by run, then place)."""
+    done = pc.equal(rows.column("seq"), -1)
+    settled = rows.filter(done).combine_chunks()
+    rows = rows.filter(pc.invert(done)).combine_chunks()
+    passed = pa.table([settled.column(c) for c in ("doc_id", "mark", "at", "run")], schema=_REPEATS)
+    if not rows.num_rows:
+        return passed
     run = rows.column("run").to_numpy()
     cuts = np.concatenate([[0], np.flatnonzero(run[1:] != run[:-1]) + 1, [len(run)]])
     same, rest = rows.column("same").to_pylist(), bytes_of(rows.column("rest"))
@@ -220,7 +280,8 @@ def _merged(rows: pa.Table, length: int) -> pa.RecordBatch:
     _, stop = np.nonzero(edge == -1)
     ids = rows.column("doc_id").take(pa.array(i))
     ids = ids.combine_chunks() if isinstance(ids, pa.ChunkedArray) else ids
-    return pa.record_batch([ids, pa.array(mark[i]), pa.array(at[i] - stop + 1), pa.array(at[i] - o)], schema=_REPEATS)
+    found = pa.table([ids, pa.array(mark[i]), pa.array(at[i] - stop + 1), pa.array(at[i] - o)], schema=_REPEATS)
+    return pa.concat_tables([passed, found])
 
 
 def _lefts(rows: pa.Table, cuts: np.ndarray) -> list[bytes]:
@@ -268,23 +329,21 @@ def _merge_ranges(batches: Iterator[pa.RecordBatch], length: int) -> Iterator[pa
             if j == i:
                 continue
             if held and held[-1].column("part")[0].as_py() != int(part[i]):
-                yield _merged(pa.concat_tables(held), length)
+                yield from _merged(pa.concat_tables(held), length).to_batches()
                 held = []
             held.append(table.slice(i, j - i))
     if held:
-        yield _merged(pa.concat_tables(held), length)
+        yield from _merged(pa.concat_tables(held), length).to_batches()
 
 
 def _window_hashes(batches: Iterator[pa.RecordBatch], hot: np.ndarray, length: int, gram: int) -> Iterator[pa.RecordBatch]:
     """``doc_id, mark, low, h, g``: every window of the hot grams' anchors."""
     for rows, data, offsets, shift in _pieces(batches, length):
-        a, low, high, h = anchors(data, offsets, length, gram)
+        (_, low, high, h), _, _ = fresh_anchors(data, offsets, length, gram)
         keep = passes(hot, h) if len(h) else np.zeros(0, bool)
-        low, high = low[keep], high[keep]
-        if not len(low):
+        if not keep.any():
             continue
-        size = high - low + 1
-        p = np.repeat(low - np.concatenate([[0], np.cumsum(size)[:-1]]), size) + np.arange(size.sum())
+        p, _ = _ranges(low[keep], high[keep])
         row = np.searchsorted(offsets, p, side="right") - 1
         pick = pa.array(row)
         marks = [pa.array(string_hashes(data, length, b)[p].view(np.int64)) for b in _BASES]
@@ -359,11 +418,7 @@ def suffix_dedup(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, id_col
     each = found.groupBy("doc_id", "mark").agg(F.collect_list(F.struct("low", "high")).alias("found"))
     screen = bit_screen(found.select("mark").distinct(), "mark")
 
-    @F.arrow_udf("boolean")
-    def touched(mark: pa.Array) -> pa.Array:
-        return pa.array(passes(screen, mark.to_numpy().view(np.uint64)))
-
-    seen = slim.withColumn("touched", touched("mark"))
+    seen = slim.withColumn("touched", screened(screen, "mark"))
     whole = seen.where("not touched").select(
         "doc_id", F.octet_length("body").cast("long").alias("n_bytes"), F.lit(0).cast("long").alias("n_removed"), F.lit(0).cast("long").alias("n_spans"),
         F.sha2("body", 256).alias("kept_sha256"), F.lit(None).cast("binary").alias("kept"),
