@@ -108,7 +108,8 @@ def anchors(data: np.ndarray, offsets: np.ndarray, length: int, gram: int) -> tu
     first = np.flatnonzero(new)
     last = np.append(first[1:], len(p)) - 1
     a = at[p[first]]
-    return a, p[first], p[last], h[a]
+    # anchors have small hashes by choice: mixed anew, their grams spread over all values
+    return a, p[first], p[last], spread(h[a] + np.uint64(1))
 
 
 def _pieces(batches: Iterator[pa.RecordBatch], length: int) -> Iterator[tuple[pa.RecordBatch, np.ndarray, np.ndarray, int]]:
