@@ -311,7 +311,8 @@ def _agreeing(agree: np.ndarray, least: np.ndarray, most: np.ndarray, left: np.n
         if len(live) < 2:
             continue
         run = np.cumsum(agree < length - o)
-        key = spread(h[live] ^ spread(run[live].astype(np.uint64)))
+        # runs are numbered far above byte values, so that the two cannot change places
+        key = spread(h[live] ^ spread(run[live].astype(np.uint64) + np.uint64(1 << 40)))
         order = np.argsort(key)
         twin = key[order][1:] == key[order][:-1]
         hit[live[order[1:][twin]], o] = True
