@@ -27,6 +27,18 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def placed(docs: DataFrame, name: str) -> tuple[DataFrame, str]:
+    """``docs`` stored once with the number of each row, and that column's name.
+
+    The numbers are read from the files, so every job sees the same ones,
+    however the rows of ``docs`` are split when they are read.
+    """
+    place, taken = "_place", {c.lower() for c in docs.columns}
+    while place in taken:
+        place += "_"
+    return stored(docs.withColumn(place, F.monotonically_increasing_id()), name), place
+
+
 def delete_folder(spark: SparkSession, path: str) -> None:
     hpath = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
     hpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(hpath, True)

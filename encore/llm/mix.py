@@ -20,7 +20,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from encore.llm.common import stored
+from encore.llm.common import placed, stored
 from encore.operators.prefix import contiguous_index
 
 #: Documents of a cell on average.
@@ -82,6 +82,7 @@ def mix(
     share: float = 1.0,
     most: float = 3.0,
     seed: int = 7,
+    place: Column | None = None,
 ) -> DataFrame:
     """``place, doc_id, size, source, source_size, target, quality, copies, taken``
     for every row of ``docs``.
@@ -91,14 +92,14 @@ def mix(
     sample ends with the document that brings the source closest to its
     target. Documents without words take part with size 0 (taken 0 words).
     Null sources are a source of their own, null ids draw by their text,
-    repeated rows draw alike and are ranked by their place in the table
-    (``docs`` must be a stable table). Other columns are ignored; an empty
-    table gives no rows.
+    repeated rows draw alike and are ranked by ``place``, a number of each
+    row (unless given, numbered here, in file order). Other columns are
+    ignored; an empty table gives no rows.
     """
     text = F.col("text").cast("string")
     key = -F.log(unit(F.coalesce(F.col("doc_id").cast("string"), F.md5(F.coalesce(text, F.lit("")))), F.lit(seed))) / F.col("quality")
     slim = docs.select(
-        F.monotonically_increasing_id().alias("place"),
+        (F.monotonically_increasing_id() if place is None else place).alias("place"),
         F.col("doc_id").cast("long").alias("doc_id"),
         F.col("source").cast("string").alias("source"),
         (n_words(text) if size is None else size.cast("long")).alias("size"),
@@ -139,10 +140,12 @@ def mixed(docs: DataFrame, **options) -> DataFrame:  # noqa: ANN003
     """The rows of the mix: each row of ``docs`` as often as ``mix`` takes it.
 
     Documents without words are kept once, so that mixing never loses a row
-    that costs nothing. ``docs`` must be a stable table.
+    that costs nothing. Rows are told apart by their place in a copy of
+    ``docs`` that is stored once.
     """
-    counts = mix(docs, **options).select("place", F.when(F.col("size") == 0, 1).otherwise(F.col("copies")).alias("copies"))
-    rows = docs.select(F.struct("*").alias("row"), F.monotonically_increasing_id().alias("place"))
+    numbered, place = placed(docs, "mix-rows")
+    counts = mix(numbered, place=F.col(place), **options).select("place", F.when(F.col("size") == 0, 1).otherwise(F.col("copies")).alias("copies"))
+    rows = numbered.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), F.col(place).alias("place"))
     again = rows.join(counts.where("copies > 0"), "place").withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("copies").cast("int"))))
     return again.select("row.*")
 

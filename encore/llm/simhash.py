@@ -30,7 +30,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from encore.llm.common import id_and_bytes, stored
+from encore.llm.common import id_and_bytes, placed, stored
 from encore.llm.components import components
 from encore.llm.screen import bit_screen, screened
 
@@ -196,13 +196,13 @@ def simhash_dedup(docs: DataFrame, words: int = 4, radius: int = 4, id_col: str
 def keep_one(docs: DataFrame, words: int = 4, radius: int = 4) -> DataFrame:
     """The rows of ``docs`` without near-duplicates: of each group the row with
     the smallest doc_id stays (ids tie: the first row in file order; ids
-    null: last). ``docs`` must be a stable table, since rows are told apart
-    by their place in it (``monotonically_increasing_id``).
+    null: last). Rows are told apart by their place in a copy of ``docs``
+    that is stored once.
     """
-    placed = docs.select(F.struct("*").alias("row"), F.monotonically_increasing_id().alias("place"))
-    slim = placed.select(F.col("row.doc_id").cast("long").alias("doc_id"), F.coalesce(F.col("row.text"), F.lit("")).cast("binary").alias("body"), "place")
+    rows, place = placed(docs, "simhash-rows")
+    slim = rows.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce(F.col("text"), F.lit("")).cast("binary").alias("body"), F.col(place).alias("place"))
     marks = stored(slim.select("doc_id", "place", fingerprints(words).alias("fp")), "simhash")
     named = marks.join(simhash_groups(marks, radius).select("fp", "root"), "fp")
     first = named.groupBy("root").agg(F.min(F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "place")).alias("best"))
-    chosen = first.select(F.col("best.place").alias("place"))
-    return placed.join(chosen, "place", "left_semi").select("row.*")
+    chosen = first.select(F.col("best.place").alias(place))
+    return rows.join(chosen, place, "left_semi").drop(place)

@@ -78,3 +78,21 @@ def test_quality_weights_draw_more(spark):
 def test_empty_table(spark):
     docs = spark.createDataFrame([], "doc_id long, text string, source string")
     assert mix.mix(docs).collect() == [] and mix.mixed(docs).collect() == []
+
+
+def test_mixed_when_the_table_is_split_anew_between_jobs(spark, tmp_dir):
+    """More cores between two jobs change the splits, and with them row numbers."""
+    rows = [(i, "w " * (i % 7 + 1), f"s{i % 3}") for i in range(400)]
+    spark.createDataFrame(rows, "doc_id long, text string, source string").repartition(16, "doc_id").write.parquet(f"{tmp_dir}/docs")
+    docs, cores = spark.read.parquet(f"{tmp_dir}/docs"), "spark.sql.files.minPartitionNum"
+    want = {r["doc_id"]: r["copies"] for r in mix.mix(docs).collect() if r["copies"]}
+    try:
+        spark.conf.set(cores, "1")
+        out = mix.mixed(docs)
+        spark.conf.set(cores, "1000")
+        count = defaultdict(int)
+        for r in out.collect():
+            count[r["doc_id"]] += 1
+    finally:
+        spark.conf.unset(cores)
+    assert count == want

@@ -101,3 +101,18 @@ def test_large_group_of_near_fingerprints(spark, monkeypatch, bucket):
             a, b = sorted((find(i), find(j)))
             root[b] = a
     assert got == {m - (1 << 64) if m >> 63 else m: find(i) for i, m in enumerate(rows)}
+
+
+def test_keep_one_when_the_table_is_split_anew_between_jobs(spark, tmp_dir):
+    """More cores between two jobs change the splits, and with them row numbers."""
+    rows = [(i, f"the {i // 2} a{i // 2} b{i // 2} c{i // 2} d{i // 2} e{i // 2}", None, None, None) for i in range(400)]
+    spark.createDataFrame(rows, SCHEMA).repartition(16, "doc_id").write.parquet(f"{tmp_dir}/docs")
+    docs, cores = spark.read.parquet(f"{tmp_dir}/docs"), "spark.sql.files.minPartitionNum"
+    want = sorted({g[2] for g in slow_groups([r[:2] for r in rows])})
+    try:
+        spark.conf.set(cores, "1")
+        kept = simhash.keep_one(docs)
+        spark.conf.set(cores, "1000")
+        assert sorted(r["doc_id"] for r in kept.collect()) == want
+    finally:
+        spark.conf.unset(cores)
