@@ -3,7 +3,9 @@
 A document is a bag of sentences. A sentence's score is a logistic function of
 the weights of its words and of their first letters (so that forms of one stem
 share what is learned); a document is toxic unless every sentence is clean:
-score = 1 - prod(1 - p). The word weights are learned from document labels
+score = 1 - prod(1 - p). A sentence's p is what its words add to the chance
+that any sentence has (the bias): without telling words it is 0, so a clean
+document's score does not grow with its length. The word weights are learned from document labels
 alone by gradient descent on the document likelihood, so the sentences that
 carry a toxic label are found by the fit, and ``toxic_sentences`` lists them.
 
@@ -62,9 +64,15 @@ def sentence_logits(b: Bags, weights: np.ndarray, bias: float) -> np.ndarray:
     return np.add.reduceat(weights[b.cell].sum(axis=1, dtype=np.float64), b.first) + bias if len(b.first) else np.zeros(0)
 
 
-def noisy_or(logits: np.ndarray, doc: np.ndarray, n: int) -> np.ndarray:
-    """1 - prod(1 - sigmoid(logit)) for each of ``n`` documents; 0 without sentences."""
-    return -np.expm1(-np.bincount(doc, weights=np.logaddexp(0, logits), minlength=n)) if len(doc) else np.zeros(n)
+def masses(logits: np.ndarray, bias: float) -> np.ndarray:
+    """-log(1 - p) of each sentence over that of one without telling words."""
+    return np.maximum(np.logaddexp(0, logits) - np.logaddexp(0, bias), 0)
+
+
+def noisy_or(logits: np.ndarray, doc: np.ndarray, n: int, bias: float = -np.inf) -> np.ndarray:
+    """1 - prod(1 - sigmoid(logit)) for each of ``n`` documents, over the chance
+    that ``bias`` alone gives a sentence; 0 without sentences."""
+    return -np.expm1(-np.bincount(doc, weights=masses(logits, bias), minlength=n)) if len(doc) else np.zeros(n)
 
 
 @dataclass
@@ -126,11 +134,12 @@ def fit(bodies: list[bytes], labels: np.ndarray, epochs: int = 200, rate: float
     mean, square = np.zeros_like(x), np.zeros_like(x)
     for t in range(1, epochs + 1):
         z = np.bincount(sentence, weights=x[cell], minlength=len(doc)) + x[-1]
-        mass = np.bincount(doc, weights=np.logaddexp(0, z), minlength=len(y))
+        mass = np.bincount(doc, weights=masses(z, x[-1]), minlength=len(y))
         # d loss / d mass: 1 for a clean document, -q / (1 - q) with q = exp(-mass) for a toxic one
         pull = np.where(y > 0, -1 / np.expm1(np.clip(mass, 1e-9, 50)), 1.0)
-        back = np.clip(pull[doc] / (1 + np.exp(np.minimum(-z, 50))), -1, 1)
-        grad = np.append(np.bincount(cell, weights=back[sentence], minlength=len(used)), back.sum()) / len(y)
+        p, background = (1 / (1 + np.exp(np.minimum(-v, 50))) for v in (z, x[-1]))
+        back, over = (np.clip(pull[doc] * v, -1, 1) for v in (p, p - background))
+        grad = np.append(np.bincount(cell, weights=back[sentence], minlength=len(used)), over.sum()) / len(y)
         mean, square = 0.9 * mean + 0.1 * grad, 0.999 * square + 0.001 * grad**2
         x -= rate * mean / (1 - 0.9**t) / (np.sqrt(square / (1 - 0.999**t)) + 1e-6)
         x[:-1] = np.maximum(x[:-1], 0)
@@ -149,7 +158,7 @@ def score_bodies(data: np.ndarray, offsets: np.ndarray, model: ToxicityModel) ->
     """Document scores, sentence logits and the bags of a batch."""
     b = bags(data, offsets)
     z = sentence_logits(b, model.weights, model.bias)
-    return noisy_or(z, b.doc, len(offsets) - 1), z, b
+    return noisy_or(z, b.doc, len(offsets) - 1, model.bias), z, b
 
 
 def toxicity_score(model: ToxicityModel) -> Column:
@@ -187,7 +196,7 @@ def toxic_sentences(docs: DataFrame, model: ToxicityModel, least: float = 0.3) -
         for part in slices(batches, "body", 4 << 20):
             data, offsets = joined(part.column("body"))
             _, z, b = score_bodies(data, offsets, model)
-            p = 1 / (1 + np.exp(-z))
+            p = -np.expm1(-masses(z, model.bias))
             hit = np.flatnonzero(p >= least)
             if not len(hit):
                 continue

@@ -73,3 +73,21 @@ def test_edge_rows(spark):
     assert got == sorted([(None, True), (1, False), (1, False), (2, False), (3, False), (4, True), (5, False)], key=str)
     assert tox.score_toxicity(docs.limit(0), model).collect() == []
     assert (scores(["x", ""], tox.fit([], np.array([]))) < 0.01).all()
+
+
+def test_length_alone_does_not_make_a_text_toxic(spark):
+    texts, labels = planted(400)
+    model = tox.fit([t.encode() for t in texts], labels)
+    rng = np.random.default_rng(4)
+    words = "the wind over hills runs green river stone light and".split()
+    clean = [" ".join(rng.choice(words, 6)) for _ in range(20_000)]
+    toxic = [*clean[:12_345], "the SNARF and light", *clean[12_345:]]
+    long = [". ".join(s) for s in (clean, toxic)]
+    assert (scores(long, model) >= 0.3).tolist() == [False, True]
+    # at the bias a fit starts from, and with a text above any bound of the fit
+    start = tox.ToxicityModel(np.zeros(1 << tox.BITS, np.float32), -9.0)
+    assert scores([long[0], ". ".join(clean * 10)], start).max() < 1e-6
+    docs = spark.createDataFrame([(1, long[0]), (2, long[1])], "doc_id long, text string")
+    assert [r["doc_id"] for r in tox.drop_toxic(docs, model).collect()] == [1]
+    found = tox.toxic_sentences(docs, model).collect()
+    assert [(r["doc_id"], long[1][r["start"] : r["end"]]) for r in found] == [(2, "the SNARF and light")]
