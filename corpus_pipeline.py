@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from encore.llm.common import stored
-from encore.llm.decontaminate import drop_contaminated
+from encore.llm.decontaminate import drop_contaminated_rows
 from encore.llm.mix import mixed
 from encore.llm.queries import TOKENIZER
 from encore.llm.simhash import keep_one
@@ -33,8 +33,9 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that hold at least 0.8 of a benchmark item's five-word shingles go."""
-    return drop_contaminated(docs, _table(spark, sf_dir, "benchmark"), size=5, share=0.8)
+    """Documents that hold at least 0.8 of a benchmark item's five-word shingles
+    go, each row judged by its own text."""
+    return drop_contaminated_rows(docs, _table(spark, sf_dir, "benchmark"), size=5, share=0.8)
 
 
 def mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -25,7 +25,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from encore.llm.common import joined, slices, stored
@@ -117,23 +117,20 @@ def _screen(marks: DataFrame) -> np.ndarray:
     return out
 
 
-def contained_items(docs: DataFrame, benchmark: DataFrame, size: int = 5, share: float = 0.8) -> DataFrame:
-    """``doc_id, item_id, n_item, n_shared, containment`` of every document that
-    holds at least ``share`` of an item's distinct shingles.
+def _row_id(doc_id: Column, text: Column) -> Column:
+    """Rows are told apart by id and text, so a repeated row is one row."""
+    return F.xxhash64(doc_id.cast("long"), F.coalesce(text.cast("string"), F.lit("")))
 
-    Items of fewer than ``size`` words have one shingle of all their words,
-    which only documents of exactly these words hold. Null and empty texts,
-    of documents or items, match nothing. A repeated doc_id is judged row by
-    row and reported once an item, with the row that holds most; a null
-    doc_id or item_id is reported as null. Other columns are ignored.
-    """
+
+def rows_with_items(docs: DataFrame, benchmark: DataFrame, size: int = 5, share: float = 0.8) -> DataFrame:
+    """``row_id, doc_id, item_id, n_item, n_shared`` of every row of ``docs`` that
+    holds at least ``share`` of an item's distinct shingles."""
     body = F.coalesce(F.col("text").cast("string"), F.lit(""))
     items = stored(
         benchmark.select(F.col("item_id").cast("long").alias("item_id"), body.alias("text")).distinct().select(F.monotonically_increasing_id().alias("item"), "*"), "decontaminate-items"
     )
     marks = stored(signatures(items.select(F.col("item").alias("row_id"), F.col("text").cast("binary").alias("body")), size, share), "decontaminate-marks")
-    # rows are told apart by id and text, so a repeated row is one row
-    slim = docs.select(F.col("doc_id").cast("long").alias("doc_id"), body.alias("text")).withColumn("row_id", F.xxhash64("doc_id", "text"))
+    slim = docs.select(F.col("doc_id").cast("long").alias("doc_id"), body.alias("text"), _row_id(F.col("doc_id"), F.col("text")).alias("row_id"))
     hits = hashed(slim.select("row_id", F.col("text").cast("binary").alias("body")), size, _screen(marks)).distinct()
     found = hits.join(marks, "h").groupBy("row_id", "item").agg(F.count(F.lit(1)).alias("hits"), F.first("need").alias("need"))
     candidates = stored(found.where("hits >= need").select("row_id", "item"), "decontaminate-candidates")
@@ -147,15 +144,48 @@ def contained_items(docs: DataFrame, benchmark: DataFrame, size: int = 5, share:
     names = texts.select("row_id", "doc_id").distinct()
     held = shared.join(candidates, ["row_id", "item"], "left_semi").join(total, "item").join(items.select("item", "item_id"), "item").join(names, "row_id")
     sure = held.where(F.col("n_shared") >= F.col("n_item") * share - F.lit(1e-9))
+    return sure.select("row_id", "doc_id", "item_id", "n_item", "n_shared")
+
+
+def contained_items(docs: DataFrame, benchmark: DataFrame, size: int = 5, share: float = 0.8) -> DataFrame:
+    """``doc_id, item_id, n_item, n_shared, containment`` of every document that
+    holds at least ``share`` of an item's distinct shingles.
+
+    Items of fewer than ``size`` words have one shingle of all their words,
+    which only documents of exactly these words hold. Null and empty texts,
+    of documents or items, match nothing. A repeated doc_id is judged row by
+    row and reported once an item, with the row that holds most; a null
+    doc_id or item_id is reported as null. Other columns are ignored.
+    """
+    sure = rows_with_items(docs, benchmark, size, share)
     best = sure.groupBy("doc_id", "item_id").agg(F.max(F.struct((F.col("n_shared") / F.col("n_item")).alias("containment"), "n_item", "n_shared")).alias("b"))
     return best.select("doc_id", "item_id", "b.n_item", "b.n_shared", "b.containment")
 
 
 def drop_contaminated(docs: DataFrame, benchmark: DataFrame, size: int = 5, share: float = 0.8) -> DataFrame:
-    """The rows of ``docs`` whose doc_id holds no benchmark item; columns as given."""
-    found = contained_items(docs, benchmark, size, share).select(F.col("doc_id").alias("_found")).distinct()
-    rows = docs.select(F.struct("*").alias("row"))
-    return rows.join(found, F.col("row.doc_id").cast("long").eqNullSafe(F.col("_found")), "left_anti").select("row.*")
+    """The rows of ``docs`` whose doc_id holds no benchmark item; columns as given.
+
+    One row with an item takes all rows of its doc_id along; a null doc_id is
+    no id, so such rows go only for an item of their own.
+    """
+    found = stored(rows_with_items(docs, benchmark, size, share).select("row_id", "doc_id").distinct(), "decontaminate-found")
+    ids = found.select(F.col("doc_id").alias("_found")).where("_found is not null").distinct()
+    rows = _without(docs, found).select(F.struct("*").alias("row"))
+    return rows.join(ids, F.col("row.doc_id").cast("long") == F.col("_found"), "left_anti").select("row.*")
+
+
+def drop_contaminated_rows(docs: DataFrame, benchmark: DataFrame, size: int = 5, share: float = 0.8) -> DataFrame:
+    """The rows of ``docs`` that hold no benchmark item themselves, whatever
+    other rows of the same or of no doc_id hold; columns as given."""
+    return _without(docs, rows_with_items(docs, benchmark, size, share).select("row_id", "doc_id").distinct())
+
+
+def _without(docs: DataFrame, found: DataFrame) -> DataFrame:
+    """The rows of ``docs`` that are not among ``found`` (``row_id, doc_id``)."""
+    rows = docs.select(F.struct("*").alias("row"), _row_id(F.col("doc_id"), F.col("text")).alias("_row_id"))
+    gone = found.select(F.col("row_id").alias("_gone"), F.col("doc_id").alias("_found"))
+    same = (F.col("_row_id") == F.col("_gone")) & F.col("row.doc_id").cast("long").eqNullSafe(F.col("_found"))
+    return rows.join(gone, same, "left_anti").select("row.*")
 
 
 #: The same result in DuckDB SQL, over whole tables.

@@ -5,6 +5,7 @@ import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
+import corpus_pipeline
 from encore.llm import decontaminate as dec
 from encore.llm.common import joined
 from encore.llm.words import SPACED, words
@@ -71,6 +72,19 @@ def test_edge_rows(spark):
     assert dec.drop_contaminated(d, b.limit(0)).count() == len(docs)
 
 
+def test_clean_rows_of_a_shared_or_null_id_stay(spark, tmp_dir):
+    item = "Alpha beta gamma delta epsilon zeta eta theta"
+    clean = [(None, f"plain words of row {i} and no more") for i in range(20)] + [(None, None), (4, "alpha beta gamma delta epsilon zeta eta"), (4, None), (5, "other words")]
+    docs = [(None, f"x {item} y"), (4, item), (4, item), (6, f"x {item} y"), *clean]
+    d = spark.createDataFrame(docs, "doc_id long, text string").withColumns({c: F.lit(1) for c in ("row_id", "_row_id", "_gone", "_found", "row")})
+    spark.createDataFrame([(1, item)], "item_id long, text string").write.parquet(f"{tmp_dir}/benchmark.parquet")
+    b = spark.read.parquet(f"{tmp_dir}/benchmark.parquet")
+    kept = corpus_pipeline.decontamination(spark, d, tmp_dir)
+    assert kept.columns == d.columns
+    assert sorted(((r["doc_id"], r["text"]) for r in kept.collect()), key=str) == sorted(clean, key=str)
+    assert sorted((r["doc_id"] for r in dec.drop_contaminated(d, b).collect()), key=str) == sorted([5, *[None] * 21], key=str)
+
+
 def test_hashes_are_equal_for_equal_shingles_only():
     texts = ["a b c d e f", "A  B\tc d e g", "b c d e f", "a", "ab c d e f", "a bc d e f"]
     h, first, length = dec.shingle_hashes(words(*joined(pa.array([t.encode() for t in texts], pa.binary())), SPACED), 5)
