@@ -12,19 +12,22 @@ def held_out(id_col: str, modulus: int, remainder: int) -> Column:
 
 
 def training_sample(docs: DataFrame, labels: DataFrame, label: str, fit: Column, rows: int, longest: int) -> DataFrame:
-    """``body, label`` of at most ``rows`` labelled documents.
+    """``doc_id, body, label`` of at most ``rows`` labelled documents, one row each.
 
     ``fit`` says which label rows may be learned from. The rows are those
     with the lowest hash of their doc_id among labelled texts of at most
-    ``longest`` bytes, so reruns choose the same ones. Only the ids of the
-    labels are ordered; the chosen ids (at most ``rows``) are sent to the
-    tasks that read the texts.
+    ``longest`` bytes, so reruns choose the same ones; of a repeated doc_id
+    the text with the lowest hash is taken. Only ids and hashes are ordered;
+    the chosen ones (at most ``rows``) are sent to the tasks that read the
+    texts, and equal rows are made one before they are exchanged.
     """
     known = labels.where(fit & F.col(label).isNotNull() & F.col("doc_id").isNotNull())
     known = known.select(F.col("doc_id").cast("long").alias("doc_id"), F.col(label).cast("int").alias("label"))
     # a doc_id with two labels counts once, by its larger label
     known = known.groupBy("doc_id").agg(F.max("label").alias("label"))
-    chosen = known.orderBy(F.xxhash64("doc_id"), "doc_id").limit(rows)
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce(F.col("text"), F.lit("")).cast("binary").alias("body"))
-    short = texts.where(F.length("body") <= longest)
-    return short.join(F.broadcast(chosen), "doc_id").select("doc_id", "body", "label")
+    short = texts.where(F.col("doc_id").isNotNull() & (F.length("body") <= longest)).withColumn("_hash", F.xxhash64("body"))
+    # one row an id before the join, so that a repeated id is no hot key
+    each = short.groupBy("doc_id").agg(F.min("_hash").alias("_hash")).join(known, "doc_id")
+    chosen = each.orderBy(F.xxhash64("doc_id"), "doc_id").limit(rows)
+    return short.join(F.broadcast(chosen), ["doc_id", "_hash"]).groupBy("doc_id").agg(F.min("body").alias("body"), F.first("label").alias("label"))

@@ -91,3 +91,16 @@ def test_length_alone_does_not_make_a_text_toxic(spark):
     assert [r["doc_id"] for r in tox.drop_toxic(docs, model).collect()] == [1]
     found = tox.toxic_sentences(docs, model).collect()
     assert [(r["doc_id"], long[1][r["start"] : r["end"]]) for r in found] == [(2, "the SNARF and light")]
+
+
+def test_sample_bounds_rows_of_repeated_ids_and_fills_up(spark):
+    """A third of all rows has one id; labels of long and absent texts take no place."""
+    rows = [(7, f"copy {i % 5}") for i in range(150)] + [(i, f"text {i}") for i in range(100, 250)] + [(i, "long " * 100) for i in range(300, 450)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    labels = docs.select("doc_id", F.lit(1).alias("toxic")).union(spark.range(1000, 1400).select("id", F.lit(0)))
+    every = [(r["doc_id"], bytes(r["body"]).decode()) for r in training_sample(docs, labels, "toxic", F.lit(True), 1000, 100).collect()]
+    assert sorted(i for i, _ in every) == [7, *range(100, 250)] and set(every) <= set(rows)
+    few = [r["doc_id"] for r in training_sample(docs, labels, "toxic", F.lit(True), 120, 100).collect()]
+    assert len(few) == len(set(few)) == 120
+    again = {(r["doc_id"], bytes(r["body"]).decode()) for r in training_sample(docs.repartition(7), labels, "toxic", F.lit(True), 1000, 100).collect()}
+    assert again == set(every)
