@@ -12,9 +12,11 @@ from encore.llm import decontaminate, mix, pii, quality_mil
 from encore.llm.quality_rules import quality_rules
 from encore.llm.secret_scan import BASE_RULES, digest, find_secrets
 from encore.llm.simhash import simhash_dedup
+from encore.llm.spelling import spelling_groups
 from encore.llm.suffix_dedup import suffix_dedup
 from encore.llm.token_files import token_files
 from encore.llm.toxicity import fit_toxicity, is_held_out, score_toxicity
+from encore.llm.whiten import whiten
 
 #: The vocabulary of the public byte-level tokenizer; a path on every machine.
 TOKENIZER = "/opt/tokenizers/byte_bpe_50k.json"
@@ -71,6 +73,14 @@ def op10_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.digest(pii.find_pii(docs, pii.fit_pii(docs)))
 
 
+def op11_whiten(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whiten(_table(spark, sf_dir, "embeddings"), most=4, scale=256.0)
+
+
+def op13_spelling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling_groups(_table(spark, sf_dir, "documents"), modulus=199, least_length=6, least_count=5, ratio=5)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_mix": op1_mix,
     "op2_simhash": op2_simhash,
@@ -82,6 +92,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_suffix_dedup": op8_suffix_dedup,
     "op9_token_files": op9_token_files,
     "op10_pii": op10_pii,
+    "op11_whiten": op11_whiten,
+    "op13_spelling": op13_spelling,
 }
 
 #: DuckDB SQL of the queries that SQL can express on whole tables.
