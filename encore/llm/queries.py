@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from encore.llm import decontaminate, mix, pii, quality_mil
+from encore.llm import decontaminate, licenses, mix, pii, quality_mil
 from encore.llm.quality_rules import quality_rules
 from encore.llm.secret_scan import BASE_RULES, digest, find_secrets
 from encore.llm.simhash import simhash_dedup
@@ -77,6 +77,10 @@ def op11_whiten(spark: SparkSession, sf_dir: str) -> DataFrame:
     return whiten(_table(spark, sf_dir, "embeddings"), most=4, scale=256.0)
 
 
+def op12_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licenses.digest(licenses.find_licenses(_table(spark, sf_dir, "documents"), licenses.TEMPLATES))
+
+
 def op13_spelling(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spelling_groups(_table(spark, sf_dir, "documents"), modulus=199, least_length=6, least_count=5, ratio=5)
 
@@ -93,6 +97,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_token_files": op9_token_files,
     "op10_pii": op10_pii,
     "op11_whiten": op11_whiten,
+    "op12_licenses": op12_licenses,
     "op13_spelling": op13_spelling,
 }
 
