@@ -6,7 +6,8 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.errors import AnalysisException
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from encore.session import ensure_checkpoint_dir, scratch_path
@@ -28,20 +29,23 @@ def stored(df: DataFrame, name: str) -> DataFrame:
 
 
 def placed(docs: DataFrame, name: str) -> tuple[DataFrame, str]:
-    """``docs`` stored once with the number of each row, and that column's name.
+    """``docs`` with the place of each row, and that column's name.
 
-    The numbers are read from the files, so every job sees the same ones,
-    however the rows of ``docs`` are split when they are read.
+    Rows read from Parquet files are told apart by file and row number in
+    the file, which every job sees alike, however the files are split. Other rows are
+    stored once, and placed by the files they are stored in.
     """
     place, taken = "_place", {c.lower() for c in docs.columns}
     while place in taken:
         place += "_"
-    return stored(docs.withColumn(place, F.monotonically_increasing_id()), name), place
-
-
-def delete_folder(spark: SparkSession, path: str) -> None:
-    hpath = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
-    hpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(hpath, True)
+    try:
+        file = docs.metadataColumn("_metadata")
+        path = file["file_path"]
+        # 128 bits of the path stand for it: a table has millions of files at most
+        at = F.struct(F.xxhash64(path).alias("f"), F.xxhash64(F.reverse(path)).alias("g"), file["row_index"].alias("i"))
+        return docs.withColumn(place, at), place
+    except AnalysisException:
+        return placed(stored(docs, name), name)
 
 
 def id_and_bytes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

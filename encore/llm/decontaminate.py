@@ -13,6 +13,11 @@ such number of the partition, no containment is missed. Signatures are twice as
 candidate must hit as many of the k as the bound then demands, which thins
 out documents that share one frequent phrase.
 
+An item of fewer words than a shingle is one shingle of all its words. From
+``LEAST_WORDS`` words on it is found inside longer documents too: those give
+runs of the lengths that occur among such items. Shorter ones say too little
+by themselves, and only documents of exactly their words hold them.
+
 Documents are hashed whole, in one pass. A fixed-size bit array of the
 signature hashes (its size is a parameter, whatever the benchmark's) drops
 nearly all shingles inside the tasks; the rest meet the signatures in a join.
@@ -21,23 +26,25 @@ Candidates are verified by exact containment of the shingle texts.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from encore.llm.common import joined, slices, stored
+from encore.llm.common import WORD, joined, slices, stored
 from encore.llm.words import SPACED, Words, spread, words
 
 #: Bits of the array that screens shingles in the tasks (2 ** 23 bits: 1 MB).
 SCREEN_BITS = 23
+#: Words from which on an item shorter than a shingle is found inside longer texts.
+LEAST_WORDS = 3
 
 
-def shingle_hashes(w: Words, size: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Hash, first word and words of every run of ``size`` words of one row; a
-    row of fewer words has one shingle of them all."""
+def shingle_hashes(w: Words, size: int, lengths: Sequence[int] = ()) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Hash, first word and words of every run of ``size`` words of one row, and of
+    the shorter ``lengths``; a row of fewer words than ``size`` has a shingle of them all."""
     n = len(w.hash)
     if not n:
         none = np.zeros(0, np.int64)
@@ -49,8 +56,12 @@ def shingle_hashes(w: Words, size: int) -> tuple[np.ndarray, np.ndarray, np.ndar
     first[1:] = row[1:] != row[:-1]
     at = np.arange(n)
     whole = at + size <= stop
-    start = np.flatnonzero(whole | first)
-    length = np.minimum(size, stop[start] - start)
+    starts, counts = [np.flatnonzero(whole | first)], []
+    counts.append(np.minimum(size, stop[starts[0]] - starts[0]))
+    for k in lengths:
+        starts.append(np.flatnonzero((at + k <= stop) & ~(first & (at + k == stop))))
+        counts.append(np.full(len(starts[-1]), k))
+    start, length = np.concatenate(starts), np.concatenate(counts)
     h = length.astype(np.uint64)
     for j in range(size):
         inside = j < length
@@ -58,13 +69,13 @@ def shingle_hashes(w: Words, size: int) -> tuple[np.ndarray, np.ndarray, np.ndar
     return h, start, length
 
 
-def _shingle_rows(batches: Iterator[pa.RecordBatch], size: int, screen: np.ndarray | None, texts: bool) -> Iterator[pa.RecordBatch]:
+def _shingle_rows(batches: Iterator[pa.RecordBatch], size: int, screen: np.ndarray | None, texts: bool, lengths: Sequence[int]) -> Iterator[pa.RecordBatch]:
     """``row_id, h`` (and ``shingle``, its words folded and joined by spaces)
     for the distinct shingles of each row that pass the screen."""
     for part in slices(batches, "body", 4 << 20):
         data, offsets = joined(part.column("body"))
         w = words(data, offsets, SPACED)
-        h, first, length = shingle_hashes(w, size)
+        h, first, length = shingle_hashes(w, size, lengths)
         if screen is not None:
             cell = h >> np.uint64(64 - SCREEN_BITS)
             keep = (screen[cell >> np.uint64(3)] >> (cell & np.uint64(7)).astype(np.uint8)) & 1 > 0
@@ -84,10 +95,16 @@ def _shingle_rows(batches: Iterator[pa.RecordBatch], size: int, screen: np.ndarr
         yield pa.record_batch(cols, ["row_id", "h", "shingle"][: len(cols)])
 
 
-def hashed(rows: DataFrame, size: int, screen: np.ndarray | None = None, texts: bool = False) -> DataFrame:
+def hashed(rows: DataFrame, size: int, screen: np.ndarray | None = None, texts: bool = False, lengths: Sequence[int] = ()) -> DataFrame:
     """``row_id, h`` (and ``shingle``) of ``rows`` (``row_id, body``)."""
     ddl = "row_id long, h long" + ", shingle binary" * texts
-    return rows.mapInArrow(lambda it: _shingle_rows(it, size, screen, texts), ddl)
+    return rows.mapInArrow(lambda it: _shingle_rows(it, size, screen, texts, lengths), ddl)
+
+
+def _short_lengths(items: DataFrame, size: int) -> list[int]:
+    """The word counts from LEAST_WORDS to ``size`` - 1 that occur among the items (``text``)."""
+    n = F.regexp_count("text", F.lit(WORD))
+    return sorted(r["n"] for r in items.select(n.alias("n")).where((F.col("n") >= LEAST_WORDS) & (F.col("n") < size)).distinct().collect())
 
 
 def signatures(items: DataFrame, size: int, share: float) -> DataFrame:
@@ -129,16 +146,17 @@ def rows_with_items(docs: DataFrame, benchmark: DataFrame, size: int = 5, share:
     items = stored(
         benchmark.select(F.col("item_id").cast("long").alias("item_id"), body.alias("text")).distinct().select(F.monotonically_increasing_id().alias("item"), "*"), "decontaminate-items"
     )
+    lengths = _short_lengths(items, size)
     marks = stored(signatures(items.select(F.col("item").alias("row_id"), F.col("text").cast("binary").alias("body")), size, share), "decontaminate-marks")
     slim = docs.select(F.col("doc_id").cast("long").alias("doc_id"), body.alias("text"), _row_id(F.col("doc_id"), F.col("text")).alias("row_id"))
-    hits = hashed(slim.select("row_id", F.col("text").cast("binary").alias("body")), size, _screen(marks)).distinct()
+    hits = hashed(slim.select("row_id", F.col("text").cast("binary").alias("body")), size, _screen(marks), lengths=lengths).distinct()
     found = hits.join(marks, "h").groupBy("row_id", "item").agg(F.count(F.lit(1)).alias("hits"), F.first("need").alias("need"))
     candidates = stored(found.where("hits >= need").select("row_id", "item"), "decontaminate-candidates")
     listed = items.join(candidates.select("item").distinct(), "item", "left_semi")
     wanted = stored(hashed(listed.select(F.col("item").alias("row_id"), F.col("text").cast("binary").alias("body")), size, texts=True), "decontaminate-wanted")
     total = wanted.groupBy(F.col("row_id").alias("item")).agg(F.count(F.lit(1)).alias("n_item"))
     texts = slim.join(candidates.select("row_id").distinct(), "row_id", "left_semi")
-    have = hashed(texts.select("row_id", F.col("text").cast("binary").alias("body")), size, _screen(wanted), texts=True)
+    have = hashed(texts.select("row_id", F.col("text").cast("binary").alias("body")), size, _screen(wanted), texts=True, lengths=lengths)
     both = have.select("row_id", "shingle").distinct().join(wanted.select(F.col("row_id").alias("item"), "shingle"), "shingle")
     shared = both.groupBy("row_id", "item").agg(F.count(F.lit(1)).alias("n_shared"))
     names = texts.select("row_id", "doc_id").distinct()
@@ -151,8 +169,8 @@ def contained_items(docs: DataFrame, benchmark: DataFrame, size: int = 5, share:
     """``doc_id, item_id, n_item, n_shared, containment`` of every document that
     holds at least ``share`` of an item's distinct shingles.
 
-    Items of fewer than ``size`` words have one shingle of all their words,
-    which only documents of exactly these words hold. Null and empty texts,
+    Items of fewer than ``size`` words have one shingle of all their words;
+    those of fewer than ``LEAST_WORDS`` are held only by documents of exactly these words. Null and empty texts,
     of documents or items, match nothing. A repeated doc_id is judged row by
     row and reported once an item, with the row that holds most; a null
     doc_id or item_id is reported as null. Other columns are ignored.
@@ -192,7 +210,8 @@ def _without(docs: DataFrame, found: DataFrame) -> DataFrame:
 SQL = r"""
 WITH d AS (SELECT DISTINCT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS w FROM documents),
 b AS (SELECT DISTINCT item_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS w FROM benchmark),
-ds AS (SELECT DISTINCT doc_id, w, unnest(list_transform(range(1, greatest(1, len(w) - 4) + 1), lambda i: array_to_string(w[i:i + 4], ' '))) AS s FROM d WHERE len(w) > 0),
+ds AS (SELECT DISTINCT doc_id, w, unnest(list_concat(list_transform(range(1, greatest(1, len(w) - 4) + 1), lambda i: array_to_string(w[i:i + 4], ' ')),
+      list_transform(range(1, len(w) - 1), lambda i: array_to_string(w[i:i + 2], ' ')), list_transform(range(1, len(w) - 2), lambda i: array_to_string(w[i:i + 3], ' ')))) AS s FROM d WHERE len(w) > 0),
 bs AS (SELECT DISTINCT item_id, w, unnest(list_transform(range(1, greatest(1, len(w) - 4) + 1), lambda i: array_to_string(w[i:i + 4], ' '))) AS s FROM b WHERE len(w) > 0),
 n AS (SELECT item_id, w, count(*) AS n_item FROM bs GROUP BY item_id, w),
 m AS (SELECT doc_id, ds.w AS dw, item_id, bs.w AS bw, count(*) AS n_shared FROM ds JOIN bs USING (s) GROUP BY doc_id, ds.w, item_id, bs.w),

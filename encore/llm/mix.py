@@ -9,8 +9,10 @@ from a hash of the document, so reruns agree.
 The prefix sums need no sort of a whole source. Keys are dealt into cells of
 about ``CELL`` documents by their place on the key scale; sizes are added up a
 cell (pre-aggregated before the shuffle), the running sum over cells finds
-the one cell a source's budget ends in, and only that cell is sorted. A source with
-a third of all rows thus costs its cell sums and one bounded sort.
+the one cell a source's budget ends in, and only that cell is sorted. Its rows are
+sorted in ranges (of key, doc_id, size and place), so a cell that holds more than
+``CELL`` rows, as of one doc_id said many times, is no task's alone. A source with
+a third of all rows thus costs its cell sums and one sort of a cell.
 """
 
 from __future__ import annotations
@@ -21,7 +23,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from encore.llm.common import placed, stored
-from encore.operators.prefix import contiguous_index
+from encore.operators.prefix import contiguous_index, running_totals
 
 #: Documents of a cell on average.
 CELL = 2000
@@ -92,8 +94,8 @@ def mix(
     sample ends with the document that brings the source closest to its
     target. Documents without words take part with size 0 (taken 0 words).
     Null sources are a source of their own, null ids draw by their text,
-    repeated rows draw alike and are ranked by ``place``, a number of each
-    row (unless given, numbered here, in file order). Other columns are
+    repeated rows draw alike and are ranked by ``place``, which tells rows
+    apart (unless given, a number in file order). Other columns are
     ignored; an empty table gives no rows.
     """
     text = F.col("text").cast("string")
@@ -123,11 +125,13 @@ def mix(
     edge = running.where("upto >= rest").groupBy("source").agg(F.min(F.struct("cell", "upto", "s")).alias("e"))
     edge = edge.select(F.col("source").alias("_source"), F.col("e.cell").alias("edge"), (F.col("e.upto") - F.col("e.s")).alias("below"))
     marked = cells.join(edge, cells["source"].eqNullSafe(edge["_source"]), "left").drop("_source")
-    inside = marked.where(F.col("cell") == F.col("edge"))
-    rank = Window.partitionBy("source").orderBy("key", "doc_id", "size", "place").rowsBetween(Window.unboundedPreceding, -1)
-    before = F.col("below") + F.coalesce(F.sum("size").over(rank), F.lit(0))
+    group = F.coalesce(F.concat(F.lit("s"), "source"), F.lit("")).alias("group")
+    inside = marked.where(F.col("cell") == F.col("edge")).select(group, F.struct("key", "doc_id", "size", "place").alias("at"), "size")
+    ends = edge.join(plan, F.col("_source").eqNullSafe(F.col("source"))).select(group, "below", "rest")
+    totals = running_totals(inside, "at", ["size"], group="group").join(ends, "group")
+    before = F.col("below") + F.col("cum_size") - F.col("size")
     # the document that the budget ends in is taken if at least half of it fits
-    chosen = inside.select("place", (before + F.col("size") / 2 <= F.col("rest")).alias("fits"))
+    chosen = totals.select(F.col("at.place").alias("place"), (before + F.col("size") / 2 <= F.col("rest")).alias("fits"))
     result = marked.join(chosen.where("fits").select("place", F.lit(1).alias("more")), "place", "left")
     extra = F.when(F.col("rest") <= 0, 0).when(F.col("edge").isNull() | (F.col("cell") < F.col("edge")), 1).otherwise(F.coalesce("more", F.lit(0)))
     copies = (F.col("epochs") + extra).cast("long")
@@ -140,8 +144,7 @@ def mixed(docs: DataFrame, **options) -> DataFrame:  # noqa: ANN003
     """The rows of the mix: each row of ``docs`` as often as ``mix`` takes it.
 
     Documents without words are kept once, so that mixing never loses a row
-    that costs nothing. Rows are told apart by their place in a copy of
-    ``docs`` that is stored once.
+    that costs nothing. Rows are told apart by their place (``placed``).
     """
     numbered, place = placed(docs, "mix-rows")
     counts = mix(numbered, place=F.col(place), **options).select("place", F.when(F.col("size") == 0, 1).otherwise(F.col("copies")).alias("copies"))

@@ -28,8 +28,8 @@ from encore.llm.words import SPACED, runs, spread, words
 
 #: Words of a passage.
 PASSAGE = 48
-#: Bounds of the fit: labelled rows, and bytes of a text among them.
-ROWS, LONGEST = 6000, 1 << 15
+#: Bounds of the fit: labelled rows, and bytes of their texts together.
+ROWS, MOST_BYTES = 6000, 1 << 25
 CODE, GATE, SKETCH = 24, 12, 16
 
 _CLASSES = [
@@ -177,10 +177,10 @@ def fit(bodies: list[bytes], labels: np.ndarray, epochs: int = 25, rate: float =
     return model
 
 
-def fit_quality(docs: DataFrame, labels: DataFrame, fit_rows: Column, rows: int = ROWS, longest: int = LONGEST) -> QualityModel:
+def fit_quality(docs: DataFrame, labels: DataFrame, fit_rows: Column, rows: int = ROWS, most_bytes: int = MOST_BYTES) -> QualityModel:
     """Fit from the label rows where ``fit_rows`` holds: at most ``rows`` of
-    them, of texts up to ``longest`` bytes, are brought to the driver."""
-    got = training_sample(docs, labels, "quality", fit_rows, rows, longest).orderBy("doc_id", "body").toArrow()
+    them, whole, with texts of at most ``most_bytes`` together, are brought to the driver."""
+    got = training_sample(docs, labels, "quality", fit_rows, rows, most_bytes).orderBy("doc_id", "body").toArrow()
     return fit(got.column("body").to_pylist(), got.column("label").to_numpy())
 
 

@@ -5,6 +5,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -19,7 +20,7 @@ from encore.llm.toxicity import fit_toxicity, is_held_out, score_toxicity
 from encore.llm.whiten import whiten
 
 #: The vocabulary of the public byte-level tokenizer; a path on every machine.
-TOKENIZER = "/opt/tokenizers/byte_bpe_50k.json"
+TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:

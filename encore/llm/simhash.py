@@ -196,8 +196,7 @@ def simhash_dedup(docs: DataFrame, words: int = 4, radius: int = 4, id_col: str
 def keep_one(docs: DataFrame, words: int = 4, radius: int = 4) -> DataFrame:
     """The rows of ``docs`` without near-duplicates: of each group the row with
     the smallest doc_id stays (ids tie: the first row in file order; ids
-    null: last). Rows are told apart by their place in a copy of ``docs``
-    that is stored once.
+    null: last). Rows are told apart by their place (``placed``).
     """
     rows, place = placed(docs, "simhash-rows")
     slim = rows.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce(F.col("text"), F.lit("")).cast("binary").alias("body"), F.col(place).alias("place"))

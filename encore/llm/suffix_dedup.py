@@ -338,10 +338,21 @@ def _merge_ranges(batches: Iterator[pa.RecordBatch], length: int) -> Iterator[pa
         yield from _merged(pa.concat_tables(held), length).to_batches()
 
 
+_WINDOWS = pa.schema([*list(_REPEATS), ("h", pa.int64()), ("g", pa.int64())])
+WINDOWS_DDL = REPEATS_DDL + ", h long, g long"
+
+
 def _window_hashes(batches: Iterator[pa.RecordBatch], hot: np.ndarray, length: int, gram: int) -> Iterator[pa.RecordBatch]:
-    """``doc_id, mark, low, h, g``: every window of the hot grams' anchors."""
+    """``doc_id, mark, low, high, h, g``: the windows of the hot grams' anchors that
+    do not repeat an earlier one of their piece, one a row, and the stretches repeated in the piece (no
+    hashes). Both come from the same pieces: another job may cut them elsewhere."""
     for rows, data, offsets, shift in _pieces(batches, length):
-        (_, low, high, h), _, _ = fresh_anchors(data, offsets, length, gram)
+        (_, low, high, h), (begin, end), _ = fresh_anchors(data, offsets, length, gram)
+        if len(begin):
+            row = np.searchsorted(offsets, begin, side="right") - 1
+            pick, none = pa.array(row), pa.nulls(len(begin), pa.int64())
+            places = [pa.array(x - offsets[row] + shift) for x in (begin, end)]
+            yield pa.record_batch([rows.column("doc_id").take(pick), rows.column("mark").take(pick), *places, none, none], schema=_WINDOWS)
         keep = passes(hot, h) if len(h) else np.zeros(0, bool)
         if not keep.any():
             continue
@@ -349,8 +360,8 @@ def _window_hashes(batches: Iterator[pa.RecordBatch], hot: np.ndarray, length: i
         row = np.searchsorted(offsets, p, side="right") - 1
         pick = pa.array(row)
         marks = [pa.array(string_hashes(data, length, b)[p].view(np.int64)) for b in _BASES]
-        cols = [rows.column("doc_id").take(pick), rows.column("mark").take(pick), pa.array(p - offsets[row] + shift), *marks]
-        yield pa.record_batch(cols, ["doc_id", "mark", "low", "h", "g"])
+        place = pa.array(p - offsets[row] + shift)
+        yield pa.record_batch([rows.column("doc_id").take(pick), rows.column("mark").take(pick), place, place, *marks], schema=_WINDOWS)
 
 
 def repeated_windows(slim: DataFrame, length: int = LENGTH, gram: int = GRAM) -> DataFrame:
@@ -366,14 +377,16 @@ def repeated_windows(slim: DataFrame, length: int = LENGTH, gram: int = GRAM) ->
     shuffles = int(spark.conf.get("spark.sql.shuffle.partitions"))
     parts = max(shuffles, -(-total // RANGE))
     runs = long.mapInArrow(lambda it: _sorted_runs(it, screens, parts, length, gram), RUN_DDL)
-    ranged = runs.repartition(parts, "part").sortWithinPartitions("part", "run", "seq")
+    # a range is a partition: hashing its number would put several into one task
+    ranged = runs.repartitionById(parts, F.col("part")).sortWithinPartitions("part", "run", "seq")
     found = ranged.mapInArrow(lambda it: _merge_ranges(it, length), REPEATS_DDL)
     if not screens[1].any():
         return found
-    windows = long.mapInArrow(lambda it: _window_hashes(it, screens[1], length, gram), "doc_id long, mark long, low long, h long, g long")
-    windows = stored(windows, "suffix-hot")
-    often = windows.groupBy("h", "g").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
-    return found.union(windows.join(often, ["h", "g"]).select("doc_id", "mark", "low", F.col("low").alias("high")))
+    windows = stored(long.mapInArrow(lambda it: _window_hashes(it, screens[1], length, gram), WINDOWS_DDL), "suffix-hot")
+    often = windows.where("h is not null").groupBy("h", "g").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
+    repeated = windows.join(often, ["h", "g"], "left_semi").select("doc_id", "mark", "low", "high")
+    settled = windows.where("h is null").select("doc_id", "mark", "low", "high")
+    return found.union(repeated).union(settled)
 
 
 def _spans(low: np.ndarray, high: np.ndarray, size: int, length: int) -> list[tuple[int, int]]:
@@ -402,7 +415,8 @@ def _cut(batches: Iterator[pa.RecordBatch], length: int) -> Iterator[pa.RecordBa
                 c.append(v)
             rest.append(kept)
         ints = [pa.array(c, pa.int64()) for c in out[:3]]
-        yield pa.record_batch([batch.column("doc_id"), *ints, pa.array(out[3]), pa.array(rest, pa.binary())], ["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256", "kept"])
+        names = ["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256", "kept", "copies"]
+        yield pa.record_batch([batch.column("doc_id"), *ints, pa.array(out[3], pa.string()), pa.array(rest, pa.binary()), batch.column("copies")], names)
 
 
 def suffix_dedup(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -416,7 +430,9 @@ def suffix_dedup(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, id_col
     """
     body = F.coalesce(F.col(text_col).cast("string"), F.lit("")).cast("binary")
     slim = docs.select(F.col(id_col).cast("long").alias("doc_id"), body.alias("body")).withColumn("mark", F.xxhash64("body"))
-    found = stored(repeated_windows(slim.select("doc_id", "mark", "body"), length, gram), "suffix-repeats")
+    # equal rows (same id and text) find the same stretches: one of each is kept
+    found = repeated_windows(slim.select("doc_id", "mark", "body"), length, gram).distinct()
+    found = stored(found, "suffix-repeats")
     each = found.groupBy("doc_id", "mark").agg(F.collect_list(F.struct("low", "high")).alias("found"))
     screen = bit_screen(found.select("mark").distinct(), "mark")
 
@@ -425,6 +441,10 @@ def suffix_dedup(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, id_col
         "doc_id", F.octet_length("body").cast("long").alias("n_bytes"), F.lit(0).cast("long").alias("n_removed"), F.lit(0).cast("long").alias("n_spans"),
         F.sha2("body", 256).alias("kept_sha256"), F.lit(None).cast("binary").alias("kept"),
     )
-    hit = seen.where("touched").alias("s").join(each.alias("e"), F.expr("s.mark = e.mark and s.doc_id <=> e.doc_id"), "left").select("s.doc_id", "s.body", "e.found")
+    # equal rows are made one before they meet their stretches, and are cut once
+    rows = seen.where("touched").groupBy("doc_id", "mark", "body").agg(F.count(F.lit(1)).cast("int").alias("copies"))
+    hit = rows.alias("s").join(each.alias("e"), F.expr("s.mark = e.mark and s.doc_id <=> e.doc_id"), "left").select("s.doc_id", "s.body", "s.copies", "e.found")
     ddl = "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string, kept binary"
-    return whole.union(hit.mapInArrow(lambda it: _cut(it, length), ddl))
+    cut = hit.mapInArrow(lambda it: _cut(it, length), ddl + ", copies int")
+    again = cut.withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("copies"))))
+    return whole.union(again.drop("copies", "_copy"))

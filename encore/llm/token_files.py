@@ -228,17 +228,41 @@ def write_token_files(docs: DataFrame, folder: str, tokenizer: str, end_id: int
     return spark.read.parquet(report)
 
 
+class Sequences:
+    """The sequences of one shard by position, without copying.
+
+    Batches stay where they were read (a memory map where the store is a
+    local path); ``self[i]`` gives ids and mask of sequence i as slices of its batch.
+    """
+
+    def __init__(self, folder: str, shard: str) -> None:
+        fs, inner = _filesystem(folder)
+        with pa.ipc.open_stream(_open(fs, f"{inner}/{shard}.arrows")) as r:
+            self.length = r.schema.field("sequence").type.list_size
+            self.batches = [b for b in r if b.num_rows]
+        self.first = np.cumsum([0, *(b.num_rows for b in self.batches)])
+
+    def __len__(self) -> int:
+        return int(self.first[-1])
+
+    def __getitem__(self, i: int) -> tuple[np.ndarray, pa.BooleanArray]:
+        i = i + len(self) if i < 0 else i
+        if not 0 <= i < len(self):
+            raise IndexError(i)
+        at = int(np.searchsorted(self.first, i, side="right")) - 1
+        row = self.batches[at].slice(i - int(self.first[at]), 1)
+        return row.column("sequence").flatten().to_numpy(), row.column("mask").flatten()
+
+
 def read_sequences(folder: str, shard: str) -> tuple[np.ndarray, np.ndarray]:
-    """Ids and mask of one shard, both (sequences, length); ids are not copied batch by batch when the shard has one batch."""
-    fs, inner = _filesystem(folder)
-    with pa.ipc.open_stream(_open(fs, f"{inner}/{shard}.arrows")) as r:
-        ids, masks = [], []
-        for b in r:
-            length = b.schema.field("sequence").type.list_size
-            ids.append(b.column("sequence").flatten().to_numpy().reshape(-1, length))
-            masks.append(b.column("mask").flatten().to_numpy(zero_copy_only=False).reshape(-1, length))
-    if not ids:
+    """Ids and mask of a whole shard as two arrays (sequences, length). This copies
+    a shard of several batches into one array; ``Sequences`` does not copy."""
+    batches = Sequences(folder, shard).batches
+    if not batches:
         return np.zeros((0, 0), np.uint32), np.zeros((0, 0), bool)
+    length = batches[0].schema.field("sequence").type.list_size
+    ids = [b.column("sequence").flatten().to_numpy().reshape(-1, length) for b in batches]
+    masks = [b.column("mask").flatten().to_numpy(zero_copy_only=False).reshape(-1, length) for b in batches]
     return (ids[0], masks[0]) if len(ids) == 1 else (np.concatenate(ids), np.concatenate(masks))
 
 

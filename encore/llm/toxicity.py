@@ -30,8 +30,8 @@ from encore.llm.words import LETTERS, Words, prefixes, runs, words
 
 #: Hashed words are counted in 2 ** BITS cells.
 BITS = 18
-#: Bounds of the fit: labelled rows, and bytes of a text among them.
-ROWS, LONGEST = 8000, 1 << 15
+#: Bounds of the fit: labelled rows, and bytes of their texts together.
+ROWS, MOST_BYTES = 8000, 1 << 25
 #: Documents whose words are laid out at a time in the fit.
 AT_ONCE = 400
 #: Beginnings of words that have weights of their own, in bytes.
@@ -147,10 +147,10 @@ def fit(bodies: list[bytes], labels: np.ndarray, epochs: int = 200, rate: float
     return ToxicityModel(weights, float(x[-1]))
 
 
-def fit_toxicity(docs: DataFrame, labels: DataFrame, fit_rows: Column, rows: int = ROWS, longest: int = LONGEST) -> ToxicityModel:
+def fit_toxicity(docs: DataFrame, labels: DataFrame, fit_rows: Column, rows: int = ROWS, most_bytes: int = MOST_BYTES) -> ToxicityModel:
     """Fit from the label rows where ``fit_rows`` holds: at most ``rows`` of
-    them, of texts up to ``longest`` bytes, are brought to the driver."""
-    got = training_sample(docs, labels, "toxic", fit_rows, rows, longest).orderBy("doc_id", "body").toArrow()
+    them, whole, with texts of at most ``most_bytes`` together, are brought to the driver."""
+    got = training_sample(docs, labels, "toxic", fit_rows, rows, most_bytes).orderBy("doc_id", "body").toArrow()
     return fit(got.column("body").to_pylist(), got.column("label").to_numpy())
 
 

@@ -21,7 +21,8 @@ def brute(docs, items, share=0.8):
     best = {}
     wanted = [(i, shingles(t)) for i, t in items]
     for d, t in docs:
-        have = shingles(t)
+        w = (t or "").encode().lower().split()
+        have = shingles(t) | {b" ".join(w[i : i + k]) for k in (3, 4) for i in range(len(w) - k + 1)}
         for i, s in wanted:
             n = len(s & have)
             if s and n >= share * len(s) - 1e-9:
@@ -85,6 +86,14 @@ def test_clean_rows_of_a_shared_or_null_id_stay(spark, tmp_dir):
     assert sorted((r["doc_id"] for r in dec.drop_contaminated(d, b).collect()), key=str) == sorted([5, *[None] * 21], key=str)
 
 
+def test_short_items_inside_long_texts(spark):
+    items = [(1, "alpha beta gamma"), (2, "one two three four"), (3, "few words"), (4, "alone"), (5, "a b c d e")]
+    docs = [(1, "x " * 900 + "Alpha BETA\tgamma" + " y" * 900), (2, "alpha beta"), (3, "zero one two three four five"), (4, "few words here"), (5, "few words"), (6, "alone"), (7, "alpha beta gamma"), (8, "a b c d"), (9, "beta gamma alpha")]
+    d, b = spark.createDataFrame(docs, "doc_id long, text string"), spark.createDataFrame(items, "item_id long, text string")
+    got = result(dec.contained_items(d, b))
+    assert got == brute(docs, items) and [g[:2] for g in got] == [(1, 1), (3, 2), (5, 3), (6, 4), (7, 1)]
+
+
 def test_hashes_are_equal_for_equal_shingles_only():
     texts = ["a b c d e f", "A  B\tc d e g", "b c d e f", "a", "ab c d e f", "a bc d e f"]
     h, first, length = dec.shingle_hashes(words(*joined(pa.array([t.encode() for t in texts], pa.binary())), SPACED), 5)

@@ -67,6 +67,17 @@ def test_hot_source_nulls_and_odd_rows(spark, monkeypatch, cell):
     assert set(count) <= {(d, t, s) for d, t, s in rows}
 
 
+def test_cell_of_one_repeated_id_is_sorted_in_ranges(spark, monkeypatch):
+    """A third of a source's rows share one id (and so one key), more than a cell holds; the budget ends among them."""
+    monkeypatch.setattr(mix, "CELL", 10)
+    rows = [(7, "w w", "a")] * 900 + [(i, "w w w", "a") for i in range(100, 160)] + [(None, "x", "a")] * 300 + [(1000 + i, "w " * 30, "b") for i in range(200)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string").repartition(5)
+    got = mix.mix(docs, weights=(1, 4)).collect()
+    mine = [r for r in got if r["source"] == "a"]
+    assert len(got) == len(rows) and abs(sum(r["taken"] for r in mine) - mine[0]["target"]) <= 2.5
+    assert len({r["place"] for r in got}) == len(rows)
+
+
 def test_quality_weights_draw_more(spark):
     rows = [(i, "word " * 10, "a", 1.0 if i % 2 else 0.2) for i in range(4000)] + [(10_000 + i, "word " * 10, "b", 1.0) for i in range(1000)]
     docs = spark.createDataFrame(rows, "doc_id long, text string, source string, q double")

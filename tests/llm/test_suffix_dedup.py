@@ -74,5 +74,40 @@ def test_shuffled_fragments_match_brute_force(spark, monkeypatch, hot, piece):
     assert result(sd.suffix_dedup(docs, length=24, gram=6)) == brute(rows, 24)
 
 
+@pytest.mark.parametrize("hot", [1, 20_000])
+def test_table_split_anew_between_jobs(spark, tmp_dir, monkeypatch, hot):
+    """More cores between two jobs change the splits, and with them the pieces of text."""
+    monkeypatch.setattr(sd, "HOT", hot)
+    rng = random.Random(hot)
+    word = lambda: "".join(rng.choices("abcdefgh", k=6))
+    passages = [" ".join(word() for _ in range(90)) for _ in range(20)]
+    rows = [(i, " ".join([word(), passages[i % 20], word()])) for i in range(40)]
+    spark.createDataFrame(rows, "doc_id long, text string").repartition(16, "doc_id").write.parquet(f"{tmp_dir}/docs")
+    docs, cores, write = spark.read.parquet(f"{tmp_dir}/docs"), "spark.sql.files.minPartitionNum", sd.stored
+    settings = iter(["1", "1000", "1", "1000", "1", "1000"])
+
+    def stored(df, name):
+        spark.conf.set(cores, next(settings))
+        return write(df, name)
+
+    monkeypatch.setattr(sd, "stored", stored)
+    try:
+        assert result(sd.suffix_dedup(docs)) == brute(rows, 400)
+    finally:
+        spark.conf.unset(cores)
+
+
+def test_many_equal_rows_without_id(spark):
+    """5,000 rows of one text and no id: each piece settles its own, equal rows are cut once."""
+    rng = random.Random(7)
+    text = " ".join("".join(rng.choices("abcdefgh", k=6)) for _ in range(200))
+    rows = [(None, text)] * 5000 + [(1, "x " + text[100:900]), (2, "plain"), (3, None)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(6)
+    got = result(sd.suffix_dedup(docs))
+    empty = hashlib.sha256(b"").hexdigest()
+    assert got[:3] == sorted([(1, 802, 800, 1, hashlib.sha256(b"x ").hexdigest()), (2, 5, 0, 0, hashlib.sha256(b"plain").hexdigest()), (3, 0, 0, 0, empty)], key=str)
+    assert got[3:] == [(None, len(text), len(text), 1, empty)] * 5000
+
+
 def test_empty_table(spark):
     assert sd.suffix_dedup(spark.createDataFrame([], "doc_id long, text string")).collect() == []

@@ -66,6 +66,24 @@ def test_layout_is_fixed_size_lists_with_random_access(spark, tmp_dir, library):
     assert every == ids
 
 
+def test_sequences_by_position_share_the_memory_of_their_batch(spark, tmp_dir):
+    docs = spark.createDataFrame([(i, f"text {i} " * i) for i in range(60)], "doc_id long, text string")
+    tmp = f"{tmp_dir}/t"
+    (shard,) = (s["shard"] for s in tf.write_token_files(docs, f"file://{tmp}", TOKENIZER, length=2, parts=1).collect())
+    sequences = tf.Sequences(f"file://{tmp}", shard)
+    ids, masks = tf.read_sequences(f"file://{tmp}", shard)
+    assert len(sequences.batches) > 3 and len(sequences) == len(ids)
+    for i in range(-1, len(sequences)):
+        one, mask = sequences[i]
+        assert one.tolist() == ids[i].tolist() and mask.to_pylist() == masks[i].tolist()
+        at = int(np.searchsorted(sequences.first, i % len(sequences), side="right")) - 1
+        batch = sequences.batches[at]
+        assert np.shares_memory(one, batch.column("sequence").flatten().to_numpy())
+        assert mask.buffers()[1].address == batch.column("mask").flatten().buffers()[1].address
+    with pytest.raises(IndexError):
+        sequences[len(sequences)]
+
+
 def test_empty_table(spark, tmp_dir):
     docs = spark.createDataFrame([], "doc_id long, text string")
     assert tf.token_files(docs, TOKENIZER, f"file://{tmp_dir}/t").collect() == []

@@ -93,14 +93,20 @@ def test_length_alone_does_not_make_a_text_toxic(spark):
     assert [(r["doc_id"], long[1][r["start"] : r["end"]]) for r in found] == [(2, "the SNARF and light")]
 
 
-def test_sample_bounds_rows_of_repeated_ids_and_fills_up(spark):
-    """A third of all rows has one id; labels of long and absent texts take no place."""
-    rows = [(7, f"copy {i % 5}") for i in range(150)] + [(i, f"text {i}") for i in range(100, 250)] + [(i, "long " * 100) for i in range(300, 450)]
+def test_sample_bounds_rows_and_bytes(spark):
+    """A third of all rows has one id; absent texts take no place; long texts come whole."""
+    rows = [(7, f"copy {i % 5}") for i in range(150)] + [(i, f"text {i}") for i in range(100, 250)] + [(i, "long " * 100) for i in range(300, 450)] + [(500, "x" * 90_000)]
     docs = spark.createDataFrame(rows, "doc_id long, text string")
     labels = docs.select("doc_id", F.lit(1).alias("toxic")).union(spark.range(1000, 1400).select("id", F.lit(0)))
-    every = [(r["doc_id"], bytes(r["body"]).decode()) for r in training_sample(docs, labels, "toxic", F.lit(True), 1000, 100).collect()]
-    assert sorted(i for i, _ in every) == [7, *range(100, 250)] and set(every) <= set(rows)
-    few = [r["doc_id"] for r in training_sample(docs, labels, "toxic", F.lit(True), 120, 100).collect()]
-    assert len(few) == len(set(few)) == 120
-    again = {(r["doc_id"], bytes(r["body"]).decode()) for r in training_sample(docs.repartition(7), labels, "toxic", F.lit(True), 1000, 100).collect()}
-    assert again == set(every)
+
+    def sample(most_rows, most_bytes, table=docs):
+        return [(r["doc_id"], bytes(r["body"]).decode()) for r in training_sample(table, labels, "toxic", F.lit(True), most_rows, most_bytes).collect()]
+
+    every = sample(1000, 10**6)
+    assert sorted(i for i, _ in every) == [7, *range(100, 250), *range(300, 450), 500] and set(every) <= set(rows)
+    few = sample(120, 10**6)
+    assert len(few) == len({i for i, _ in few}) == 120
+    # the first ids in hash order, as many as fit; a text above the bound by itself is passed over
+    some = sample(1000, 20_000)
+    assert 15_000 < sum(len(t) for _, t in some) <= 20_000 and 500 not in {i for i, _ in some} and {len(t) for _, t in some} > {500}
+    assert set(some) < set(every) and set(sample(1000, 10**6, docs.repartition(7))) == set(every)
