@@ -3,9 +3,9 @@
 All statistics are aggregates over value counts, computed on the cluster:
 
 * counts: each side is scanned once for all report columns; its rows are
-  exploded into ``(column, value)`` pairs, tagged, unioned and grouped in
-  one shuffle (partial aggregation first, so a value holding a large share
-  of rows is summed map-side);
+  exploded into ``(column, value)`` pairs and counted (partial aggregation
+  first, so a value holding a large share of rows is summed map-side); counts
+  of batches add up, so a reference is counted once and kept (``value_counts``);
 * per-column side totals are a table of one row per column (bounded by the
   number of columns, broadcast);
 * the empirical CDFs come from running totals over range-partitioned value
@@ -50,37 +50,85 @@ LARGE = {"numeric": "wasserstein", "categorical": "jensenshannon"}
 SMALL = {"numeric": "ks", "categorical": "chisquare"}
 
 
-def long_counts(ref: DataFrame, cur: DataFrame, numeric: Sequence[str], categorical: Sequence[str]) -> DataFrame:
-    """``column, num, cat, r, c``: rows per non-null value and side, all columns at once.
+PROFILE = "column string, num double, cat string, n long"
+
+
+def value_counts(df: DataFrame, numeric: Sequence[str], categorical: Sequence[str], by: Sequence[str] = ()) -> DataFrame:
+    """``column, num, cat, n``: rows of each non-null value, all columns at once (and for each ``by``).
 
     Numeric columns carry their value in ``num`` (double), categorical ones
-    in ``cat`` (text; distinct values stay distinct). Written to the shared
-    checkpoint folder and read back.
+    in ``cat`` (text; distinct values stay distinct). Counts of parts of a
+    table add up to those of the whole (``merged_counts``).
     """
 
     def finite(c: str) -> Column:
         v = F.col(c).cast("double")
         return F.when(F.abs(v) < float("inf"), v)  # NaN sorts above infinity
 
-    def side(df: DataFrame, is_ref: bool) -> DataFrame:
-        cells = [F.struct(F.lit(c).alias("column"), finite(c).alias("num"), F.lit(None).cast("string").alias("cat")) for c in numeric]
-        cells += [F.struct(F.lit(c).alias("column"), F.lit(None).cast("double").alias("num"), F.col(c).cast("string").alias("cat")) for c in categorical]
-        return df.select(F.explode(F.array(*cells)).alias("_e")).select(
-            "_e.column", "_e.num", "_e.cat", F.lit(int(is_ref)).alias("_r"), F.lit(int(not is_ref)).alias("_c")
-        )
+    cells = [F.struct(F.lit(c).alias("column"), finite(c).alias("num"), F.lit(None).cast("string").alias("cat")) for c in numeric]
+    cells += [F.struct(F.lit(c).alias("column"), F.lit(None).cast("double").alias("num"), F.col(c).cast("string").alias("cat")) for c in categorical]
+    long = df.select(*by, F.explode(F.array(*cells)).alias("_e")).select(*by, "_e.column", "_e.num", "_e.cat")
+    there = long.where(F.col("num").isNotNull() | F.col("cat").isNotNull())
+    return there.groupBy(*by, "column", "num", "cat").agg(F.count(F.lit(1)).alias("n"))
+
+
+def merged_counts(first: DataFrame, *more: DataFrame) -> DataFrame:
+    """``column, num, cat, n`` of several ``value_counts`` together."""
+    every = first.select("column", "num", "cat", "n")
+    for m in more:
+        every = every.unionByName(m.select("column", "num", "cat", "n"))
+    return every.groupBy("column", "num", "cat").agg(F.sum("n").alias("n"))
+
 
-    tagged = side(ref, True).unionByName(side(cur, False))
-    counts = (
-        tagged.where(F.col("num").isNotNull() | F.col("cat").isNotNull())
-        .groupBy("column", "num", "cat")
-        .agg(F.sum("_r").cast("bigint").alias("r"), F.sum("_c").cast("bigint").alias("c"))
+def paired_counts(ref: DataFrame, cur: DataFrame) -> DataFrame:
+    """``column, num, cat, r, c`` from the ``value_counts`` of both sides.
+
+    Written to the shared checkpoint folder and read back: several
+    statistics read the counts, so each side is counted once and lineage is cut.
+    """
+    zero = F.lit(0).cast("bigint")
+    tagged = ref.select("column", "num", "cat", F.col("n").alias("_r"), zero.alias("_c")).unionByName(
+        cur.select("column", "num", "cat", zero.alias("_r"), F.col("n").alias("_c"))
     )
-    # several statistics read the counts; writing them once (shared
-    # checkpoint folder) keeps each side to a single scan and cuts lineage
-    spark = ref.sparkSession
-    path = scratch_path(spark, "drift-counts")
+    counts = tagged.groupBy("column", "num", "cat").agg(F.sum("_r").cast("bigint").alias("r"), F.sum("_c").cast("bigint").alias("c"))
+    path = scratch_path(ref.sparkSession, "drift-counts")
     counts.write.mode("overwrite").parquet(path)
-    return spark.read.parquet(path)
+    return ref.sparkSession.read.parquet(path)
+
+
+def long_counts(ref: DataFrame, cur: DataFrame, numeric: Sequence[str], categorical: Sequence[str]) -> DataFrame:
+    """``column, num, cat, r, c``: rows per non-null value and side, all columns at once."""
+    return paired_counts(value_counts(ref, numeric, categorical), value_counts(cur, numeric, categorical))
+
+
+#: Accuracy of the quantile sketches (log2 of their size): rank errors of about a third of a percent.
+SKETCH_K = 800
+
+
+def numeric_profile(df: DataFrame, numeric: Sequence[str], by: Sequence[str] = ()) -> DataFrame:
+    """``column, n, n_null, low, high, sketch`` of numeric columns (and for each ``by``):
+    a summary of bounded size, whose quantile sketches merge (``merged_profile``)."""
+    cells = [F.struct(F.lit(c).alias("column"), F.col(c).cast("double").alias("x")) for c in numeric]
+    long = df.select(*by, F.explode(F.array(*cells)).alias("_e")).select(*by, "_e.column", "_e.x")
+    finite = F.when(F.abs("x") < float("inf"), F.col("x"))
+    return long.groupBy(*by, "column").agg(
+        F.count(finite).alias("n"), F.count_if(finite.isNull()).alias("n_null"), F.min(finite).alias("low"), F.max(finite).alias("high"),
+        F.kll_sketch_agg_double(finite, F.lit(SKETCH_K)).alias("sketch"),
+    )
+
+
+def merged_profile(profile: DataFrame) -> DataFrame:
+    """``numeric_profile`` of the whole from those of its parts."""
+    return profile.groupBy("column").agg(
+        F.sum("n").alias("n"), F.sum("n_null").alias("n_null"), F.min("low").alias("low"), F.max("high").alias("high"),
+        F.kll_merge_agg_double("sketch").alias("sketch"),
+    )
+
+
+def profile_quantiles(profile: DataFrame, shares: Sequence[float] = (0.25, 0.5, 0.75)) -> DataFrame:
+    """``column, n, n_null, low, high, quantiles``: approximate values at ``shares``, null without values."""
+    at = F.kll_sketch_get_quantile_double("sketch", F.array(*[F.lit(float(s)) for s in shares]))
+    return profile.select("column", "n", "n_null", "low", "high", F.when(F.col("n") > 0, at).alias("quantiles"))
 
 
 def _columns(spark, cols: Sequence[str]) -> DataFrame:
@@ -306,8 +354,18 @@ def drift_report(
     ``size="large"`` uses the distances, ``"small"`` the p-value tests. Each
     side is scanned once for all columns (``long_counts``).
     """
+    return report_from_counts(long_counts(ref, cur, numeric, categorical), numeric, categorical, size, thresholds)
+
+
+def report_from_counts(
+    counts: DataFrame,
+    numeric: Sequence[str],
+    categorical: Sequence[str],
+    size: str = "large",
+    thresholds: dict[str, float] | None = None,
+) -> DataFrame:
+    """``drift_report`` from ``paired_counts``: no row of either side is read again."""
     methods = LARGE if size == "large" else SMALL
-    counts = long_counts(ref, cur, numeric, categorical)
     return _report(counts, list(numeric), list(categorical), methods["numeric"], methods["categorical"], thresholds or {})
 
 

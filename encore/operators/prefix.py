@@ -51,6 +51,20 @@ def ranged(
     return spark.read.parquet(path)
 
 
+def numbered(df: DataFrame, order: Sequence[str], out: str, n_parts: int | None = None) -> DataFrame:
+    """``df`` with the 0-based place of each row in the order of the columns ``order``.
+
+    The rows are written range-partitioned and sorted (``ranged``), so rows
+    equal in ``order`` keep the places they were given.
+    """
+    pos = ranged(df, order[0], n_parts, f"numbered-{out}", order)
+    counts = pos.groupBy("_pid").agg(F.count(F.lit(1)).alias("_n"))
+    before = Window.orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = counts.select("_pid", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_off"))
+    # one row per range partition: bounded by n, safe to broadcast
+    return pos.join(F.broadcast(offsets), "_pid").select(*[F.col(c) for c in df.columns], (F.col("_off") + F.col("_pos")).alias(out))
+
+
 def contiguous_index(df: DataFrame, key: str, out: str, n_parts: int | None = None) -> DataFrame:
     """``key, out`` where ``out`` = 0-based rank of ``key`` among its distinct values.
 

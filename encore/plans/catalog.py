@@ -13,8 +13,9 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from encore.operators import als, drift, events, history, indexing, ranking, runs, sampling, topk
-from encore.plans import evaluate
+from encore import schemas
+from encore.operators import als, drift, events, factorize, history, indexing, ranking, runs, sampling, topk
+from encore.plans import evaluate, train
 from encore.plans.prepare import SPLIT_KEYS, prepare_tables, write_reference
 from encore.session import scratch_path
 from encore.sources import files, sinks, tables
@@ -33,6 +34,10 @@ EMBEDDING_USERS_EACH = 10
 SAMPLE_FRACTION = 0.1
 WINDOW_DAYS = 30
 REFERENCE_DAY = "1997-01-01"
+# regularisation, alpha and rounds of the fits of rank two, which SQL can follow
+SMALL_FIT = (0.01, 40.0, 3)
+# files the event table is dealt into for streams of several micro-batches
+STREAM_FILES = 3
 
 
 def r6(name: str) -> Column:
@@ -63,7 +68,7 @@ def _embedding_topk(spark: SparkSession, sf: str) -> DataFrame:
     emb = tables.table(spark, sf, "embeddings")
     users = emb.where(F.col("vec_id") % EMBEDDING_USERS_EACH == 0)
     items = emb.where(F.col("vec_id") % EMBEDDING_USERS_EACH != 0)
-    return topk.blocked_topk(users, items, TOPK_K, id_col="vec_id", vec_col="embedding")
+    return topk.pruned_topk(users, items, TOPK_K, id_col="vec_id", vec_col="embedding")
 
 
 # ---------------------------------------------------------------- scans, prep
@@ -81,7 +86,7 @@ def q_index_items(spark, sf):
 
 def q_index_interactions(spark, sf):
     # the join of the two tables is written once and read by both steps
-    return prepare_tables(spark, sf).indexed
+    return prepare_tables(spark, sf, once=True).indexed
 
 
 def _split(i: int) -> Query:
@@ -104,16 +109,16 @@ def q_random_split_train(spark, sf):
 
 
 def q_recent_window(spark, sf):
-    # the newest time needs no join unless a line has no order: taken before it
-    newest = tables.table(spark, sf, "lineitem").where("l_shipdate is not null").join(
-        tables.table(spark, sf, "orders").select(F.col("o_orderkey").alias("l_orderkey")), "l_orderkey", "left_semi"
-    )
-    return sampling.recent_window(_interactions(spark, sf), WINDOW_DAYS, newest.select(F.max("l_shipdate")).scalar())
+    # the join of the two tables is evaluated once: the newest time and the rows come from the written table
+    path = scratch_path(spark, "recent")
+    sinks.write_overwrite(_interactions(spark, sf), path)
+    written = spark.read.parquet(path)
+    return sampling.recent_window(written, WINDOW_DAYS, written.select(F.max("ts")).scalar())
 
 
 def q_reference_window(spark, sf):
     # indexed interactions carry no time column: the stable-sample branch
-    return sampling.reference_window(prepare_tables(spark, sf).indexed, WINDOW_DAYS, SAMPLE_FRACTION)
+    return sampling.reference_window(prepare_tables(spark, sf, once=True).indexed, WINDOW_DAYS, SAMPLE_FRACTION)
 
 
 def q_reference_recent(spark, sf):
@@ -169,8 +174,20 @@ def q_latest_batch(spark, sf):
 
 
 def q_latest_model_version(spark, sf):
-    ev = tables.events(spark, sf)
-    return runs.latest_versions(ev, ["user_id", "event_type"], "value", ["ts", "event_id"])
+    """Two trainings (the popularity runs on validation, then on test), the best of each published; which is the newest."""
+    p = prepare_tables(spark, sf)
+    root = scratch_path(spark, "published")
+    for name, truth in (("first", p.validation), ("second", p.test)):
+        table = evaluate.popularity_runs(p.train, truth)
+        table = table.withColumns({"training": F.lit(name), "path": F.concat(F.lit(f"models/training={name}/run="), F.col("run_id"))})
+        missing = {f.name: F.lit(None).cast(f.dataType) for f in schemas.RUNS.fields if f.name not in table.columns}
+        sinks.append_runs(table.withColumns(missing).select(*[F.col(f.name).cast(f.dataType) for f in schemas.RUNS.fields]), f"{root}/runs")
+        train.publish(spark, root, runs.best_run(train.run_log(spark, root).where(F.col("training") == name)))
+    newest = train.latest_published(spark, root).select(F.col("version").alias("newest"))
+    log = train.run_log(spark, root).where(F.col("version").isNotNull())
+    # one row: the newest version
+    marked = log.join(F.broadcast(newest), F.col("version") == F.col("newest"), "left")
+    return marked.select("version", "training", "run_id", "k", r6("map"), "path", F.col("newest").isNotNull().alias("is_newest"))
 
 
 def q_daily_plays(spark, sf):
@@ -198,11 +215,11 @@ def q_user_item_plays(spark, sf):
 
 
 def q_ground_truth_lists(spark, sf):
-    return history.ground_truth_lists(prepare_tables(spark, sf).validation)
+    return history.ground_truth_lists(prepare_tables(spark, sf, once=True).validation)
 
 
 def q_user_history(spark, sf):
-    return history.user_history(prepare_tables(spark, sf).train)
+    return history.user_history(prepare_tables(spark, sf, once=True).train)
 
 
 def q_user_history_all(spark, sf):
@@ -267,14 +284,36 @@ def q_recommendation_ids(spark, sf):
 # ---------------------------------------------------------------- ALS (rows)
 def q_als_user_factors(spark, sf):
     p = prepare_tables(spark, sf)
-    model = als.train_als(p.train, 32, 0.01, 40.0)
-    return als.user_factors(model)
+    return factorize.factorize(p.train, 32, 0.01, 40.0).users
 
 
 def q_als_topk(spark, sf):
     p = prepare_tables(spark, sf)
-    model = als.train_als(p.train, 32, 0.01, 40.0)
-    return als.recommend_users(model, None, TOPK_K)
+    return factorize.recommend(factorize.factorize(p.train, 32, 0.01, 40.0), TOPK_K)
+
+
+def _two(df: DataFrame, kind: str) -> DataFrame:
+    """Vectors of rank two as columns."""
+    return df.select(F.lit(kind).alias("kind"), "id", *[F.round(F.col("features")[i], 6).alias(f"f{i}") for i in range(2)])
+
+
+def q_als_rank_two(spark, sf):
+    p = prepare_tables(spark, sf)
+    model = factorize.factorize(p.train, 2, *SMALL_FIT)
+    return _two(model.users, "user").union(_two(model.items, "item"))
+
+
+def q_als_fold_in(spark, sf):
+    # validation users as new ones, against the items of the fit on train
+    p = prepare_tables(spark, sf)
+    return _two(factorize.fold_in(p.validation, factorize.factorize(p.train, 2, *SMALL_FIT)), "new")
+
+
+def q_als_warm_refit(spark, sf):
+    # one more round over train and validation, from the vectors of the fit on train
+    p = prepare_tables(spark, sf)
+    model = factorize.refit(factorize.factorize(p.train, 2, *SMALL_FIT), p.train, p.validation, 1)
+    return _two(model.users, "user").union(_two(model.items, "item"))
 
 
 def q_grid_runs(spark, sf):
@@ -338,6 +377,21 @@ def q_drift_dataset(spark, sf):
     return d.select(F.col("n_columns").cast("bigint"), "n_drifted", r6("share"), "threshold", "drifted")
 
 
+def q_drift_report_merged(spark, sf):
+    # both sides counted day by day, as batches would be, then merged: no row is read twice
+    ref, cur = _drift_sides(spark, sf)
+    columns = (["plays"], ["user_id", "item_id"])
+    daily = [drift.value_counts(side.withColumn("dt", F.to_date("ts")), *columns, by=["dt"]) for side in (ref, cur)]
+    rep = drift.report_from_counts(drift.paired_counts(*[drift.merged_counts(d) for d in daily]), *columns)
+    return rep.select("column", "method", r6("score"), "threshold", "drifted")
+
+
+def q_column_profile(spark, sf):
+    # profiles of each day, merged; the sketches' quantiles are approximate, the rest is exact
+    daily = drift.numeric_profile(_plays(spark, sf).withColumn("dt", F.to_date("ts")), ["plays", "user_id", "item_id"], by=["dt"])
+    return drift.merged_profile(daily).select("column", F.col("n").cast("bigint"), F.col("n_null").cast("bigint"), r6("low"), r6("high"))
+
+
 # ---------------------------------------------------------------- streaming
 def _run_stream(spark: SparkSession, sf: str) -> tuple[str, str]:
     root = scratch_path(spark, "stream")
@@ -364,16 +418,36 @@ def q_stream_daily(spark, sf):
     )
 
 
+def _event_files(spark: SparkSession, df: DataFrame, copies: int = 1) -> DataFrame:
+    """``df`` dealt into files by row hash and read as a stream, one file a
+    micro-batch, ``copies`` times over. Each file has events of all days, so
+    later files bring late ones."""
+    root = scratch_path(spark, "event-files")
+    for i in range(copies):
+        df.repartition(STREAM_FILES, F.xxhash64(*[c for c in df.columns])).write.parquet(f"{root}/copy={i}")
+    reader = spark.readStream.schema(df.schema).option("maxFilesPerTrigger", 1).option("recursiveFileLookup", "true")
+    return reader.parquet(root)
+
+
 def q_stream_daily_plays(spark, sf):
     root = scratch_path(spark, "stream-daily-plays")
-    stream = tables.event_stream(spark, sf).where(F.col("event_type") == tables.PLAY_EVENT_TYPE)
-    plays = stream.select("user_id", tables.event_item().alias("item_id"), F.col("value").alias("plays"), "ts")
-    ingest.run_to_end(ingest.write_daily_plays(plays, f"{root}/daily", f"{root}/_checkpoint"))
+    stream = _event_files(spark, _plays(spark, sf))
+    ingest.run_to_end(ingest.write_daily_plays(stream, f"{root}/daily", f"{root}/_checkpoint", compact_every=2))
     return spark.read.parquet(f"{root}/daily").select(
         F.col("day").cast("string").alias("day"), F.col("n_events").cast("bigint"), r6("plays")
     )
 
 
+def q_stream_resent(spark, sf):
+    # every message arrives a second time, in later files; compacted on the way
+    root = scratch_path(spark, "stream-resent")
+    raw = _event_files(spark, tables.raw_event_values(spark, sf), copies=2)
+    ingest.run_to_end(ingest.ingest_plays(
+        raw, f"{root}/plays", f"{root}/quarantine", f"{root}/_checkpoint", tables.PLAY_EVENT_TYPE, keep=("event_id",), dedupe_on="event_id", compact_every=3
+    ))
+    return ingest.read_plays(spark, f"{root}/plays").select("event_id", "user_id", "item_id", "plays", "ts", "event_type")
+
+
 QUERIES: dict[str, Query] = {
     "scan_interactions": q_scan_interactions,
     "index_users": q_index_users,
@@ -422,11 +496,17 @@ QUERIES: dict[str, Query] = {
     "drift_report": q_drift_report,
     "drift_report_small": q_drift_report_small,
     "drift_dataset": q_drift_dataset,
+    "drift_report_merged": q_drift_report_merged,
+    "column_profile": q_column_profile,
     "stream_plays": q_stream_plays,
     "stream_daily": q_stream_daily,
     "stream_daily_plays": q_stream_daily_plays,
+    "stream_resent": q_stream_resent,
     "als_user_factors": q_als_user_factors,
     "als_topk": q_als_topk,
+    "als_rank_two": q_als_rank_two,
+    "als_fold_in": q_als_fold_in,
+    "als_warm_refit": q_als_warm_refit,
     "grid_runs": q_grid_runs,
     "als_refresh": q_als_refresh,
 }

@@ -12,7 +12,6 @@ from __future__ import annotations
 from dataclasses import dataclass
 
 from pyspark.ml.recommendation import ALSModel
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -20,6 +19,7 @@ from encore.operators import als, drift, indexing, runs
 from encore.plans import train
 from encore.session import scratch_path
 from encore.sources import files
+from encore.sources.folders import BatchTable
 
 NUMERIC = ("plays",)
 CATEGORICAL = ("user_id", "item_id")
@@ -42,6 +42,7 @@ def check_and_refresh(
     size: str = "large",
     share: float = drift.DATASET_SHARE,
     mode: str = "union",
+    counted: bool = False,
 ) -> Decision:
     """Drift of ``new`` against ``reference`` (canonical columns); refit when drifted.
 
@@ -50,10 +51,14 @@ def check_and_refresh(
     part, so call ``indexing.extend_index`` first to learn new users and items
     (``monitor_stream`` does). Hyper-parameters come from the best run of
     ``run_table``. The report is written once and read back; nothing stays cached.
+    ``counted``: ``reference`` holds the ``drift.value_counts`` of the
+    reference instead of its rows, which are then not read.
     """
     if reference is None or new is None or files.is_empty(reference) or files.is_empty(new):
         return Decision(None, None, None)
-    report = _written(drift.drift_report(reference, new, NUMERIC, CATEGORICAL, size=size), "drift-report")
+    known = reference if counted else drift.value_counts(reference, NUMERIC, CATEGORICAL)
+    counts = drift.paired_counts(known, drift.value_counts(new, NUMERIC, CATEGORICAL))
+    report = _written(drift.report_from_counts(counts, NUMERIC, CATEGORICAL, size=size), "drift-report")
     dataset = drift.dataset_drift(report, share).first().asDict()
     if not dataset["drifted"]:
         return Decision(report, dataset, None)
@@ -80,18 +85,29 @@ class Monitor:
     ``history`` gains the batch's indexed interactions, in a folder named
     after the batch, so a replayed batch replaces its own rows. A refit
     therefore sees the first history, every batch so far, and new users.
+    The reference's value counts are written once, with the first batch, and its
+    rows are not read after that. ``compact_every``: batch folders are
+    compacted after that many batches.
     """
 
-    def __init__(self, spark: SparkSession, root: str, reference: DataFrame, history: DataFrame, users: DataFrame, items: DataFrame) -> None:
-        self.spark, self.root, self.reference = spark, root.rstrip("/"), reference
+    def __init__(
+        self, spark: SparkSession, root: str, reference: DataFrame, history: DataFrame, users: DataFrame, items: DataFrame, compact_every: int | None = None
+    ) -> None:
+        self.spark, self.root, self.reference, self.compact_every = spark, root.rstrip("/"), reference, compact_every
         self.first, self.users, self.items = history.select("user_idx", "item_idx", "plays"), users, items
+        self.tables = {kind: BatchTable(spark, f"{self.root}/{kind}", "batch", None) for kind in ("users", "items", "history")}
+
+    def reference_counts(self) -> DataFrame:
+        """The kept ``drift.value_counts`` of the reference, counted at the first call."""
+        path = f"{self.root}/reference"
+        if not files.path_exists(self.spark, f"{path}/_SUCCESS"):
+            drift.value_counts(self.reference, NUMERIC, CATEGORICAL).write.mode("overwrite").parquet(path)
+        return self.spark.read.schema(drift.PROFILE).parquet(path)
 
     def _known(self, kind: str, first: DataFrame, upto: int) -> DataFrame:
         """The dictionary with the ids that batches up to ``upto`` added."""
-        if not self._has(kind):
-            return first
-        grown = self.spark.read.parquet(f"{self.root}/{kind}").where(F.col("batch") <= upto)
-        return first.unionByName(grown.select(*first.columns))
+        grown = self.tables[kind].read(upto)
+        return first if grown is None else first.unionByName(grown.select(*first.columns))
 
     def _extend(self, kind: str, first: DataFrame, new: DataFrame, key: str, index: str, batch_id: int) -> DataFrame:
         # a replayed batch does not count what it added before
@@ -101,27 +117,22 @@ class Monitor:
 
     def on_batch(self, new: DataFrame, batch_id: int, runs_root: str) -> Decision:
         """Gate and refit for one batch; a refitted model is saved and published."""
-        done = self.spark.read.parquet(f"{self.root}/history") if self._has("history") else None
         users = self._extend("users", self.users, new, "user_id", "user_idx", batch_id)
         items = self._extend("items", self.items, new, "item_id", "item_idx", batch_id)
-        history = self.first
-        if done is not None:
-            history = history.unionByName(done.where(F.col("batch") < batch_id).select(*history.columns))
+        history = self._known("history", self.first, batch_id - 1)
         log = train.run_log(self.spark, runs_root)
-        decision = check_and_refresh(self.reference, new, history, log, users, items)
+        decision = check_and_refresh(self.reference_counts(), new, history, log, users, items, counted=True)
         indexed(new, users, items).write.mode("overwrite").parquet(f"{self.root}/history/batch={batch_id}")
         if decision.model is not None:
             path = f"{self.root}/models/batch={batch_id}"
             decision.model.write().overwrite().save(path)
             train.publish(self.spark, runs_root, runs.best_run(log), path, f"refresh-{batch_id}")
+        if self.compact_every and batch_id and batch_id % self.compact_every == 0:
+            for table in self.tables.values():
+                # this batch may still be replayed: only those before it
+                table.compact(batch_id - 1)
         return decision
 
-    def _has(self, kind: str) -> bool:
-        try:
-            return bool(self.spark.read.parquet(f"{self.root}/{kind}").columns)
-        except AnalysisException:
-            return False
-
 
 def monitor_stream(
     raw: DataFrame,

@@ -8,6 +8,8 @@ for a reference run on small data; the Spark plans avoid all three).
 
 from __future__ import annotations
 
+import re
+
 INT = """(SELECT o.o_custkey AS user_id, l.l_partkey AS item_id,
                  CAST(l.l_quantity AS DOUBLE) AS plays, l.l_shipdate AS ts
           FROM lineitem l JOIN orders o ON l.l_orderkey = o.o_orderkey)"""
@@ -66,6 +68,11 @@ def pop_metrics_cte(k: int, name: str = "PER") -> str:
              FROM AGG{k} a JOIN SIZES{k} s USING (user_idx))"""
 
 
+def on_test(cte: str) -> str:
+    """The common table expressions of ``pop_metrics_cte`` with the test part as truth."""
+    return re.sub(r"\b(POP|PRED|TRUTH|SIZES|FLAG|CUM|AGG|PER)(\d+)", r"T\1\2", cte).replace("VALID", "TESTING")
+
+
 METRICS = ("map", "map_at_k", "precision_at_k", "ndcg_at_k", "recall_at_k")
 R6 = ", ".join(f"round({m}, 6) AS {m}" for m in METRICS)
 AVG6 = ", ".join(f"round(avg({m}), 6) AS {m}" for m in METRICS)
@@ -216,6 +223,51 @@ TRUTH_LISTS = chunked(
     False,
 )
 
+# ---------------------------------------------------------------- factorisation of rank two
+def als_start(name: str, ratings: str, known: str | None = None) -> str:
+    """Unit vectors of two numbers drawn by id, or those of ``known``."""
+
+    def draw(j: int) -> str:
+        return f"((('0x' || md5('42|' || id || '|{j}')[1:13])::BIGINT::DOUBLE + 0.5) / 4503599627370496.0)"
+
+    drawn = f"SELECT id, {draw(0)} AS a, {draw(1)} AS b FROM (SELECT DISTINCT u AS id FROM {ratings})"
+    join = f"LEFT JOIN {known} k USING (id)" if known else ""
+    x, y = ("coalesce(k.x, a / sqrt(a * a + b * b))", "coalesce(k.y, b / sqrt(a * a + b * b))") if known else ("a / sqrt(a * a + b * b)", "b / sqrt(a * a + b * b)")
+    return f"{name} AS MATERIALIZED (SELECT id, {x} AS x, {y} AS y FROM ({drawn}) {join})"
+
+
+def als_half(name: str, ratings: str, key: str, other: str, vectors: str) -> str:
+    """One half step: the two by two systems, solved by Cramer's rule."""
+    return f"""{name} AS MATERIALIZED (
+      SELECT id, (px * yy - py * xy) / (xx * yy - xy * xy) AS x, (py * xx - px * xy) / (xx * yy - xy * xy) AS y FROM (
+        SELECT r.{key} AS id, coalesce(sum(40.0 * abs(r) * x * x), 0) + any_value(gxx) + 0.01 * count(*) FILTER (r > 0 AND x IS NOT NULL) AS xx,
+               coalesce(sum(40.0 * abs(r) * x * y), 0) + any_value(gxy) AS xy,
+               coalesce(sum(40.0 * abs(r) * y * y), 0) + any_value(gyy) + 0.01 * count(*) FILTER (r > 0 AND x IS NOT NULL) AS yy,
+               coalesce(sum((1 + 40.0 * r) * x) FILTER (r > 0), 0) AS px, coalesce(sum((1 + 40.0 * r) * y) FILTER (r > 0), 0) AS py
+        FROM {ratings} r LEFT JOIN {vectors} v ON v.id = r.{other}, (SELECT sum(x * x) AS gxx, sum(x * y) AS gxy, sum(y * y) AS gyy FROM {vectors})
+        GROUP BY r.{key}))"""
+
+
+def als_rounds(prefix: str, ratings: str, rounds: int, known: str | None = None) -> str:
+    """Common table expressions of a fit: ``<prefix>U<n>`` and ``<prefix>I<n>`` of each round."""
+    steps = [als_start(f"{prefix}U0", ratings, known)]
+    for n in range(1, rounds + 1):
+        steps.append(als_half(f"{prefix}I{n}", ratings, "i", "u", f"{prefix}U{n - 1}"))
+        steps.append(als_half(f"{prefix}U{n}", ratings, "u", "i", f"{prefix}I{n}"))
+    return ", ".join(steps)
+
+
+def als_pairs(name: str, rows: str) -> str:
+    return f"{name} AS MATERIALIZED (SELECT user_idx::BIGINT AS u, item_idx::BIGINT AS i, sum(plays) AS r FROM {rows} GROUP BY 1, 2)"
+
+
+ALS_FIT = f"{als_pairs('R', 'TRAIN')}, {als_rounds('A', 'R', 3)}"
+
+
+def als_out(kind: str, name: str) -> str:
+    return f"SELECT '{kind}' AS kind, id, round(x, 6) AS f0, round(y, 6) AS f1 FROM {name}"
+
+
 SQL: dict[str, str] = {
     "scan_interactions": f"SELECT * FROM {INT}",
     "index_users": f"SELECT * FROM {USERS}",
@@ -251,11 +303,13 @@ SQL: dict[str, str] = {
         FROM {PLAYS} GROUP BY 1""",
     "latest_batch": f"""SELECT user_id, item_id, plays, ts FROM {PLAYS}
         WHERE CAST(ts AS DATE) = (SELECT max(CAST(ts AS DATE)) FROM {PLAYS})""",
-    "latest_model_version": """
-        SELECT user_id, event_type, value AS latest_value, ts AS latest_ts FROM (
-          SELECT *, row_number() OVER (PARTITION BY user_id, event_type
-                                       ORDER BY ts DESC NULLS LAST, event_id DESC NULLS LAST) AS rn
-          FROM events) WHERE rn = 1""",
+    "latest_model_version": f"""WITH {PREP}, TESTING AS (SELECT user_idx, item_idx, plays FROM IDX WHERE b >= 80),
+          {", ".join(pop_metrics_cte(k, f"PER{k}").strip() + ", " + on_test(pop_metrics_cte(k, f"PER{k}").strip()) for k in (5, 10, 20))},
+          RUNS AS ({" UNION ALL ".join(f"SELECT {v} AS version, '{t}' AS training, {i} AS run_id, {k} AS k, avg(map) AS map FROM {x}PER{k}"
+                                       for v, t, x in ((1, "first", ""), (2, "second", "T")) for i, k in enumerate((5, 10, 20)))}),
+          BEST AS (SELECT * FROM RUNS QUALIFY row_number() OVER (PARTITION BY training ORDER BY map DESC, run_id) = 1)
+        SELECT CAST(version AS INTEGER) AS version, training, CAST(run_id AS INTEGER) AS run_id, CAST(k AS INTEGER) AS k, round(map, 6) AS map,
+               'models/training=' || training || '/run=' || run_id AS path, version = 2 AS is_newest FROM BEST""",
     "daily_plays": f"""SELECT strftime(date_trunc('day', ts), '%Y-%m-%d') AS day, count(*) AS n_events,
         round(sum(plays), 6) AS plays FROM {PLAYS} GROUP BY 1""",
     "distinct_users": f"SELECT DISTINCT user_id FROM {INT} WHERE user_id IS NOT NULL",
@@ -305,4 +359,14 @@ SQL: dict[str, str] = {
         round(sum(plays), 6) AS plays FROM {PLAYS} GROUP BY 1""",
     "stream_daily": f"""SELECT strftime(CAST(ts AS DATE), '%Y-%m-%d') AS dt, count(*) AS n_rows
         FROM {KEPT} GROUP BY 1""",
+    "drift_report_merged": report_out(REPORT, below=False),
+    "column_profile": f"""SELECT "column", count(v) AS n, count(*) FILTER (v IS NULL) AS n_null, round(min(v), 6) AS low, round(max(v), 6) AS high FROM (
+          SELECT unnest([{{'column': 'plays', 'v': plays}}, {{'column': 'user_id', 'v': user_id::DOUBLE}}, {{'column': 'item_id', 'v': item_id::DOUBLE}}], recursive := true)
+          FROM {PLAYS}) GROUP BY 1""",
+    # nothing tells a message without id from another one: both stay
+    "stream_resent": f"SELECT * FROM {KEPT} UNION ALL SELECT * FROM {KEPT} WHERE event_id IS NULL",
+    "als_rank_two": f"WITH {PREP}, {ALS_FIT} {als_out('user', 'AU3')} UNION ALL {als_out('item', 'AI3')}",
+    "als_fold_in": f"""WITH {PREP}, {ALS_FIT}, {als_pairs('N', 'VALID')}, {als_half('F', 'N', 'u', 'i', 'AI3')} {als_out('new', 'F')}""",
+    "als_warm_refit": f"""WITH {PREP}, {ALS_FIT}, {als_pairs('W', "(SELECT * FROM TRAIN UNION ALL SELECT * FROM VALID)")}, {als_rounds('B', 'W', 1, 'AU3')}
+          {als_out('user', 'BU1')} UNION ALL {als_out('item', 'BI1')}""",
 }

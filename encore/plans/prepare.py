@@ -68,9 +68,25 @@ def materialize(interactions: DataFrame, out_dir: str, n_parts: int | None = Non
     return load_prepared(spark, out, users, items)
 
 
-def prepare_tables(spark: SparkSession, sf_dir: str, n_parts: int | None = None) -> Prepared:
-    """``materialize`` the interactions of the given tables into scratch space."""
-    return materialize(tables.interactions(spark, sf_dir), scratch_path(spark, "prepared"), n_parts)
+def prepare_once(interactions: DataFrame, out_dir: str, n_parts: int | None = None, split: str = "md5") -> Prepared:
+    """``materialize`` for a single consumer: the raw rows are written and the
+    dictionaries built, but the indexed rows stay lazy, joined when they are read."""
+    spark = interactions.sparkSession
+    path = f"{out_dir.rstrip('/')}/interactions_raw"
+    sinks.write_overwrite(sampling.split_label(interactions, SPLIT_KEYS, SPLIT_WEIGHTS, SPLIT_NAMES, method=split), path, ["split"])
+    raw = spark.read.parquet(path)
+    users, items = indexing.index_pair(raw, n_parts)
+    # the broadcast decision is taken once for all parts
+    u, i = indexing.broadcast_if_small(users), indexing.broadcast_if_small(items)
+    full = indexing.cast_indexed(indexing.index_interactions(raw, u, i, keep=("plays", "split"), broadcast_limit=None), keep=("split",))
+    part = [full.where(F.col("split") == name).drop("split") for name in SPLIT_NAMES]
+    return Prepared(raw.drop("split"), users, items, full.drop("split"), *part)
+
+
+def prepare_tables(spark: SparkSession, sf_dir: str, n_parts: int | None = None, once: bool = False) -> Prepared:
+    """``materialize`` the interactions of the given tables into scratch space
+    (``once``: ``prepare_once``, for a query that reads one part one time)."""
+    return (prepare_once if once else materialize)(tables.interactions(spark, sf_dir), scratch_path(spark, "prepared"), n_parts)
 
 
 def write_datasets(interactions: DataFrame, tracks: DataFrame, metadata: DataFrame, out_dir: str, split: str = "md5") -> Prepared:

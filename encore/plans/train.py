@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from encore import schemas
 from encore.operators import als, runs
 from encore.plans.prepare import Prepared
-from encore.sources import sinks
+from encore.sources import files, folders, sinks
 
 
 def select_model(
@@ -49,14 +49,29 @@ def run_log(spark: SparkSession, root: str) -> DataFrame:
     return spark.read.schema(schemas.RUNS).parquet(f"{root.rstrip('/')}/runs")
 
 
-def publish(spark: SparkSession, root: str, run: DataFrame, path: str | None = None, training: str | None = None) -> None:
-    """Append the record that makes ``run`` (one row) the newest version.
+def claim_version(spark: SparkSession, root: str) -> int:
+    """A version number that no other publisher gets: the first free one above
+    those of the log and those claimed, taken by creating ``root/versions/<n>``."""
+    root = root.rstrip("/")
+    logged = run_log(spark, root).agg(F.max("version")).first()[0] if files.path_exists(spark, f"{root}/runs") else None
+    claimed = [int(n) for n in folders.child_names(spark, f"{root}/versions") if n.isdigit()]
+    version = max([logged or 0, *claimed]) + 1
+    while not folders.create_if_absent(spark, f"{root}/versions/{version}"):
+        version += 1
+    return version
+
+
+def publish(spark: SparkSession, root: str, run: DataFrame, path: str | None = None, training: str | None = None) -> int:
+    """Append the record that makes ``run`` (one row) the newest version, and return that.
 
-    The row is fixed before the log is written to. One publisher at a time:
-    the log is a folder of files, without locks.
+    Publishers at the same time get different versions (``claim_version``);
+    one that fails in between leaves a number unused. The row is fixed
+    before the log is written to.
     """
-    row = runs.published(run, run_log(spark, root), path, training).select(*schemas.RUNS.fieldNames()).first()
+    version = claim_version(spark, root)
+    row = runs.published(run, version, path, training).select(*schemas.RUNS.fieldNames()).first()
     sinks.append_runs(spark.createDataFrame([row], schemas.RUNS), f"{root.rstrip('/')}/runs")
+    return version
 
 
 def latest_published(spark: SparkSession, root: str) -> DataFrame:

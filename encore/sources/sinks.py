@@ -2,9 +2,13 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from encore.sources import folders
+
 ISO_MICROS = "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"
 
 
@@ -68,5 +72,15 @@ def to_kafka_records(
 
 
 def append_runs(runs: DataFrame, path: str) -> None:
-    """Append run records (params + metrics) to the runs table."""
-    runs.write.mode("append").parquet(path)
+    """Append run records (params + metrics) to the runs table.
+
+    The files are written aside and then moved in one by one (their names
+    are unique), so appends at the same time do not share a folder of unfinished files.
+    """
+    spark, path = runs.sparkSession, path.rstrip("/")
+    aside = f"{path}/.append-{uuid.uuid4().hex}"
+    runs.write.parquet(aside)
+    for name in folders.child_names(spark, aside):
+        if not name.startswith(("_", ".")):
+            folders.move(spark, f"{aside}/{name}", f"{path}/{name}")
+    folders.delete(spark, aside)

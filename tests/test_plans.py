@@ -71,7 +71,7 @@ def test_best_run_is_published_wherever_it_stands(spark, tmp_dir):
     from encore.operators import runs
     from encore.sources import sinks
 
-    rows = [(i, 4, 0.1, 1.0, 10, m, 0.1, 5, 5, f"m/run={i}", None, "t") for i, m in enumerate((0.9, 0.1, 0.9))]
+    rows = [(i, 4, 0.1, 1.0, 10, m, 0.1, 5, 5, f"m/run={i}", None, "t", 1) for i, m in enumerate((0.9, 0.1, 0.9))]
     table = spark.createDataFrame(rows, schemas.RUNS)
     sinks.append_runs(table, os.path.join(tmp_dir, "runs"))
     train.publish(spark, tmp_dir, runs.best_run(table))
@@ -88,7 +88,7 @@ def test_monitor_learns_new_ids_and_keeps_earlier_batches(spark, tmp_dir):
     items = spark.createDataFrame([(i, i) for i in range(4)], "item_id long, item_idx int")
     history = reference.select(F.col("user_id").cast("int").alias("user_idx"), F.col("item_id").cast("int").alias("item_idx"), "plays")
     runs_root = os.path.join(tmp_dir, "sel")
-    run = spark.createDataFrame([(0, 2, 0.1, 1.0, 10, 0.5, 0.1, 5, 5, "m/run=0", 1, "t")], schemas.RUNS)
+    run = spark.createDataFrame([(0, 2, 0.1, 1.0, 10, 0.5, 0.1, 5, 5, "m/run=0", 1, "t", 1)], schemas.RUNS)
     sinks.append_runs(run, f"{runs_root}/runs")
     state = monitor.Monitor(spark, os.path.join(tmp_dir, "state"), reference, history, users, items)
     batches = [[(100, 0, 50.0), (1, 1, 60.0)], [(1, 200, 70.0)], [(300, 300, 80.0)]]

@@ -118,7 +118,7 @@ def test_monitor_stream_refreshes_on_drift(spark, tmp_dir):
     users = plays.select("user_id").distinct().withColumn("user_idx", F.col("user_id").cast("int"))
     items = plays.select("item_id").distinct().withColumn("item_idx", F.col("item_id").cast("int"))
     history = plays.select(F.col("user_id").cast("int").alias("user_idx"), F.col("item_id").cast("int").alias("item_idx"), "plays")
-    runs_t = spark.createDataFrame([(0, 4, 0.05, 10.0, 10, 0.3, 0.1, 1, 1, "m/run=0", 1, "t")], schemas.RUNS)
+    runs_t = spark.createDataFrame([(0, 4, 0.05, 10.0, 10, 0.3, 0.1, 1, 1, "m/run=0", 1, "t", 1)], schemas.RUNS)
     sinks.append_runs(runs_t, os.path.join(tmp_dir, "sel", "runs"))
     raw = tables.event_messages(tables.event_stream(spark, SF))
     state = os.path.join(tmp_dir, "state")
