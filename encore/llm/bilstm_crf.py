@@ -101,6 +101,29 @@ class Tagger:
             tags[t] = back[t][rows, tags[t + 1]]
         return tags.T
 
+    def viterbi(self, e: np.ndarray, offsets: np.ndarray) -> np.ndarray:
+        """The likeliest tags of stretches of any lengths, whose tag scores stand one
+        after another in ``e`` (positions, tags) from ``offsets`` on."""
+        a, size = self.params["a"], np.diff(offsets)
+        order = np.argsort(-size, kind="stable")
+        start, size = offsets[:-1][order], size[order]
+        # stretches that have a position t are the first ones in order of length
+        live = np.searchsorted(-size, -np.arange(int(size.max(initial=0)) + 1), side="left")
+        best, back = e[start].copy(), []
+        for t in range(1, len(live) - 1):
+            n = live[t]
+            total = best[:n, :, None] + a
+            back.append(total.argmax(axis=1).astype(np.int8))
+            best[:n] = total.max(axis=1) + e[start[:n] + t]
+        state = best.argmax(axis=1)
+        tags = np.empty(len(e), np.int8)
+        for t in range(len(live) - 2, -1, -1):
+            n = live[t]
+            tags[start[:n] + t] = state[:n]
+            if t:
+                state[:n] = back[t - 1][np.arange(n), state[:n]]
+        return tags
+
     def gradients(self, classes: np.ndarray, tags: np.ndarray) -> tuple[float, dict[str, np.ndarray]]:
         """Mean negative log-likelihood a window, and its gradient."""
         p = self.params

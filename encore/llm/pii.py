@@ -1,27 +1,29 @@
 """Personal data: exact rules and a character-level BiLSTM-CRF.
 
 The base spans come from fixed rules (``base_spans``). A tagger
-(``bilstm_crf``), trained in NumPy on windows of a bounded sample whose
-labelled spans those rules give, reads characters in context and adds spans
-the rules do not have: broken, spaced or partly masked data.
-
-A text is cut into windows of ``WINDOW`` characters that overlap by half. All kinds
-have a digit or an ``@`` in every instance, so windows without one, and
-without one in the half window next to them, hold no span and need no decoding;
-nothing else is skipped. Windows are decoded by Viterbi; each character takes its tag from the
-window whose edges are farthest from it, and spans are then read off the
-whole text's tags, so they may run across windows.
+(``bilstm_crf``), trained in NumPy, reads characters in context and adds spans
+the rules do not have: spaced, masked, spelled-out data, or with other separators. Its
+labelled spans are those of the rules, half of them rewritten in their places in such ways
+(``SEEN``), which the rules then no longer match.
+
+A text is cut into windows of ``WINDOW`` characters that overlap by half.
+Whatever is tagged, as the rules have it or rewritten, holds a digit, an ``@``
+or the word dot; a window without one, and without one in the half window next
+to it, holds no part of a span and is not decoded. The tag scores of
+overlapping windows are averaged, and one Viterbi pass runs over each stretch
+of adjoining windows, so spans may run across windows. Stretches above ``RUN``
+windows are passed in parts that share two windows, cut in their middle.
 """
 
 from __future__ import annotations
 
 import re
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from encore.llm.bilstm_crf import Tagger
@@ -31,9 +33,11 @@ from encore.llm.secret_scan import SPAN_TYPE, SPANS_DDL
 KINDS = ("email", "ip", "card", "phone")
 WINDOW = 96
 HALF = WINDOW // 2
-#: Bounds of the fit: texts, bytes of a text among them, and windows.
-ROWS, LONGEST, WINDOWS = 5000, 1 << 13, 1600
+#: Bounds of the fit: texts, their bytes together, and windows.
+ROWS, MOST_BYTES, WINDOWS = 5000, 1 << 24, 2000
 UNITS, EPOCHS = 16, 10
+#: Windows of a stretch that one Viterbi pass covers.
+RUN = 64
 #: Windows decoded at a time.
 AT_ONCE = 2048
 
@@ -128,11 +132,21 @@ def tag_array(length: int, spans: list[tuple[int, int, int]]) -> np.ndarray:
     return tags
 
 
-def window_starts(codes: np.ndarray) -> np.ndarray:
-    """Starts of the windows to decode: every half window (block) with a digit
-    or ``@`` counts, with the blocks beside it; a window covers two blocks."""
+def triggers(codes: np.ndarray) -> np.ndarray:
+    """Whether each character is a digit, an ``@`` or the d of the word dot (in either case)."""
     hot = ((codes >= 48) & (codes <= 57)) | (codes == 64)
-    at = np.unique(np.flatnonzero(hot) // HALF)
+    if len(codes) > 2:
+        low = codes | 32
+        at = np.flatnonzero((low[:-2] == 100) & (low[1:-1] == 111) & (low[2:] == 116))
+        letter = np.concatenate([[False], (low >= 97) & (low <= 122), [False]])
+        hot[at[~letter[at] & ~letter[at + 4]]] = True
+    return hot
+
+
+def window_starts(codes: np.ndarray) -> np.ndarray:
+    """Starts of the windows to decode: every half window (block) with a
+    trigger counts, with the blocks beside it; a window covers two blocks."""
+    at = np.unique(np.flatnonzero(triggers(codes)) // HALF)
     if not len(at):
         return at
     near = np.unique(np.concatenate([at - 2, at - 1, at, at + 1]))
@@ -148,14 +162,23 @@ def pad(x: np.ndarray) -> np.ndarray:
     return np.concatenate([np.zeros(HALF, x.dtype), x, np.zeros(WINDOW, x.dtype)])
 
 
-def reconciled(length: int, starts: np.ndarray, tags: np.ndarray) -> np.ndarray:
-    """Tags of the whole text: the middle half of each window, which is where
-    its characters are farther from the edges than in the overlapping one."""
-    out = np.zeros(length + WINDOW + HALF, np.int8)
-    quarter = HALF // 2
-    at = (starts + HALF)[:, None] + np.arange(quarter, quarter + HALF)
-    out[at] = tags[:, quarter : quarter + HALF]
-    return out[HALF : HALF + length]
+def stretches(starts: np.ndarray) -> list[np.ndarray]:
+    """The starts as runs of adjoining windows, of at most RUN + 2; of a longer
+    run each part repeats the last two windows of the one before."""
+    out = []
+    for run in np.split(starts, np.flatnonzero(np.diff(starts) != HALF) + 1):
+        out += [run[max(0, i - 2) : i + RUN] for i in range(0, len(run), RUN)]
+    return [r for r in out if len(r)]
+
+
+def averaged(scores: np.ndarray) -> np.ndarray:
+    """Tag scores of a stretch (positions, tags) from those of its windows
+    (length, windows, tags): the mean of the one or two that cover a position."""
+    first, second = scores[:HALF], scores[HALF:]
+    whole = np.concatenate([first, np.zeros_like(first[:, :1])], axis=1)
+    whole[:, 1:] += second
+    whole[:, 1:-1] /= 2
+    return whole.transpose(1, 0, 2).reshape(-1, scores.shape[2])
 
 
 def spans_of(tags: np.ndarray) -> list[tuple[int, int, int]]:
@@ -166,89 +189,191 @@ def spans_of(tags: np.ndarray) -> list[tuple[int, int, int]]:
     return [(int(a), int(kind[a]) - 1, int(b)) for a, b in zip(edges[:-1], edges[1:]) if b > a and kind[a]]
 
 
+def _digits(text: str) -> str:
+    return "".join(c for c in text if c in "0123456789")
+
+
+def _fours(text: str, by: str) -> str:
+    d = _digits(text)
+    return by.join(d[i : i + 4] for i in range(0, len(d), 4))
+
+
+def _email(at: str, dot: str) -> Callable[[str], str]:
+    def rewrite(text: str) -> str:
+        name, host = text.split("@", 1)
+        return name + at + host.replace(".", dot)
+
+    return rewrite
+
+
+def _national(text: str, by: str) -> str:
+    d = _digits(text)[-10:]
+    return by.join((d[:3], d[3:6], d[6:]))
+
+
+Rewrites = tuple[tuple[Callable[[str], str], ...], ...]
+
+#: Ways to write a span that the fixed rules do not match, by kind; the tagger learns from these.
+SEEN: Rewrites = (
+    (_email(" at ", " dot "), _email(" [at] ", " [dot] "), _email("(at)", "(dot)"), _email(" @ ", " . ")),
+    (lambda t: t.replace(".", " . "), lambda t: t.replace(".", "[.]"), lambda t: t.replace(".", "-")),
+    (
+        lambda t: _fours(t, "."),
+        lambda t: _fours(t, "/"),
+        lambda t: f"{_digits(t)[:4]} **** **** {_digits(t)[-4:]}",
+        lambda t: f"xxxx-xxxx-xxxx-{_digits(t)[-4:]}",
+    ),
+    (lambda t: "00 " + t.lstrip("+").replace("(", "").replace(")", ""), lambda t: _national(t, "."), lambda t: f"({_digits(t)[-10:-7]}) {_digits(t)[-7:-4]} {_digits(t)[-4:]}"),
+)
+
+#: Ways that are kept from the fit, to measure what the tagger makes of new ones.
+UNSEEN: Rewrites = (
+    (_email(" AT ", " DOT "), _email(" {at} ", " {dot} ")),
+    (lambda t: t.replace(".", "(.)"), lambda t: t.replace(".", " - ")),
+    (lambda t: _fours(t, "_"), lambda t: f"{_digits(t)[:4]} XXXX XXXX {_digits(t)[-4:]}"),
+    (lambda t: _national(t, "/"), lambda t: f"{_digits(t)[-10:-7]} *** {_digits(t)[-4:]}"),
+)
+
+
+def rewritten(text: str, ways: Rewrites, rng: np.random.Generator, share: float = 0.5) -> tuple[str, list[tuple[int, int, int]], list[bool]]:
+    """``text`` with about ``share`` of its base spans rewritten in their places; all
+    its labelled spans ``(start, kind, end)``, and which of them were rewritten.
+    A rewriting that the fixed rules still match somewhere is not used."""
+    out, spans, changed, at, length = [], [], [], 0, 0
+    for start, kind, end in base_spans(text):
+        if start < at:
+            continue
+        old = text[start:end]
+        way = ways[kind][rng.integers(len(ways[kind]))]
+        new = way(old) if rng.random() < share else old
+        if new != old and base_spans(new):
+            new = old
+        length += start - at
+        out += [text[at:start], new]
+        spans.append((length, kind, length + len(new)))
+        changed.append(new != old)
+        length, at = length + len(new), end
+    return "".join(out) + text[at:], spans, changed
+
+
 @dataclass
 class PiiModel:
     tagger: Tagger
 
 
-def fit(texts: list[str], epochs: int = EPOCHS, windows: int = WINDOWS) -> PiiModel:
-    """Train on the labelled windows of ``texts`` (at most ``windows``, those with spans first)."""
+def fit(texts: list[str], epochs: int = EPOCHS, windows: int = WINDOWS, seed: int = 0) -> PiiModel:
+    """Train on the labelled windows of ``texts``, as they are and rewritten: at most
+    ``windows``, a quarter of them without a span."""
+    rng = np.random.default_rng(seed)
     with_spans, without = [], []
     for text in texts:
-        codes = code_array(text)
-        starts = window_starts(codes)
-        if not len(starts):
-            continue
-        x = cut(pad(classes_of(codes)), starts)
-        y = cut(pad(tag_array(len(codes), base_spans(text))), starts)
-        for a, b in zip(x, y):
-            (with_spans if b.any() else without).append((a, b))
-    some = with_spans[: windows * 3 // 4]
-    some += without[: windows - len(some)]
+        # a text with spans is told twice, rewritten in different ways
+        for _ in range(2 if base_spans(text) else 1):
+            told, spans, _ = rewritten(text, SEEN, rng)
+            codes = code_array(told)
+            starts = window_starts(codes)
+            if not len(starts):
+                continue
+            x = cut(pad(classes_of(codes)), starts)
+            y = cut(pad(tag_array(len(codes), spans)), starts)
+            for a, b in zip(x, y):
+                (with_spans if b.any() else without).append((a, b))
+    some = [with_spans[i] for i in rng.permutation(len(with_spans))[: windows * 3 // 4]]
+    some += [without[i] for i in rng.permutation(len(without))[: windows - len(some)]]
     tagger = Tagger.new(CLASSES, TAGS, UNITS)
     if some:
         tagger.train(np.stack([a for a, _ in some]), np.stack([b for _, b in some]), epochs)
     return PiiModel(tagger)
 
 
-def fit_pii(docs: DataFrame, rows: int = ROWS, longest: int = LONGEST) -> PiiModel:
-    """Train on a bounded sample: the ``rows`` texts with the lowest hash among
-    those of at most ``longest`` bytes that hold a digit or ``@``. Only their
-    hashes are ordered before the texts are fetched."""
+def fit_pii(docs: DataFrame, rows: int = ROWS, most_bytes: int = MOST_BYTES) -> PiiModel:
+    """Train on a bounded sample: of the texts that hold a digit or ``@``, whole and of
+    any length, those with the lowest hash, at most ``rows`` and ``most_bytes`` bytes together
+    (a text above that by itself is passed over). Only hashes and sizes are ordered
+    before the texts are fetched."""
     text = F.col("text").cast("string")
-    able = docs.select(text.alias("text")).where(F.octet_length("text") <= longest).where(F.col("text").rlike("[0-9@]"))
-    marks = able.select(F.xxhash64("text").alias("h")).distinct().orderBy("h").limit(rows)
-    got = able.withColumn("h", F.xxhash64("text")).join(F.broadcast(marks), "h", "left_semi").dropDuplicates(["h"]).orderBy("h").select("text").toArrow()
+    able = docs.select(text.alias("text")).where(F.octet_length("text") <= most_bytes).where(F.col("text").rlike("[0-9@]"))
+    able = able.withColumn("h", F.xxhash64("text"))
+    first = able.select("h", F.octet_length("text").alias("size")).groupBy("h").agg(F.min("size").alias("size")).orderBy("h").limit(rows)
+    # at most ``rows`` short rows, so one task adds up their sizes
+    upto = F.sum("size").over(Window.orderBy("h").rowsBetween(Window.unboundedPreceding, Window.currentRow))
+    marks = first.withColumn("upto", upto).where(F.col("upto") <= most_bytes).select("h")
+    got = able.join(F.broadcast(marks), "h", "left_semi").dropDuplicates(["h"]).orderBy("h").select("text").toArrow()
     return fit(got.column("text").to_pylist())
 
 
 def _added(texts: list[str], model: PiiModel) -> list[list[tuple[int, int, int]]]:
     """Tagged spans of each text; windows of all texts are decoded together."""
     codes = [code_array(t) for t in texts]
-    starts = [window_starts(c) for c in codes]
-    out: list[list] = [[] for _ in texts]
-    todo = [i for i, s in enumerate(starts) if len(s)]
-
-    def decoded() -> Iterator[tuple[int, np.ndarray]]:
-        """Tags of each window, in order, AT_ONCE windows at a time."""
-        waiting, held = [], 0
-        for i in todo:
-            padded = pad(classes_of(codes[i]))
-            for j in range(0, len(starts[i]), AT_ONCE):
-                x = cut(padded, starts[i][j : j + AT_ONCE])
-                waiting.append((i, x))
-                held += len(x)
-                if held >= AT_ONCE:
-                    yield from flush(waiting)
-                    waiting, held = [], 0
-        yield from flush(waiting)
-
-    def flush(waiting: list) -> Iterator[tuple[int, np.ndarray]]:
-        if waiting:
-            tags = model.tagger.decode(np.concatenate([x for _, x in waiting]))
-            at = 0
-            for i, x in waiting:
-                yield i, tags[at : at + len(x)]
-                at += len(x)
-
-    parts: dict[int, list] = {}
-    for i, tags in decoded():
-        parts.setdefault(i, []).append(tags)
-        if sum(map(len, parts[i])) == len(starts[i]):
-            out[i] = spans_of(reconciled(len(codes[i]), starts[i], np.concatenate(parts.pop(i))))
-    return out
+    tags = [np.zeros(0, np.int8)] * len(texts)
+    waiting: list[tuple[int, np.ndarray, int]] = []
+    held = 0
+
+    def decode() -> None:
+        x = np.concatenate([cut(pad(classes_of(codes[i][max(0, r[0]) : r[-1] + WINDOW])), r - max(0, int(r[0]))) for i, r, _ in waiting])
+        scores, _ = model.tagger.scores(x)
+        at, parts = 0, []
+        for _, r, _ in waiting:
+            parts.append(averaged(scores[:, at : at + len(r)]))
+            at += len(r)
+        found = model.tagger.viterbi(np.concatenate(parts), np.cumsum([0, *map(len, parts)]))
+        at = 0
+        for (i, r, skip), p in zip(waiting, parts):
+            low, high = int(r[0]) + skip, min(int(r[0]) + len(p), len(codes[i]))
+            begin = max(low, 0)
+            tags[i][begin:high] = found[at + begin - int(r[0]) : at + high - int(r[0])]
+            at += len(p)
+
+    for i, c in enumerate(codes):
+        starts = window_starts(c)
+        if not len(starts):
+            continue
+        tags[i] = np.zeros(len(c), np.int8)
+        last = None
+        for r in stretches(starts):
+            # a part that shares windows with the one before takes over in the middle of what they share
+            waiting.append((i, r, WINDOW // 2 + HALF // 2 if last is not None and r[0] <= last else 0))
+            last = int(r[-1])
+            held += len(r)
+            if held >= AT_ONCE:
+                decode()
+                waiting, held = [], 0
+    if waiting:
+        decode()
+    return [spans_of(t) if len(t) else [] for t in tags]
+
+
+_MASKED = re.compile(r"[*xX]")
+_NUMBER = re.compile(r"[0-9]+")
+_AT = re.compile(r"@|(?<![A-Za-z])at(?![A-Za-z])", re.IGNORECASE)
+
+
+def holds(kind: int, text: str) -> bool:
+    """Whether a tagged span can be of its kind: what it shows must pass the checks
+    of the fixed rules. An email names its ``@`` in some way; four parts of an
+    address are at most 255; a card with all its digits passes Luhn; a phone number has enough
+    digits, masked ones aside."""
+    digits = _digits(text)
+    if KINDS[kind] == "email":
+        return bool(_AT.search(text)) and any(c.isalpha() for c in text)
+    if KINDS[kind] == "ip":
+        parts = _NUMBER.findall(text)
+        return len(parts) == 4 and all(map(_byte, parts))
+    if _MASKED.search(text):
+        return len(digits) >= 4
+    return 12 <= len(digits) <= 19 and luhn(digits) if KINDS[kind] == "card" else 9 <= len(digits) <= 15
 
 
 def all_spans(texts: list[str], model: PiiModel) -> list[list[dict]]:
-    """Base spans, and tagged ones of 6 characters or more with a digit or
-    ``@`` that touch no base span, by start, then kind."""
+    """Base spans, and tagged ones of 6 characters or more with a trigger
+    that touch no base span and pass ``holds``, by start, then kind."""
     out = []
     for text, found in zip(texts, _added(texts, model)):
         base = base_spans(text)
         taken = np.zeros(len(text) + 1, bool)
         for s, _, e in base:
             taken[s:e] = True
-        more = [(s, k, e) for s, k, e in found if e - s >= 6 and not taken[s:e].any() and re.search("[0-9@]", text[s:e])]
+        more = [(s, k, e) for s, k, e in found if e - s >= 6 and not taken[s:e].any() and triggers(code_array(text[s:e])).any() and holds(k, text[s:e])]
         marked = [(s, k, e, True) for s, k, e in base] + [(s, k, e, False) for s, k, e in more]
         out.append([{"kind": KINDS[k], "start": s, "end": e, "base": b} for s, k, e, b in sorted(marked)])
     return out
