@@ -4,8 +4,10 @@ A document is a bag of sentences. A sentence's score is a logistic function of
 the weights of its words and of their first letters (so that forms of one stem
 share what is learned); a document is toxic unless every sentence is clean:
 score = 1 - prod(1 - p). A sentence's p is what its words add to the chance
-that any sentence has (the bias): without telling words it is 0, so a clean
-document's score does not grow with its length. The word weights are learned from document labels
+that any sentence has (the bias): without telling words it is 0, and a sentence
+whose p is under ``FLOOR`` is taken for one without, so that weakly telling words, of
+which a long text has many, do not add up and a clean document's score does
+not grow with its length. The word weights are learned from document labels
 alone by gradient descent on the document likelihood, so the sentences that
 carry a toxic label are found by the fit, and ``toxic_sentences`` lists them.
 
@@ -32,6 +34,8 @@ from encore.llm.words import LETTERS, Words, prefixes, runs, words
 BITS = 18
 #: Bounds of the fit: labelled rows, and bytes of their texts together.
 ROWS, MOST_BYTES = 8000, 1 << 25
+#: Chance from which on a sentence counts in a document's score.
+FLOOR = 0.25
 #: Documents whose words are laid out at a time in the fit.
 AT_ONCE = 400
 #: Beginnings of words that have weights of their own, in bytes.
@@ -69,10 +73,13 @@ def masses(logits: np.ndarray, bias: float) -> np.ndarray:
     return np.maximum(np.logaddexp(0, logits) - np.logaddexp(0, bias), 0)
 
 
-def noisy_or(logits: np.ndarray, doc: np.ndarray, n: int, bias: float = -np.inf) -> np.ndarray:
+def noisy_or(logits: np.ndarray, doc: np.ndarray, n: int, bias: float = -np.inf, floor: float = 0.0) -> np.ndarray:
     """1 - prod(1 - sigmoid(logit)) for each of ``n`` documents, over the chance
-    that ``bias`` alone gives a sentence; 0 without sentences."""
-    return -np.expm1(-np.bincount(doc, weights=masses(logits, bias), minlength=n)) if len(doc) else np.zeros(n)
+    that ``bias`` alone gives a sentence and without sentences under ``floor``; 0 without sentences."""
+    if not len(doc):
+        return np.zeros(n)
+    mass = masses(logits, bias)
+    return -np.expm1(-np.bincount(doc, weights=np.where(mass < -np.log1p(-floor), 0.0, mass), minlength=n))
 
 
 @dataclass
@@ -158,7 +165,7 @@ def score_bodies(data: np.ndarray, offsets: np.ndarray, model: ToxicityModel) ->
     """Document scores, sentence logits and the bags of a batch."""
     b = bags(data, offsets)
     z = sentence_logits(b, model.weights, model.bias)
-    return noisy_or(z, b.doc, len(offsets) - 1, model.bias), z, b
+    return noisy_or(z, b.doc, len(offsets) - 1, model.bias, FLOOR), z, b
 
 
 def toxicity_score(model: ToxicityModel) -> Column:

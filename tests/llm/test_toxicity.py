@@ -1,7 +1,10 @@
 """Toxicity: held-out accuracy, noisy-or, sentences, edge rows."""
 
+import zlib
+
 import numpy as np
 import pyarrow as pa
+import pyarrow.parquet as pq
 from pyspark.sql import functions as F
 
 from encore.llm import toxicity as tox
@@ -62,6 +65,23 @@ def test_noisy_or_is_the_product_rule():
     z, doc = np.array([-2.0, 0.5, -1.0]), np.array([0, 0, 2])
     p = 1 / (1 + np.exp(-z))
     assert np.allclose(tox.noisy_or(z, doc, 3), [1 - (1 - p[0]) * (1 - p[1]), 0, p[2]])
+    assert np.allclose(tox.noisy_or(z, doc, 3, floor=0.2), [p[1], 0, p[2]])
+
+
+def test_long_texts_of_documents_that_are_clean_by_themselves():
+    """20 texts of 300 KB joined from held-out clean documents that score under 0.3 each."""
+    docs = pq.read_table(f"{SF}/documents.parquet", columns=["doc_id", "text"]).to_pylist()
+    label = {r["doc_id"]: r["toxic"] for r in pq.read_table(f"{SF}/labels.parquet").to_pylist()}
+    known = [(r["text"] or "", label[r["doc_id"]], zlib.crc32(str(r["doc_id"]).encode()) % 4 == 2) for r in docs if r["doc_id"] in label]
+    model = tox.fit([t.encode() for t, _, held in known if not held], np.array([y for _, y, held in known if not held]))
+    clean = [t for t, y, held in known if held and not y]
+    clean = [t for t, s in zip(clean, scores(clean, model)) if s < 0.3]
+    rng, long = np.random.default_rng(0), []
+    for _ in range(20):
+        order = [clean[i] for i in rng.permutation(len(clean))]
+        size = np.cumsum([len(t) for t in order])
+        long.append("\n".join(order[: int(np.searchsorted(size, 300_000)) + 1]))
+    assert all(len(t) > 290_000 for t in long) and (scores(long, model) >= 0.3).sum() <= 1
 
 
 def test_edge_rows(spark):
