@@ -11,7 +11,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from encore.functions.hashing import hash_unit
@@ -116,6 +116,46 @@ def unseen_items(
     return candidates.join(seen, [user_col, item_col], "left_anti")
 
 
+#: Fixed value: bits of one of Spark's bitmaps.
+BITMAP_BITS = 32768
+
+
+def history_bitmaps(df: DataFrame, user_col: str = "user_idx", item_col: str = "item_idx") -> DataFrame:
+    """``user, bucket, items``: each user's set of items as bitmaps of ``BITMAP_BITS``
+    item indexes; bucket b holds items from (b - 1) * BITMAP_BITS on.
+
+    A user has at most one row a bucket, however many plays, and equal plays
+    set the same bit before the shuffle. Suits users with many items; a
+    sparse bitmap is a page of zeros, which only compression makes small. Item indexes
+    are 0 or more; null items take no part.
+    """
+    at = F.col(item_col).cast("long") + 1
+    rows = df.where(F.col(item_col).isNotNull()).select(user_col, F.bitmap_bucket_number(at).alias("bucket"), F.bitmap_bit_position(at).alias("_bit"))
+    return rows.groupBy(user_col, "bucket").agg(F.bitmap_construct_agg("_bit").alias("items"))
+
+
+def merged_bitmaps(*parts: DataFrame, user_col: str = "user_idx") -> DataFrame:
+    """The bitmaps of several histories as one, so a batch is added without its predecessors' plays."""
+    every = parts[0]
+    for p in parts[1:]:
+        every = every.unionByName(p)
+    return every.groupBy(user_col, "bucket").agg(F.bitmap_or_agg("items").alias("items"))
+
+
+def _bit_is_set(bitmap: Column, at: Column) -> Column:
+    """Whether bit ``at`` (0 or more; the low bit of a byte first) of a bitmap is set."""
+    byte = F.conv(F.hex(F.substring(bitmap, (F.floor(at / 8) + 1).cast("int"), F.lit(1))), 16, 10).cast("int")
+    return byte.bitwiseAND(F.call_function("shiftleft", F.lit(1), (at % 8).cast("int"))) != 0
+
+
+def unseen_by_bitmaps(candidates: DataFrame, bitmaps: DataFrame, user_col: str = "user_idx", item_col: str = "item_idx") -> DataFrame:
+    """``unseen_items`` against ``history_bitmaps``: one row a user and bucket to join with instead of one a play."""
+    at = F.col(item_col).cast("long") + 1
+    rows = candidates.withColumns({"bucket": F.bitmap_bucket_number(at), "_bit": F.bitmap_bit_position(at)})
+    joined = rows.join(bitmaps.withColumnRenamed("items", "_items"), [user_col, "bucket"], "left")
+    return joined.where(F.col("_items").isNull() | ~_bit_is_set(F.col("_items"), F.col("_bit"))).select(*candidates.columns)
+
+
 def union_history(history: DataFrame, new: DataFrame) -> DataFrame:
     """History plus new interactions, columns matched by name."""
     return history.unionByName(new, allowMissingColumns=True)

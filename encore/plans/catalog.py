@@ -234,6 +234,18 @@ def q_unseen_items(spark, sf):
     return history.unseen_items(cands, p.train)
 
 
+def q_user_history_bitmaps(spark, sf):
+    b = history.history_bitmaps(prepare_tables(spark, sf, once=True).train)
+    return b.select("user_idx", F.col("bucket").cast("bigint"), F.bitmap_count("items").alias("n_items"))
+
+
+def q_unseen_by_bitmaps(spark, sf):
+    p = prepare_tables(spark, sf)
+    users = p.validation.select("user_idx").distinct()
+    cands = evaluate.popularity_predictions(p.train, users, EVAL_K)
+    return history.unseen_by_bitmaps(cands, history.history_bitmaps(p.train))
+
+
 def q_union_history(spark, sf):
     train = sampling.hash_split(_interactions(spark, sf), SPLIT_KEYS)[0]
     return history.union_history(train, _plays(spark, sf))
@@ -481,6 +493,8 @@ QUERIES: dict[str, Query] = {
     "user_history": q_user_history,
     "user_history_all": q_user_history_all,
     "unseen_items": q_unseen_items,
+    "user_history_bitmaps": q_user_history_bitmaps,
+    "unseen_by_bitmaps": q_unseen_by_bitmaps,
     "union_history": q_union_history,
     "ranking_metrics_per_user": q_ranking_metrics_per_user,
     "ranking_metrics": q_ranking_metrics,

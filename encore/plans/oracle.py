@@ -324,6 +324,11 @@ SQL: dict[str, str] = {
     "unseen_items": f"""WITH {PREP}, {pop_metrics_cte(10).strip()}
         SELECT p.user_idx, p.rank, p.item_idx FROM PRED10 p
         WHERE NOT EXISTS (SELECT 1 FROM TRAIN t WHERE t.user_idx = p.user_idx AND t.item_idx = p.item_idx)""",
+    "user_history_bitmaps": f"""WITH {PREP} SELECT user_idx, CAST(1 + item_idx // 32768 AS BIGINT) AS bucket, count(DISTINCT item_idx) AS n_items
+        FROM TRAIN GROUP BY 1, 2""",
+    "unseen_by_bitmaps": f"""WITH {PREP}, {pop_metrics_cte(10).strip()}
+        SELECT p.user_idx, p.rank, p.item_idx FROM PRED10 p
+        WHERE NOT EXISTS (SELECT 1 FROM TRAIN t WHERE t.user_idx = p.user_idx AND t.item_idx = p.item_idx)""",
     "union_history": f"""SELECT user_id, item_id, plays, ts FROM {INT} WHERE {SPLIT} < 60
         UNION ALL SELECT user_id, item_id, plays, ts FROM {PLAYS}""",
     "ranking_metrics_per_user": f"""WITH {PREP}, {pop_metrics_cte(10).strip()}

@@ -58,3 +58,32 @@ def test_hot_user_index(spark):
     assert users.count() == 1001 and items.count() == 25_000
     joined = indexing.index_interactions(df, users, items)
     assert joined.count() == 75_000
+
+
+def test_bitmaps_bound_the_rows_of_a_hot_user(spark):
+    """A user with a third of all plays: one row for each 32,768 items, whatever the plays; same sets and differences."""
+    from encore.operators import history
+
+    hot = [(0, i * 13) for i in range(20_000)] * 2
+    rows = hot + [(1 + i % 500, (i * 7919) % 300_000) for i in range(20_000)] + [(7, None), (8, 0), (8, 32767), (8, 32768)]
+    df = spark.createDataFrame(rows, "user_idx int, item_idx int").repartition(6)
+    maps = history.history_bitmaps(df)
+    sizes = {(r["user_idx"], r["bucket"]): r["n"] for r in maps.select("user_idx", "bucket", F.bitmap_count("items").alias("n")).collect()}
+    want = {}
+    for u, i in {r for r in rows if r[1] is not None}:
+        want[u, 1 + i // 32768] = want.get((u, 1 + i // 32768), 0) + 1
+    assert sizes == want and sum(u == 0 for u, _ in sizes) == 8
+    cands = spark.createDataFrame([(u, i, "x") for u in (0, 1, 7, 8, 9999) for i in (0, 13, 32767, 32768, 7919, 299_999)], "user_idx int, item_idx int, extra string")
+    key = lambda d: sorted(map(tuple, d.collect()))
+    assert key(history.unseen_by_bitmaps(cands, maps)) == key(history.unseen_items(cands, df)) != key(cands)
+    halves = [df.where("item_idx % 2 = 0"), df.where("item_idx % 2 = 1")]
+    merged = history.merged_bitmaps(*[history.history_bitmaps(h) for h in halves])
+    assert merged.exceptAll(maps).count() == 0 and maps.exceptAll(merged).count() == 0
+
+
+def test_estimated_bytes_measures_text(spark):
+    from encore.operators import indexing
+
+    wide = spark.createDataFrame([("x" * 1000, 1), (None, 2)], "user_id string, user_idx int")
+    assert indexing.estimated_bytes(wide) == 1000 + 2 * (4 + 16)
+    assert indexing.estimated_bytes(wide.limit(0)) == 0
