@@ -197,7 +197,7 @@ def quality_score(model: QualityModel) -> Column:
     @F.arrow_udf("double")
     def score(body: pa.Array) -> pa.Array:
         whole = pa.record_batch([body], ["body"])
-        parts = [score_bodies(*joined(s.column("body")), model) for s in slices(iter([whole]), "body", 4 << 20)]
+        parts = [score_bodies(*joined(s.column("body")), model) for s in slices(iter([whole]), "body", 2 << 20)]
         return pa.array(np.concatenate(parts) if parts else np.zeros(0))
 
     return score("body")
@@ -218,7 +218,7 @@ def passage_attention(docs: DataFrame, model: QualityModel) -> DataFrame:
     its weight in the document's score (they add up to 1)."""
 
     def weigh(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for part in slices(batches, "body", 4 << 20):
+        for part in slices(batches, "body", 2 << 20):
             data, offsets = joined(part.column("body"))
             x, doc, start, end = passages(data, offsets)
             a = model.forward(x, runs(doc))["a"]

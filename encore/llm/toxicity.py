@@ -174,7 +174,7 @@ def toxicity_score(model: ToxicityModel) -> Column:
     @F.arrow_udf("double")
     def score(body: pa.Array) -> pa.Array:
         whole = pa.record_batch([body], ["body"])
-        parts = [score_bodies(*joined(s.column("body")), model)[0] for s in slices(iter([whole]), "body", 4 << 20)]
+        parts = [score_bodies(*joined(s.column("body")), model)[0] for s in slices(iter([whole]), "body", 2 << 20)]
         return pa.array(np.concatenate(parts) if parts else np.zeros(0))
 
     return score("body")
@@ -200,7 +200,7 @@ def toxic_sentences(docs: DataFrame, model: ToxicityModel, least: float = 0.3) -
     ``least``: code points from its first to its last word, end exclusive."""
 
     def locate(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for part in slices(batches, "body", 4 << 20):
+        for part in slices(batches, "body", 2 << 20):
             data, offsets = joined(part.column("body"))
             _, z, b = score_bodies(data, offsets, model)
             p = -np.expm1(-masses(z, model.bias))
