@@ -12,7 +12,7 @@ from pyspark.ml.recommendation import ALSModel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from encore.operators import als, topk
+from encore.operators import als, factorize, topk
 
 
 def load_model(path: str) -> ALSModel:
@@ -44,6 +44,13 @@ def recommend_for(model: ALSModel, requests: DataFrame, k: int = 10) -> DataFram
     return topk.recommendation_ids(topk.as_recommendation_lists(recs)).withColumnRenamed("user_id", "user_idx")
 
 
+def recommend_new(model: factorize.Factors, plays: DataFrame, k: int = 10) -> DataFrame:
+    """``user_idx, item_ids`` of users the model may not know, from their plays:
+    their vectors are solved against the model's items (``factorize.fold_in``)."""
+    recs = factorize.recommend(model, k, factorize.fold_in(plays, model)).withColumnRenamed("user_idx", "user_id").withColumnRenamed("item_idx", "item_id")
+    return topk.recommendation_ids(topk.as_recommendation_lists(recs)).withColumnRenamed("user_id", "user_idx")
+
+
 def recommend_all(model: ALSModel, out_path: str, k: int = 10) -> None:
     """Top-``k`` for every user, in long form, written to Parquet."""
     als.recommend_users(model, None, k).write.mode("overwrite").parquet(out_path)
