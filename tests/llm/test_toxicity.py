@@ -45,10 +45,10 @@ def test_held_out_accuracy_on_given_documents(spark):
 def test_labels_of_held_out_rows_are_not_read(spark):
     docs = spark.createDataFrame([(i, f"text {i}") for i in range(200)], "doc_id long, text string")
     labels = docs.select("doc_id", F.lit(0).alias("quality"), F.lit(1).alias("toxic"))
-    used = {r["doc_id"] for r in training_sample(docs, labels, "toxic", ~tox.is_held_out(), 1000, 100).collect()}
+    used = {r["doc_id"] for r in training_sample(docs, labels, "toxic", ~tox.is_held_out(), 1000, 10**6).collect()}
     held = {r["doc_id"] for r in docs.where(tox.is_held_out()).collect()}
     assert held and not used & held and len(used | held) == 200
-    few = training_sample(docs, labels, "toxic", F.lit(True), 7, 100).count()
+    few = training_sample(docs, labels, "toxic", F.lit(True), 7, 10**6).count()
     assert few == 7
 
 
