@@ -124,14 +124,17 @@ def history_bitmaps(df: DataFrame, user_col: str = "user_idx", item_col: str = "
     """``user, bucket, items``: each user's set of items as bitmaps of ``BITMAP_BITS``
     item indexes; bucket b holds items from (b - 1) * BITMAP_BITS on.
 
-    A user has at most one row a bucket, however many plays, and equal plays
-    set the same bit before the shuffle. Suits users with many items; a
-    sparse bitmap is a page of zeros, which only compression makes small. Item indexes
+    A user has at most one row a bucket, however many plays; equal plays are
+    dropped before the shuffle, so no task gets more than ``BITMAP_BITS`` rows of a
+    user and bucket. The bits are dealt by user and bucket as narrow rows and
+    become bitmaps, of 4 KB each however few items, only where they end:
+    none is shuffled or sorted here. Suits users with many items. Item indexes
     are 0 or more; null items take no part.
     """
     at = F.col(item_col).cast("long") + 1
     rows = df.where(F.col(item_col).isNotNull()).select(user_col, F.bitmap_bucket_number(at).alias("bucket"), F.bitmap_bit_position(at).alias("_bit"))
-    return rows.groupBy(user_col, "bucket").agg(F.bitmap_construct_agg("_bit").alias("items"))
+    dealt = rows.distinct().repartition(user_col, "bucket")
+    return dealt.groupBy(user_col, "bucket").agg(F.bitmap_construct_agg("_bit").alias("items"))
 
 
 def merged_bitmaps(*parts: DataFrame, user_col: str = "user_idx") -> DataFrame:
@@ -152,7 +155,8 @@ def unseen_by_bitmaps(candidates: DataFrame, bitmaps: DataFrame, user_col: str =
     """``unseen_items`` against ``history_bitmaps``: one row a user and bucket to join with instead of one a play."""
     at = F.col(item_col).cast("long") + 1
     rows = candidates.withColumns({"bucket": F.bitmap_bucket_number(at), "_bit": F.bitmap_bit_position(at)})
-    joined = rows.join(bitmaps.withColumnRenamed("items", "_items"), [user_col, "bucket"], "left")
+    # merged, not broadcast: Spark takes a bitmap for far smaller than it is
+    joined = rows.join(bitmaps.withColumnRenamed("items", "_items").hint("merge"), [user_col, "bucket"], "left")
     return joined.where(F.col("_items").isNull() | ~_bit_is_set(F.col("_items"), F.col("_bit"))).select(*candidates.columns)
 
 

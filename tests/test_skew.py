@@ -87,3 +87,16 @@ def test_estimated_bytes_measures_text(spark):
     wide = spark.createDataFrame([("x" * 1000, 1), (None, 2)], "user_id string, user_idx int")
     assert indexing.estimated_bytes(wide) == 1000 + 2 * (4 + 16)
     assert indexing.estimated_bytes(wide.limit(0)) == 0
+
+
+def test_bitmaps_are_neither_shuffled_nor_sorted(spark):
+    """A bitmap is 4 KB however few items it holds: rows are dealt out as single bits, a sparse user's too."""
+    from encore.operators import history
+
+    df = spark.createDataFrame([(u, (u * 7919 + j * 40_000) % 400_000) for u in range(300) for j in range(9)], "user_idx int, item_idx int")
+    plan = history.history_bitmaps(df)._jdf.queryExecution().executedPlan().toString()
+    above = plan[: plan.rindex("partial_bitmap_construct_agg")]
+    assert "Exchange" not in above and "Sort [" not in above
+    # the candidates' side moves to the bitmaps, which are not taken for small
+    cands = df.where("user_idx < 3")
+    assert "BroadcastHashJoin" not in history.unseen_by_bitmaps(cands, history.history_bitmaps(df))._jdf.queryExecution().executedPlan().toString()
