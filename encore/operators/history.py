@@ -133,7 +133,9 @@ def history_bitmaps(df: DataFrame, user_col: str = "user_idx", item_col: str = "
     """
     at = F.col(item_col).cast("long") + 1
     rows = df.where(F.col(item_col).isNotNull()).select(user_col, F.bitmap_bucket_number(at).alias("bucket"), F.bitmap_bit_position(at).alias("_bit"))
-    dealt = rows.distinct().repartition(user_col, "bucket")
+    n = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    # a fixed number: few partitions read together would sort more rows in a task
+    dealt = rows.distinct().repartition(n, user_col, "bucket")
     return dealt.groupBy(user_col, "bucket").agg(F.bitmap_construct_agg("_bit").alias("items"))
 
 
