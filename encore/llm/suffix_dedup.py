@@ -24,6 +24,10 @@ place, so nothing is lost, and there is about one anchor in 150 bytes.
 A gram with more than ``HOT`` anchors (a passage in very many documents) would
 land in one task: its windows are counted by their hash instead, which is
 pre-aggregated and has no hot key. Hashes of windows are 2 x 64 bits.
+
+A passage of PASSAGE words that another row holds too may be shorter than
+LENGTH bytes. Its bytes stay; ``repeated_passages`` counts its words, by the
+same anchors over words and by the hashes of their windows.
 """
 
 from __future__ import annotations
@@ -34,15 +38,17 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from encore.llm.common import bytes_of, joined, slices, stored
 from encore.llm.loser_tree import merge, shared
 from encore.llm.screen import bit_screen, passes, screened
-from encore.llm.words import spread
+from encore.llm.words import EXACT, spread, words
 
 LENGTH, GRAM = 400, 100
+#: Words of a passage ("over 50 words").
+PASSAGE = 51
 #: Anchors of one gram that one task handles.
 HOT = 20_000
 #: Bytes of text worked on at a time, and suffixes that one range should hold.
@@ -389,6 +395,137 @@ def repeated_windows(slim: DataFrame, length: int = LENGTH, gram: int = GRAM) ->
     return found.union(repeated).union(settled)
 
 
+def _word_pieces(batches: Iterator[pa.RecordBatch], length: int) -> Iterator[tuple[pa.RecordBatch, np.ndarray, np.ndarray, int]]:
+    """``rows, word hashes, offsets, shift``: as ``_pieces``, in words, a quarter
+    at a time; a longer row goes on with its last words, one window less a word."""
+    piece = max(1, PIECE // 4)
+    for part in slices(batches, "body", piece):
+        data, offsets = joined(part.column("body"))
+        if part.num_rows > 1 or len(data) <= piece:
+            w = words(data, offsets, EXACT)
+            yield part, w.hash, np.searchsorted(w.row, np.arange(part.num_rows + 1)), 0
+            continue
+        held, shift = np.zeros(0, np.uint64), 0
+        for h in _long_row(data, piece):
+            held = np.concatenate([held, h])
+            yield part, held, np.array([0, len(held)]), shift
+            shift += max(0, len(held) - length + 1)
+            held = held[max(0, len(held) - length + 1) :]
+
+
+def _long_row(data: np.ndarray, piece: int) -> Iterator[np.ndarray]:
+    """Word hashes of a row, stretch by stretch; a word longer than ``piece`` is hashed by itself."""
+    s, n = 0, len(data)
+    while s < n:
+        apart = np.flatnonzero(EXACT[data[s : s + piece + 1]] == 0)
+        if len(apart) or n - s <= piece:
+            e = s + int(apart[-1]) + 1 if n - s > piece else n
+            yield words(data[s:e], np.array([0, e - s]), EXACT).hash
+        else:
+            e = s + piece
+            digest = hashlib.blake2b(digest_size=8)
+            digest.update(data[s:e])
+            while e < n:
+                block = data[e : e + piece]
+                apart = np.flatnonzero(EXACT[block] == 0)
+                block = block[: int(apart[0])] if len(apart) else block
+                digest.update(block)
+                e += len(block)
+                if len(apart):
+                    break
+            yield np.frombuffer(digest.digest(), np.uint64)
+        s = e
+
+
+def _passage_grams(batches: Iterator[pa.RecordBatch], length: int, gram: int) -> Iterator[pa.RecordBatch]:
+    for _, h, offsets, _ in _word_pieces(batches, length):
+        grams, n = np.unique(anchors(h, offsets, length, gram)[3], return_counts=True)
+        yield pa.record_batch([pa.array(grams.view(np.int64)), pa.array(n.astype(np.int64))], ["gram", "n"])
+
+
+_STANDS = pa.schema([("part", pa.int64()), ("gram", pa.int64()), ("mark", pa.int64()), ("copies", pa.int64()), ("low", pa.int64()), ("before", pa.int32()), ("hashes", pa.list_(pa.int64()))])
+STANDS_DDL = "part long, gram long, mark long, copies long, low long, before int, hashes array<long>"
+_RUNS = pa.schema([("mark", pa.int64()), ("low", pa.int64()), ("high", pa.int64())])
+RUNS_DDL = "mark long, low long, high long"
+
+
+def _passage_anchors(batches: Iterator[pa.RecordBatch], screens: tuple, parts: int, length: int, gram: int) -> Iterator[pa.RecordBatch]:
+    """Anchors whose gram passes, with the hashes of the windows they stand for: the
+    first starts at word ``low``, ``before`` words before the anchor. ``part`` is -1 for hot grams."""
+    for rows, marks, offsets, shift in _word_pieces(batches, length):
+        a, low, high, h = anchors(marks, offsets, length, gram)
+        keep = passes(screens[0], h) if len(h) else np.zeros(0, bool)
+        a, low, high, h = a[keep], low[keep], high[keep], h[keep]
+        if not len(a):
+            continue
+        p, _ = _ranges(low, high)
+        ends = np.concatenate([[0], np.cumsum(high - low + 1)]).astype(np.int32)
+        hashes = pa.ListArray.from_arrays(pa.array(ends), pa.array(string_hashes(marks, length)[p].view(np.int64)))
+        part = np.where(passes(screens[1], h), -1, ((h >> np.uint64(32)) * np.uint64(parts) >> np.uint64(32)).astype(np.int64))
+        row = np.searchsorted(offsets, a, side="right") - 1
+        of = [rows.column(c).take(pa.array(row)) for c in ("mark", "copies")]
+        yield pa.record_batch([pa.array(part), pa.array(h.view(np.int64)), *of, pa.array(low - offsets[row] + shift), pa.array((a - low).astype(np.int32)), hashes], schema=_STANDS)
+
+
+def _held_again(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """``mark, low, high``: runs of windows that another row holds too, of the anchors of one range."""
+    tables = [pa.Table.from_batches([b]) for b in batches if b.num_rows]
+    if not tables:
+        return
+    rows = pa.concat_tables(tables).combine_chunks()
+    gram, mark, copies, low, before = (rows.column(c).to_numpy() for c in ("gram", "mark", "copies", "low", "before"))
+    lists = rows.column("hashes").combine_chunks()
+    size = np.diff(lists.offsets.to_numpy())
+    of = np.repeat(np.arange(len(gram)), size)
+    step = np.arange(len(of)) - np.repeat(np.cumsum(size) - size, size)
+    # equal windows have equal grams at equal distances
+    key = spread(lists.flatten().to_numpy().view(np.uint64) ^ spread((before[of] - step).astype(np.uint64)))
+    order = np.lexsort([mark[of], key, gram[of]])
+    by, k, m = gram[of][order], key[order], mark[of][order]
+    new = np.flatnonzero(np.concatenate([[True], (by[1:] != by[:-1]) | (k[1:] != k[:-1])]))
+    last = np.append(new[1:], len(order)) - 1
+    twice = (m[new] != m[last]) | (np.maximum.reduceat(copies[of][order], new) > 1)
+    hit = np.zeros(len(order), bool)
+    hit[order] = np.repeat(twice, last - new + 1)
+    begin, end = _stretches(hit, step, of)
+    yield pa.record_batch([pa.array(mark[of[begin]]), pa.array(low[of[begin]] + step[begin]), pa.array(low[of[end]] + step[end])], schema=_RUNS)
+
+
+def repeated_passages(slim: DataFrame, length: int = PASSAGE) -> DataFrame:
+    """``mark, words``: of texts that share a run of ``length`` words with another
+    row, how many of their words lie in such runs. ``slim``: ``doc_id, mark, body``."""
+    gram = max(1, length // 4)
+    grams = slim.select("body").mapInArrow(lambda it: _passage_grams(it, length, gram), "gram long, n long")
+    told = stored(grams.groupBy("gram").agg(F.sum("n").alias("n")).where("n > 1"), "passage-grams")
+    screens = (bit_screen(told, "gram"), bit_screen(told.where(F.col("n") > HOT), "gram"))
+    total = told.where(F.col("n") <= HOT).agg(F.sum("n")).first()[0] or 0
+    parts = max(int(slim.sparkSession.conf.get("spark.sql.shuffle.partitions")), -(-total // RANGE))
+    # rows of one text are made one: their windows are compared once
+    again = bit_screen(slim.groupBy("mark").agg(F.count(F.lit(1)).alias("n")).where("n > 1"), "mark")
+
+    def once(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        return (b.filter(pa.array(~passes(again, b.column("mark").to_numpy().view(np.uint64)))) for b in batches)
+
+    single = slim.select("mark", "body", F.lit(1).cast("long").alias("copies"))
+    copied = slim.select("mark", "body").where(screened(again, "mark")).groupBy("mark", "body").agg(F.count(F.lit(1)).alias("copies"))
+    stands = single.mapInArrow(lambda it: _passage_anchors(once(it), screens, parts, length, gram), STANDS_DDL)
+    stands = stands.union(copied.mapInArrow(lambda it: _passage_anchors(it, screens, parts, length, gram), STANDS_DDL))
+    if screens[1].any():
+        stands = stored(stands, "passage-anchors")
+    found = stands.where("part >= 0").repartitionById(parts, F.col("part").cast("int")).mapInArrow(_held_again, RUNS_DDL)
+    if screens[1].any():
+        # a gram with more anchors than one task handles: its windows are counted by their hash
+        windows = stands.where("part < 0").select("mark", "copies", "low", "gram", "before", F.posexplode("hashes").alias("i", "h"))
+        windows = windows.select("mark", "copies", (F.col("low") + F.col("i")).alias("low"), "gram", (F.col("before") - F.col("i")).alias("o"), "h")
+        held = windows.groupBy("h", "gram", "o").agg(F.min("mark").alias("a"), F.max("mark").alias("b"), F.max("copies").alias("n"))
+        often = windows.join(held.where("a <> b or n > 1"), ["h", "gram", "o"], "left_semi")
+        found = found.union(often.select("mark", "low", F.col("low").alias("high")))
+    # each window is in one run: words from where the run before ended
+    stop = F.lag(F.col("high") + length).over(Window.partitionBy("mark").orderBy("low"))
+    new = found.select("mark", (F.col("high") + length - F.greatest(F.col("low"), F.coalesce(stop, F.col("low")))).alias("words"))
+    return new.groupBy("mark").agg(F.sum("words").cast("long").alias("words"))
+
+
 def _spans(low: np.ndarray, high: np.ndarray, size: int, length: int) -> list[tuple[int, int]]:
     """Maximal runs of bytes covered by windows that start in the stretches."""
     out: list[list[int]] = []
@@ -413,18 +550,21 @@ def _cut(batches: Iterator[pa.RecordBatch], length: int) -> Iterator[pa.RecordBa
             kept = b"".join(body[i:j] for i, j in zip(edges[::2], edges[1::2]))
             for c, v in zip(out, (len(body), len(body) - len(kept), len(spans), hashlib.sha256(kept).hexdigest())):
                 c.append(v)
-            rest.append(kept)
+            rest.append(kept if spans else None)
         ints = [pa.array(c, pa.int64()) for c in out[:3]]
-        names = ["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256", "kept", "copies"]
-        yield pa.record_batch([batch.column("doc_id"), *ints, pa.array(out[3], pa.string()), pa.array(rest, pa.binary()), batch.column("copies")], names)
+        names = ["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256", "kept", "n_passage_words", "copies"]
+        more = [batch.column(c) for c in ("n_passage_words", "copies")]
+        yield pa.record_batch([batch.column("doc_id"), *ints, pa.array(out[3], pa.string()), pa.array(rest, pa.binary()), *more], names)
 
 
-def suffix_dedup(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """``doc_id, n_bytes, n_removed, n_spans, kept_sha256, kept`` for every row of ``docs``.
+def suffix_dedup(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, id_col: str = "doc_id", text_col: str = "text", passage: int = PASSAGE) -> DataFrame:
+    """``doc_id, n_bytes, n_removed, n_spans, kept_sha256, kept, n_passage_words`` for every row of ``docs``.
 
     ``kept`` are the remaining bytes of the text (null: empty) put together
     (null where nothing was removed: the text itself), ``n_spans`` the
-    maximal removed runs. Strings are judged on the input and never cross
+    maximal removed runs, ``n_passage_words`` the words in runs of ``passage``
+    words (as they are written, whatever white space is between) that another row
+    holds too; they stay unless their bytes are a repeated string. Strings are judged on the input and never cross
     rows; a repeated row repeats all its strings. Null ids are kept; other
     columns are ignored; an empty table gives no rows.
     """
@@ -433,18 +573,23 @@ def suffix_dedup(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, id_col
     # equal rows (same id and text) find the same stretches: one of each is kept
     found = repeated_windows(slim.select("doc_id", "mark", "body"), length, gram).distinct()
     found = stored(found, "suffix-repeats")
-    each = found.groupBy("doc_id", "mark").agg(F.collect_list(F.struct("low", "high")).alias("found"))
-    screen = bit_screen(found.select("mark").distinct(), "mark")
+    told = stored(repeated_passages(slim, passage), "suffix-passages")
+    held = slim.select("doc_id", "mark").distinct().join(told, "mark")
+    either = found.select("doc_id", "mark", F.struct("low", "high").alias("at"), F.lit(0).cast("long").alias("words"))
+    either = either.union(held.select("doc_id", "mark", F.lit(None).cast("struct<low:long,high:long>"), "words"))
+    each = either.groupBy("doc_id", "mark").agg(F.collect_list("at").alias("found"), F.max("words").alias("words"))
+    screen = bit_screen(found.select("mark").union(told.select("mark")).distinct(), "mark")
 
     seen = slim.withColumn("touched", screened(screen, "mark"))
     whole = seen.where("not touched").select(
         "doc_id", F.octet_length("body").cast("long").alias("n_bytes"), F.lit(0).cast("long").alias("n_removed"), F.lit(0).cast("long").alias("n_spans"),
-        F.sha2("body", 256).alias("kept_sha256"), F.lit(None).cast("binary").alias("kept"),
+        F.sha2("body", 256).alias("kept_sha256"), F.lit(None).cast("binary").alias("kept"), F.lit(0).cast("long").alias("n_passage_words"),
     )
     # equal rows are made one before they meet their stretches, and are cut once
     rows = seen.where("touched").groupBy("doc_id", "mark", "body").agg(F.count(F.lit(1)).cast("int").alias("copies"))
-    hit = rows.alias("s").join(each.alias("e"), F.expr("s.mark = e.mark and s.doc_id <=> e.doc_id"), "left").select("s.doc_id", "s.body", "s.copies", "e.found")
-    ddl = "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string, kept binary"
+    hit = rows.alias("s").join(each.alias("e"), F.expr("s.mark = e.mark and s.doc_id <=> e.doc_id"), "left")
+    hit = hit.select("s.doc_id", "s.body", "s.copies", "e.found", F.coalesce("e.words", F.lit(0)).cast("long").alias("n_passage_words"))
+    ddl = "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string, kept binary, n_passage_words long"
     cut = hit.mapInArrow(lambda it: _cut(it, length), ddl + ", copies int")
     again = cut.withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("copies"))))
     return whole.union(again.drop("copies", "_copy"))

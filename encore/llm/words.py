@@ -36,6 +36,8 @@ def _table(separates) -> np.ndarray:  # noqa: ANN001
 
 #: Words between space and tab..carriage return, A-Z folded.
 SPACED = _table(lambda b: b == 32 or 9 <= b <= 13)
+#: The same words with letters as they are.
+EXACT = np.where(SPACED > 0, np.arange(256) + 1, 0).astype(np.uint16)
 #: Words of letters (ASCII, or any byte of a longer UTF-8 character), A-Z folded.
 LETTERS = _table(lambda b: b < 128 and not chr(b).isalpha())
 

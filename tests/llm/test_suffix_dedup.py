@@ -111,3 +111,59 @@ def test_many_equal_rows_without_id(spark):
 
 def test_empty_table(spark):
     assert sd.suffix_dedup(spark.createDataFrame([], "doc_id long, text string")).collect() == []
+
+
+def slow_passages(rows, length):
+    texts = [(t or "").encode().split() for _, t in rows]
+    holders = {}
+    for k, w in enumerate(texts):
+        for i in range(len(w) - length + 1):
+            holders.setdefault(tuple(w[i : i + length]), set()).add(k)
+    out = []
+    for (d, _), w in zip(rows, texts):
+        inside = set()
+        for i in range(len(w) - length + 1):
+            if len(holders[tuple(w[i : i + length])]) > 1:
+                inside.update(range(i, i + length))
+        out.append((d, len(inside)))
+    return sorted(out, key=str)
+
+
+def passage_words(df):
+    return sorted(((r["doc_id"], r["n_passage_words"]) for r in df.collect()), key=str)
+
+
+def test_planted_passages_of_over_50_words_are_counted(spark):
+    """Passages of 51 to 60 short words are under 400 bytes: their bytes stay, their words are counted; clean documents have none."""
+    rng = random.Random(51)
+    word = lambda: "".join(rng.choices("abcdefgh", k=rng.randint(2, 7)))
+    passages = [[word() for _ in range(51 + i % 10)] for i in range(20)]
+    rows = [(i, " ".join([word() for _ in range(80)] + passages[i % 20] + [word() for _ in range(60)])) for i in range(60)]
+    clean = [(100 + i, " ".join(word() for _ in range(200))) for i in range(40)]
+    # 50 shared words are not over 50, and a passage said twice in one document only is in no other
+    clean += [(200, " ".join([word(), *passages[0][:50], word()])), (201, " ".join(passages[0][1:51])), (202, " ".join([*(alone := [word() for _ in range(60)]), word(), *alone]))]
+    docs = spark.createDataFrame(rows + clean, "doc_id long, text string").repartition(5)
+    got = sd.suffix_dedup(docs)
+    assert passage_words(got) == slow_passages(rows + clean, 51)
+    assert result(got) == brute(rows + clean, 400)
+    caught = {r["doc_id"]: r["n_passage_words"] for r in got.collect()}
+    assert all(caught[d] >= 51 for d, _ in rows) and not any(caught[d] for d, _ in clean)
+
+
+@pytest.mark.parametrize("hot,piece", [(20_000, 2 << 20), (3, 160), (9, 1 << 10)])
+def test_passage_words_match_brute_force(spark, monkeypatch, hot, piece):
+    """Few words, copies, null ids and texts, any white space, words and texts longer than a piece, hot grams."""
+    monkeypatch.setattr(sd, "HOT", hot)
+    monkeypatch.setattr(sd, "PIECE", piece)
+    rng = random.Random(piece)
+    vocabulary = ["a", "b", "Ab", "ab", "é", "x" * 40, "x" * 41, "y" * 95]
+    fragments = [rng.choices(vocabulary, k=rng.randint(3, 14)) for _ in range(9)]
+    rows = []
+    for i in range(60):
+        words = [w for f in rng.choices(fragments, k=rng.randint(0, 5)) for w in f[rng.randint(0, 3) :]]
+        rows.append((i, "".join(w + rng.choice([" ", "\n", "\t ", "  "]) for w in words)))
+    rows += [(None, rows[3][1]), (3, rows[3][1]), (70, "only once " * 6), (71, None), (72, ""), (73, " " * 100), (74, "z" * 100)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    want = slow_passages(rows, 6)
+    assert 5 < sum(n > 0 for _, n in want) < len(rows)
+    assert passage_words(sd.suffix_dedup(docs, length=24, gram=6, passage=6)) == want
